@@ -369,7 +369,7 @@ def dim_part(spark, sf):
 @query(
     "part_analytics",
     f"""SELECT f.film_id, coalesce(u.copies, 0) AS total_inventory_copies, coalesce(u.rentals, 0) AS total_rentals, coalesce(p.revenue, 0)::DOUBLE AS total_revenue,
-        u.avg_rental_duration, u.last_rental_date, coalesce(u.rentals, 0)::DOUBLE / (date_diff('day', u.first_rental::DATE, {DAY}) + 1) AS rental_frequency,
+        u.avg_rental_duration, u.last_rental_date, coalesce(u.rentals, 0)::DOUBLE / nullif(date_diff('day', u.first_rental::DATE, {DAY}) + 1, 0) AS rental_frequency,
         coalesce(u.rentals, 0)::DOUBLE / greatest(coalesce(u.copies, 0), 1) AS popularity_score, year({DAY}) - f.release_year >= 20 AND coalesce(u.rentals, 0) >= 2 AS is_classic,
         coalesce(u.copies, 0) > coalesce(u.copies_out, 0) AS is_currently_available, date_diff('day', u.last_rental_date::DATE, {DAY})::INT AS days_since_last_rental
         FROM film f LEFT JOIN (SELECT film_id, count(DISTINCT inventory_id) AS copies, count(DISTINCT inventory_id) FILTER (return_date IS NULL) AS copies_out, count(*) AS rentals,
@@ -520,13 +520,11 @@ def return_behaviour(spark, sf):
 
 @query(
     "churn_rule",
-    f"""SELECT g.customer_id, since AS days_since_last_rental, g.avg_days_between_rentals, least(since / nullif(g.avg_days_between_rentals, 0) / 4, 1.0) AS churn_risk_score
+    f"""SELECT g.customer_id, since AS days_since_last_rental, g.avg_days_between_rentals, CASE WHEN g.avg_days_between_rentals <> 0 THEN least(since / g.avg_days_between_rentals / 4, 1.0) END AS churn_risk_score
         FROM ({SQL_GAPS}) g JOIN (SELECT customer_id, date_diff('day', max(rental_date)::DATE, {DAY})::INT AS since FROM rental GROUP BY ALL) s ON g.customer_id = s.customer_id""",
 )
 def churn_rule(spark, sf):
-    rows = m.churn_rule(fact(spark, sf), b.as_of_date())
-    # Rows without any gap get no score in either engine.
-    return rows.withColumn("churn_risk_score", F.when(F.col("avg_days_between_rentals") > 0, F.col("churn_risk_score")))
+    return m.churn_rule(fact(spark, sf), b.as_of_date())
 
 
 @query(
@@ -769,7 +767,10 @@ def layer_counts(spark, sf):
 
 @query(
     "upstream_ready",
-    "SELECT * FROM (VALUES ('customer', 'ready'), ('rental', 'ready'), ('nothing', 'empty'), ('payment', 'missing')) t(table_name, status)",
+    """SELECT 'customer' AS table_name, CASE WHEN count(*) > 0 THEN 'ready' ELSE 'empty' END AS status FROM customer
+       UNION ALL SELECT 'rental', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'empty' END FROM orders
+       UNION ALL SELECT 'nothing', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'empty' END FROM part WHERE p_partkey < 0
+       UNION ALL SELECT 'payment', 'missing'""",
 )
 def upstream_ready(spark, sf):
     found = {"customer": b.customer(spark, sf), "rental": b.rental(spark, sf), "nothing": b.film(spark, sf).where("film_id < 0")}

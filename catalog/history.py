@@ -236,9 +236,9 @@ SQL_DAMAGED = """SELECT user_id, CASE WHEN amount > 300 THEN sys_start - INTERVA
 
 @query(
     "interval_violations",
-    f"""SELECT user_id, count(*) FILTER (pe > sys_start) AS overlaps, count(*) FILTER (pe < sys_start) AS gaps, count(*) FILTER (sys_start >= sys_end) AS empty_ranges,
+    f"""SELECT user_id, count(*) FILTER (pe > sys_start) AS "overlaps", count(*) FILTER (pe < sys_start) AS gaps, count(*) FILTER (sys_start >= sys_end) AS empty_ranges,
         count(*) FILTER (sys_end = {OPEN}) AS open_versions FROM (SELECT *, lag(sys_end) OVER (PARTITION BY user_id ORDER BY sys_start, sys_end) AS pe FROM ({SQL_DAMAGED})) GROUP BY user_id
-        HAVING overlaps > 0 OR gaps > 0 OR empty_ranges > 0 OR open_versions <> 1""",
+        HAVING "overlaps" > 0 OR gaps > 0 OR empty_ranges > 0 OR open_versions <> 1""",
 )
 def interval_violations(spark, sf):
     damaged = hist(spark, sf).selectExpr(

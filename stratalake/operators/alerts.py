@@ -8,6 +8,8 @@ max_escalation_level, is_active, is_test_mode``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -95,35 +97,36 @@ def missing_data(series: DataFrame, rules: DataFrame, first: Column, last: Colum
 def suppress(alerts: DataFrame, rules: DataFrame) -> DataFrame:
     """Drop repeats of a rule and store within its ``suppress_duplicate_minutes``.
 
-    An alert is kept when the last *kept* one is at least that old, which must be followed
-    in order. The chain starts anew after every quiet gap of that length, so a group is
-    one uninterrupted chain of slots; alerts of one minute count once, and a chain cannot
-    hold more rows than its time span has minutes.
+    An alert is kept when the last *kept* one is at least that old, so alerts are followed
+    in order. The count starts anew after every quiet gap of that length; the chains
+    between such gaps are independent and spread over the tasks. A task walks its sorted
+    rows once and remembers only the chain it is in and the last alert kept.
     """
     quiet = rules.select("rule_id", F.col("suppress_duplicate_minutes").alias("_quiet"))
-    minute = F.unix_micros(F.date_trunc("minute", "alert_timestamp")) / F.lit(60_000_000)
-    slots = alerts.groupBy("rule_id", "store_id", F.floor(minute).alias("_minute")).agg(
-        F.min("alert_timestamp").alias("alert_timestamp"), F.count(F.lit(1)).alias("raised")
+    minute = F.floor(F.unix_micros(F.date_trunc("minute", "alert_timestamp")) / F.lit(60_000_000))
+    # Alerts of one minute count once, so a rule and store have no more rows than time has minutes.
+    slots = alerts.groupBy("rule_id", "store_id", minute.alias("_minute")).agg(
+        F.min("alert_timestamp").alias("alert_timestamp")
     )
     slots = slots.join(broadcast_checked(quiet), "rule_id")
     line = Window.partitionBy("rule_id", "store_id").orderBy("_minute")
-    fresh = F.coalesce(F.col("_minute") - F.lag("_minute").over(line) >= F.col("_quiet"), F.lit(True))
-    chains = slots.withColumn("_chain", F.sum(fresh.cast("int")).over(line))
-
-    def keep(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_minute")
-        times = group["_minute"].to_numpy()
-        wait = int(group["_quiet"].iloc[0])
-        kept = np.zeros(len(times), dtype=bool)
-        at = 0
-        while at < len(times):
-            kept[at] = True
-            at = max(int(np.searchsorted(times, times[at] + wait)), at + 1)
-        return group.loc[kept, ["rule_id", "store_id", "alert_timestamp"]]
+    begins = F.coalesce(F.col("_minute") - F.lag("_minute").over(line) >= F.col("_quiet"), F.lit(True))
+    chain = ["rule_id", "store_id", "_chain"]
+    chains = slots.withColumn("_begins", begins).withColumn("_chain", F.sum(F.col("_begins").cast("int")).over(line))
+    ordered = chains.repartition(*chain).sortWithinPartitions(*chain, "_minute")
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = 0
+        for batch in batches:
+            kept = np.zeros(len(batch), dtype=bool)
+            for at, (begin, now, wait) in enumerate(zip(batch["_begins"], batch["_minute"], batch["_quiet"])):
+                if begin or now - last >= wait:
+                    kept[at], last = True, now
+            yield batch.loc[kept, ["rule_id", "store_id", "alert_timestamp"]]
 
     kinds = dict(slots.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in ("rule_id", "store_id", "alert_timestamp"))
-    return chains.groupBy("rule_id", "store_id", "_chain").applyInPandas(keep, schema)
+    return ordered.mapInPandas(keep, schema)
 
 
 def escalation_level(raised: Column, acknowledged: Column, as_of: Column, every: Column, limit: Column) -> Column:

@@ -1,10 +1,11 @@
 """Ordered computations that hold when one key owns a large share of the rows.
 
-A plain window over a key (or over no key) puts that key into one task. Here the
-rows are range-partitioned on key *and* order, so a hot key spreads over many
-chunks; windows run inside a chunk, and one summary row per chunk carries the
-state over the chunk borders. The chunk number is written out before use, because
-a recomputed range shuffle may draw other borders.
+A plain window over a key (or over no key) puts that key into one task. Here the rows
+are range-partitioned on key *and* order, so a hot key spreads over many chunks; each
+row learns its chunk and its place in it, and a summary of one row per chunk carries
+the state over the chunk borders. Both numbers are written out before use, because a
+recomputed range shuffle may draw other borders. There are at most as many chunks as
+shuffle partitions, which bounds every summary that is broadcast here.
 """
 
 from __future__ import annotations
@@ -16,25 +17,48 @@ from pyspark.sql import functions as F
 
 from stratalake.session import pin
 
-CHUNK = "_chunk"
+CHUNK, ROW = "_chunk", "_row"
+# The lower 33 bits of the generated id count the rows of a partition.
+_ROW_BITS = (1 << 33) - 1
 
 
 def range_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
-    """``df`` with column ``_chunk``: contiguous, evenly filled ranges of ``order``."""
-    count = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartitionByRange(count, *[F.col(c) for c in order])
-    return pin(parts.withColumn(CHUNK, F.spark_partition_id()), "chunks")
+    """``df`` with ``_chunk``, contiguous ranges of ``order``, and ``_row``, the place inside.
+
+    Without ``chunks`` their number follows the data: adaptive execution merges small ones.
+    """
+    columns = [F.col(c) for c in order]
+    parts = df.repartitionByRange(chunks, *columns) if chunks else df.repartitionByRange(*columns)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
+    placed = parts.sortWithinPartitions(*columns).withColumns({CHUNK: F.spark_partition_id(), ROW: place})
+    return pin(placed, "chunks")
 
 
-def _inside(order: Sequence[str]):
-    return Window.partitionBy(CHUNK).orderBy(*order)
+def _inside() -> Window:
+    return Window.partitionBy(CHUNK).orderBy(ROW)
 
 
-def _over_chunks():
-    # At most one row per chunk reaches this window.
+def _over_chunks() -> Window:
+    # One row per chunk reaches this window.
     return Window.orderBy(CHUNK)
 
 
+def _sizes(chunked: DataFrame) -> DataFrame:
+    return chunked.groupBy(CHUNK).agg(F.max(ROW).alias("_end"))
+
+
+def _offsets(chunked: DataFrame) -> DataFrame:
+    """Per chunk: rows before it, its last place, and all rows."""
+    every = _over_chunks().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = _over_chunks().rowsBetween(Window.unboundedPreceding, -1)
+    return _sizes(chunked).select(
+        CHUNK,
+        "_end",
+        F.coalesce(F.sum(F.col("_end") + 1).over(before), F.lit(0)).alias("_offset"),
+        F.sum(F.col("_end") + 1).over(every).alias("_total"),
+    )
+
+
 def _same(left: Column, right: Column, keys: Sequence[str]) -> Column:
     test = F.lit(True)
     for key in keys:
@@ -56,28 +80,25 @@ def neighbours(
     ``keys + order`` must identify a row.
     """
     previous, following = dict(previous or {}), dict(following or {})
-    sort = [*keys, *order]
-    carried = list(dict.fromkeys([*previous.values(), *following.values()]))
-    row = F.struct(*[F.col(c) for c in dict.fromkeys([*sort, *carried])])
-    # A struct cannot be NULL-ordered by a missing attribute, so borders are picked by sort key.
-    place = F.struct(*[F.col(c) for c in sort])
-    chunked = range_chunks(df, sort, chunks)
-    borders = (
-        chunked.groupBy(CHUNK)
-        .agg(F.min_by(row, place).alias("_first"), F.max_by(row, place).alias("_last"))
-        .select(
-            CHUNK,
-            F.lag("_last").over(_over_chunks()).alias("_before"),
-            F.lead("_first").over(_over_chunks()).alias("_after"),
-        )
+    carried = dict.fromkeys([*keys, *previous.values(), *following.values()])
+    row = F.struct(*[F.col(c) for c in carried])
+    chunked = range_chunks(df, [*keys, *order], chunks)
+    last = chunked.join(F.broadcast(_sizes(chunked)), CHUNK).where(F.col(ROW) == F.col("_end"))
+    first = chunked.where(F.col(ROW) == 0)
+    borders = first.select(CHUNK, row.alias("_first")).join(last.select(CHUNK, row.alias("_last")), CHUNK)
+    borders = borders.select(
+        CHUNK,
+        F.lag("_last").over(_over_chunks()).alias("_before"),
+        F.lead("_first").over(_over_chunks()).alias("_after"),
     )
-    inside = _inside(sort)
-    me = F.struct(*[F.col(c) for c in keys])
     marked = chunked.withColumns(
-        {"_prev": F.lag(row).over(inside), "_next": F.lead(row).over(inside), "_me": me}
+        {
+            "_prev": F.lag(row).over(_inside()),
+            "_next": F.lead(row).over(_inside()),
+            "_me": F.struct(*[F.col(c) for c in keys]),
+        }
     ).join(F.broadcast(borders), CHUNK)
-    prev = F.coalesce("_prev", "_before")
-    nxt = F.coalesce("_next", "_after")
+    prev, nxt = F.coalesce("_prev", "_before"), F.coalesce("_next", "_after")
     has_prev = prev.isNotNull() & _same(prev, F.col("_me"), keys)
     has_next = nxt.isNotNull() & _same(nxt, F.col("_me"), keys)
     return marked.select(
@@ -91,39 +112,28 @@ def carry_forward(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, chunks: int | None = None
 ) -> DataFrame:
     """Replace NULLs of ``value`` by the latest earlier non-NULL value of the same key."""
-    sort = [*keys, *order]
-    chunked = range_chunks(df, sort, chunks)
-    held = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in keys], F.col(value).alias("_value")))
-    place = F.struct(*[F.col(c) for c in sort])
-    borders = (
-        chunked.groupBy(CHUNK)
-        .agg(F.max_by(held, F.when(F.col(value).isNotNull(), place)).alias("_held"))
-        .select(
-            CHUNK,
-            F.last("_held", ignorenulls=True)
-            .over(_over_chunks().rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_before"),
-        )
-    )
-    inside = _inside(sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    latest = F.coalesce(F.last(held, ignorenulls=True).over(inside), F.col("_before"))
-    marked = chunked.join(F.broadcast(borders), CHUNK).withColumns(
-        {"_latest": latest, "_me": F.struct(*[F.col(c) for c in keys])}
+    chunked = range_chunks(df, [*keys, *order], chunks)
+    given = F.col(value).isNotNull()
+    held = F.when(given, F.struct(*[F.col(c) for c in keys], F.col(value).alias("_value")))
+    latest_place = chunked.groupBy(CHUNK).agg(F.max(F.when(given, F.col(ROW))).alias("_at"))
+    # A chunk without any value still needs its row, to receive what came before it.
+    carried = latest_place.join(
+        chunked.select(CHUNK, F.col(ROW).alias("_at"), held.alias("_held")).join(
+            F.broadcast(latest_place), [CHUNK, "_at"], "left_semi"
+        ),
+        [CHUNK, "_at"],
+        "left",
     )
-    found = F.col("_latest").isNotNull() & _same(F.col("_latest"), F.col("_me"), keys)
-    rest = [c for c in df.columns if c != value]
-    return marked.select(*rest, F.when(found, F.col("_latest._value")).alias(value))
-
-
-def _offsets(chunked: DataFrame) -> DataFrame:
     before = _over_chunks().rowsBetween(Window.unboundedPreceding, -1)
-    counts = chunked.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    everything = _over_chunks().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return counts.select(
-        CHUNK,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(everything).alias("_total"),
-    )
+    borders = carried.select(CHUNK, F.last("_held", ignorenulls=True).over(before).alias("_before"))
+    upto = _inside().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = chunked.withColumns(
+        {"_here": F.last(held, ignorenulls=True).over(upto), "_me": F.struct(*[F.col(c) for c in keys])}
+    ).join(F.broadcast(borders), CHUNK)
+    latest = F.coalesce("_here", "_before")
+    found = latest.isNotNull() & _same(latest, F.col("_me"), keys)
+    rest = [c for c in df.columns if c != value]
+    return marked.select(*rest, F.when(found, latest["_value"]).alias(value))
 
 
 def number_rows(
@@ -131,10 +141,10 @@ def number_rows(
 ) -> DataFrame:
     """Dense numbers ``start + 1 ...`` in the global order of ``order`` (which must identify a row)."""
     chunked = range_chunks(df, order, chunks)
-    joined = chunked.join(F.broadcast(_offsets(chunked)), CHUNK)
-    position = F.col("_offset") + F.row_number().over(_inside(order)) + F.lit(start)
+    placed = chunked.join(F.broadcast(_offsets(chunked)), CHUNK)
+    position = F.col("_offset") + F.col(ROW) + F.lit(start + 1)
     extra = [F.col("_total").alias(total)] if total else []
-    return joined.select(*df.columns, position.cast("bigint").alias(name), *extra)
+    return placed.select(*df.columns, position.cast("bigint").alias(name), *extra)
 
 
 def rank_rows(
@@ -143,35 +153,28 @@ def rank_rows(
     """Global rank by ascending ``value``: one plus the number of smaller values.
 
     ``key`` makes the rows distinct, so that a value shared by very many rows still
-    spreads over chunks. Such a value can touch several chunks; its rank is the
-    smallest one any chunk border reports for it.
+    spreads over chunks. Such a value can touch several chunks; it starts where the
+    first of them says.
     """
-    sort = [value, key]
-    chunked = range_chunks(df, sort, chunks)
-    offsets = _offsets(chunked)
-    located = chunked.join(F.broadcast(offsets), CHUNK).withColumn(
-        "_rank", F.col("_offset") + F.rank().over(Window.partitionBy(CHUNK).orderBy(value))
-    )
-    per_chunk = chunked.groupBy(CHUNK).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    # Rows of a chunk below its highest value give the position at which that value starts.
-    below = (
-        chunked.join(F.broadcast(per_chunk), CHUNK)
-        .groupBy(CHUNK, "_low", "_high")
-        .agg(F.count_if(F.col(value) < F.col("_high")).alias("_below"))
-        .join(F.broadcast(offsets), CHUNK)
-    )
-    ends = below.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("_low").alias("_edge"), (F.col("_offset") + 1).alias("_at")),
-                F.struct(F.col("_high").alias("_edge"), (F.col("_offset") + F.col("_below") + 1).alias("_at")),
-            )
-        ).alias("_e")
+    chunked = range_chunks(df, [value, key], chunks)
+    offsets = F.broadcast(_offsets(chunked))
+    highest = chunked.join(offsets, CHUNK).where(F.col(ROW) == F.col("_end"))
+    highest = highest.select(CHUNK, F.col(value).alias("_edge"), "_offset")
+    lowest = chunked.where(F.col(ROW) == 0).join(offsets, CHUNK)
+    lowest = lowest.select(F.col(value).alias("_edge"), (F.col("_offset") + 1).alias("_at"))
+    starts = (
+        chunked.join(F.broadcast(highest), CHUNK)
+        .where(F.col(value).eqNullSafe(F.col("_edge")))
+        .groupBy("_edge", "_offset")
+        .agg(F.min(ROW).alias("_first"))
+        .select("_edge", (F.col("_offset") + F.col("_first") + 1).alias("_at"))
     )
-    edges = ends.groupBy(F.col("_e._edge").alias("_edge")).agg(F.min("_e._at").alias("_at"))
+    edges = lowest.unionByName(starts).groupBy("_edge").agg(F.min("_at").alias("_at"))
+    inside = Window.partitionBy(CHUNK).orderBy(value)
+    placed = chunked.withColumn("_rank", F.rank().over(inside)).join(offsets, CHUNK)
     extra = [F.col("_total").alias(total)] if total else []
-    return located.join(F.broadcast(edges), F.col(value).eqNullSafe(F.col("_edge")), "left").select(
-        *df.columns, F.coalesce("_at", "_rank").cast("bigint").alias(rank), *extra
+    return placed.join(F.broadcast(edges), F.col(value).eqNullSafe(F.col("_edge")), "left").select(
+        *df.columns, F.coalesce("_at", F.col("_offset") + F.col("_rank")).cast("bigint").alias(rank), *extra
     )
 
 

@@ -27,15 +27,12 @@ def quarantine(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, Data
 
     A value is rejected when the raw text is present but its typed form is NULL.
     """
-    failed = F.filter(
-        F.array(
-            *[
-                F.when(F.trim(F.col(c)).isNotNull() & (F.trim(F.col(c)) != "") & apply_rule(F.col(c), r).isNull(), c)
-                for c, r in rules.items()
-            ]
-        ),
-        lambda c: c.isNotNull(),
-    )
+    checks = []
+    for name, rule in rules.items():
+        if name in df.columns:
+            given = F.coalesce(F.trim(F.col(name)) != "", F.lit(False))
+            checks.append(F.when(given & apply_rule(F.col(name), rule).isNull(), F.lit(name)))
+    failed = F.filter(F.array(*checks), lambda c: c.isNotNull())
     marked = df.withColumn("_failed", failed)
     good = marked.where(F.size("_failed") == 0).drop("_failed")
     bad = marked.where(F.size("_failed") > 0).withColumn("rejected_columns", F.array_join("_failed", ",")).drop("_failed")

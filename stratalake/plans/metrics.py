@@ -91,13 +91,13 @@ def return_behaviour(fact: DataFrame, fee_per_day: int = 1) -> DataFrame:
 
 
 def churn_rule(fact: DataFrame, as_of: Column) -> DataFrame:
-    """Recency in units of the customer's own mean gap, capped at 1 after four gaps."""
+    """Recency in units of the customer's own mean gap, capped at 1 after four gaps; NULL without a gap."""
     seen = fact.groupBy("customer_id").agg(
         F.date_diff(as_of, F.to_date(F.max("rental_date"))).alias("days_since_last_rental"),
         _gap().alias("avg_days_between_rentals"),
     )
     gaps = per(F.col("days_since_last_rental"), F.col("avg_days_between_rentals"))
-    return seen.withColumn("churn_risk_score", F.least(gaps / 4, F.lit(1.0)))
+    return seen.withColumn("churn_risk_score", F.when(gaps.isNotNull(), F.least(gaps / 4, F.lit(1.0))))
 
 
 def value_rank(metrics: DataFrame, value: str = "total_revenue") -> DataFrame:
