@@ -8,10 +8,12 @@ and open rentals are made by expressions over whole tables.
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators.kpi import business_events
 from stratalake.sources.tables import read_table
 
 # The instants that stand for "now".
@@ -67,7 +69,7 @@ def film(spark: SparkSession, folder: str) -> DataFrame:
         "p_partkey AS film_id",
         "p_name AS title",
         "2000 + p_size % 10 AS release_year",
-        "cast(substr(p_brand, 7) AS int) AS language_id",
+        "CASE WHEN p_size > 45 THEN 99 ELSE cast(substr(p_brand, 7) AS int) END AS language_id",
         "3 + p_size % 5 AS rental_duration",
         "cast(p_size AS decimal(18,4)) / 10 AS rental_rate",
         "p_size AS length",
@@ -79,9 +81,9 @@ def film(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def language(spark: SparkSession, folder: str) -> DataFrame:
-    """Languages are the brands; those of odd number stay unknown to the lookup."""
+    """Languages are the brands; language 99 stays unknown to the lookup."""
     brands = read_table(spark, folder, "part").select(F.col("p_brand").alias("name")).distinct()
-    return brands.selectExpr("cast(substr(name, 7) AS int) AS language_id", "name").where("language_id % 2 = 0")
+    return brands.selectExpr("cast(substr(name, 7) AS int) AS language_id", "name")
 
 
 def store(spark: SparkSession, folder: str) -> DataFrame:
@@ -189,16 +191,15 @@ def raw_events(df: DataFrame) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    from stratalake.operators.kpi import business_events
+def events(spark: SparkSession, folder: str, since: str | None = None, before: str | None = None) -> DataFrame:
+    raw = read_table(spark, folder, "events", "ts", since, before)
+    return business_events(raw_events(raw), EVENT_TYPES, "events")
 
-    return business_events(raw_events(read_table(spark, folder, "events")), EVENT_TYPES, "events")
 
-
-def alert_events(spark: SparkSession, folder: str) -> DataFrame:
+def alert_events(spark: SparkSession, folder: str, since: str | None = None, before: str | None = None) -> DataFrame:
     """Alerts are the error events; acknowledgement and resolution follow from the id."""
     return (
-        events(spark, folder)
+        events(spark, folder, since, before)
         .where("event_type = 'error'")
         .selectExpr(
             "event_id AS alert_id",
@@ -234,8 +235,6 @@ RULE_SCHEMA = (
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    from decimal import Decimal
-
     rows = [(*r[:3], None if r[3] is None else Decimal(str(r[3])), *r[4:]) for r in RULES]
     return spark.createDataFrame(rows, RULE_SCHEMA)
 
@@ -269,15 +268,14 @@ SQL = {
           substr(c_name, 10) AS last_name, (c_custkey % 997)::INT AS address_id FROM customer""",
     "film": """
         SELECT p_partkey AS film_id, p_name AS title, 2000 + p_size % 10 AS release_year,
-          substr(p_brand, 7)::INT AS language_id, 3 + p_size % 5 AS rental_duration,
+          CASE WHEN p_size > 45 THEN 99 ELSE substr(p_brand, 7)::INT END AS language_id, 3 + p_size % 5 AS rental_duration,
           (p_size * 0.1::DECIMAL(4,1))::DECIMAL(18,4) AS rental_rate, p_size AS length,
           p_retailprice::DECIMAL(18,2) AS replacement_cost, p_type AS rating,
           CASE p_size % 4 WHEN 0 THEN 'Trailers,Commentaries' WHEN 1 THEN ' Deleted Scenes ' WHEN 2 THEN ' '
             ELSE 'Trailers, Deleted Scenes,Behind the Scenes' END AS special_features
         FROM part""",
     "language": """
-        SELECT DISTINCT substr(p_brand, 7)::INT AS language_id, p_brand AS name FROM part
-        WHERE substr(p_brand, 7)::INT % 2 = 0""",
+        SELECT DISTINCT substr(p_brand, 7)::INT AS language_id, p_brand AS name FROM part""",
     "store": """
         SELECT n_nationkey AS store_id, n_name AS address, r_name AS city, 'Manager ' || n_name AS manager_name,
           n_nationkey % 6 <> 5 AS is_active, n_nationkey * 2 AS address_id,

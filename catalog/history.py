@@ -67,12 +67,13 @@ def cdc_append(spark, sf):
 
 @query(
     "cdc_dedupe",
-    "SELECT lsn, op, load_ts + INTERVAL 1 MINUTE AS load_ts, user_id FROM change_log WHERE lsn % 3 = 0 UNION ALL SELECT lsn, op, load_ts, user_id FROM change_log WHERE lsn % 3 <> 0",
+    "SELECT lsn, op, CASE WHEN op = 'D' THEN load_ts + INTERVAL 1 MINUTE ELSE load_ts END AS load_ts, user_id FROM change_log",
 )
 def cdc_dedupe(spark, sf):
     entries = log(spark, sf).select("lsn", "op", "load_ts", "user_id")
-    repeats = entries.where("lsn % 3 = 0").withColumn("load_ts", F.col("load_ts") + F.expr("INTERVAL 1 MINUTE"))
-    return cdc.dedupe(repeats.unionByName(entries).unionByName(entries.where("lsn % 5 = 0")))
+    # Deletions come again a minute later, inserts come twice as they are.
+    later = entries.where("op = 'D'").withColumn("load_ts", F.col("load_ts") + F.expr("INTERVAL 1 MINUTE"))
+    return cdc.dedupe(later.unionByName(entries).unionByName(entries.where("op = 'I'")))
 
 
 @query(
@@ -253,8 +254,8 @@ def interval_violations(spark, sf):
 
 SQL_REFERENCE = """cur AS (SELECT p_partkey AS id, p_name AS name, p_brand AS brand, CASE WHEN p_size % 10 = 0 THEN TIMESTAMP '2020-01-01' END AS inactivated_date,
       TIMESTAMP '2019-01-01' AS systime FROM part),
-    fresh AS (SELECT id, CASE WHEN id % 5 = 0 THEN upper(name) ELSE name END AS name, CASE WHEN id % 6 = 0 THEN NULL ELSE brand END AS brand FROM cur WHERE id % 11 <> 0
-      UNION ALL SELECT id + 1000000000, name, brand FROM cur WHERE id % 13 = 0)"""
+    fresh AS (SELECT p_partkey AS id, CASE WHEN p_type = 'PROMO' THEN upper(p_name) ELSE p_name END AS name, CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_brand END AS brand FROM part WHERE p_type <> 'ECONOMY'
+      UNION ALL SELECT s_suppkey + 1000000000, s_name, 'Supplier' FROM supplier)"""
 _AT = "2024-03-01 00:00:00"
 
 
@@ -263,10 +264,11 @@ def _reference(spark, sf):
         "p_partkey AS id", "p_name AS name", "p_brand AS brand",
         "CASE WHEN p_size % 10 = 0 THEN timestamp'2020-01-01' END AS inactivated_date", "timestamp'2019-01-01' AS systime",
     )
-    changed = current.where("id % 11 <> 0").selectExpr(
-        "id", "CASE WHEN id % 5 = 0 THEN upper(name) ELSE name END AS name", "CASE WHEN id % 6 = 0 THEN NULL ELSE brand END AS brand"
+    # The new list drops a type of part, renames another, loses the brand of a third and adds suppliers.
+    changed = tables.read_table(spark, sf, "part").where("p_type <> 'ECONOMY'").selectExpr(
+        "p_partkey AS id", "CASE WHEN p_type = 'PROMO' THEN upper(p_name) ELSE p_name END AS name", "CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_brand END AS brand"
     )
-    added = current.where("id % 13 = 0").selectExpr("id + 1000000000 AS id", "name", "brand")
+    added = tables.read_table(spark, sf, "supplier").selectExpr("s_suppkey + 1000000000 AS id", "s_name AS name", "'Supplier' AS brand")
     return current, changed.unionByName(added), F.lit(_AT).cast("timestamp")
 
 
@@ -282,13 +284,13 @@ def merge_reference(spark, sf):
     return reference.merge_reference(current, fresh, "id", ["name", "brand"], at)
 
 
-SQL_INCOMING = f"""{SQL_REFERENCE}, incoming AS (SELECT id, name, brand, CASE WHEN id % 4 = 0 THEN TIMESTAMP '2023-01-01' END AS inactivated_date FROM fresh),
+SQL_INCOMING = f"""{SQL_REFERENCE}, incoming AS (SELECT id, name, brand, CASE WHEN name LIKE 'red%' THEN TIMESTAMP '2023-01-01' END AS inactivated_date FROM fresh),
     live AS (SELECT * FROM incoming WHERE inactivated_date IS NULL)"""
 
 
 def _sync(spark, sf, strict):
     current, fresh, at = _reference(spark, sf)
-    incoming = fresh.withColumn("inactivated_date", F.when(F.col("id") % 4 == 0, F.lit("2023-01-01").cast("timestamp")))
+    incoming = fresh.withColumn("inactivated_date", F.when(F.col("name").startswith("red"), F.lit("2023-01-01").cast("timestamp")))
     return reference.sync_reference(current, incoming, "id", at, strict=strict)
 
 
@@ -307,12 +309,12 @@ def sync_upsert(spark, sf):
 
 @query(
     "soft_delete_active",
-    f"""WITH {SQL_REFERENCE} SELECT id, name, CASE WHEN id % 9 = 0 THEN NULL WHEN id % 3 = 0 THEN coalesce(inactivated_date, TIMESTAMP '{_AT}') ELSE inactivated_date END AS inactivated_date,
-        id % 9 = 0 OR (id % 3 <> 0 AND inactivated_date IS NULL) AS is_active FROM cur""",
+    f"""WITH {SQL_REFERENCE} SELECT id, name, CASE WHEN name LIKE 'red%' THEN NULL WHEN brand = 'Brand#7' OR name LIKE 'red%' THEN coalesce(inactivated_date, TIMESTAMP '{_AT}') ELSE inactivated_date END AS inactivated_date,
+        name LIKE 'red%' OR (brand <> 'Brand#7' AND inactivated_date IS NULL) AS is_active FROM cur""",
 )
 def soft_delete_active(spark, sf):
     current, _, at = _reference(spark, sf)
-    removed = reference.deactivate(current, F.col("id") % 3 == 0, at)
-    restored = reference.reactivate(removed, F.col("id") % 9 == 0)
+    removed = reference.deactivate(current, F.col("brand") == "Brand#7", at)
+    restored = reference.reactivate(removed, F.col("name").startswith("red"))
     live = reference.active_only(restored).select("id").withColumn("is_active", F.lit(True))
     return restored.join(live, "id", "left").select("id", "name", "inactivated_date", F.coalesce("is_active", F.lit(False)).alias("is_active"))

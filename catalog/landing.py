@@ -98,17 +98,18 @@ def fact_snapshot(spark, sf):
 
 @query(
     "seed_insert_if_absent",
-    """WITH kept AS (SELECT DISTINCT substr(p_brand, 7)::INT AS id, p_brand AS name FROM part
-                     WHERE substr(p_brand, 7)::INT % 3 <> 0)
-       SELECT * FROM kept UNION ALL
-       SELECT DISTINCT substr(p_brand, 7)::INT, upper(p_brand) FROM part
-       WHERE substr(p_brand, 7)::INT NOT IN (SELECT id FROM kept)""",
+    """WITH kept AS (SELECT p_type AS name, count(*) AS uses FROM part GROUP BY ALL),
+         seeds AS (SELECT DISTINCT c_mktsegment AS name FROM customer UNION SELECT DISTINCT o_orderpriority FROM orders UNION SELECT DISTINCT upper(p_type) FROM part)
+       SELECT * FROM kept UNION ALL SELECT name, 0 FROM seeds WHERE name NOT IN (SELECT name FROM kept)""",
 )
 def seed_insert_if_absent(spark, sf):
-    brands = tables.read_table(spark, sf, "part").selectExpr("cast(substr(p_brand, 7) AS int) AS id", "p_brand AS name").distinct()
-    existing = brands.where("id % 3 <> 0")
-    seeds = brands.withColumn("name", F.upper("name"))
-    return sinks.insert_absent(existing, seeds, "id")
+    kinds = tables.read_table(spark, sf, "part").select(F.col("p_type").alias("name"))
+    existing = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("uses"))
+    names = kinds
+    for table, column in (("customer", "c_mktsegment"), ("orders", "o_orderpriority")):
+        names = names.union(tables.read_table(spark, sf, table).select(column))
+    seeds = names.distinct().withColumn("uses", F.lit(0).cast("bigint"))
+    return sinks.insert_absent(existing, seeds, "name")
 
 
 @query(
@@ -275,11 +276,11 @@ def parse_bool(spark, sf):
 @query(
     "bucket_length",
     """SELECT film_id, CASE WHEN length <= 15 THEN 'Short' WHEN length <= 35 THEN 'Medium' ELSE 'Long' END AS band,
-       CASE WHEN language_id % 2 = 0 AND length <= 35 THEN 'Not long' ELSE 'Long' END AS band_with_null FROM film""",
+       CASE WHEN length > 10 AND length <= 35 THEN 'Not long' ELSE 'Long' END AS band_with_null FROM film""",
 )
 def bucket_length(spark, sf):
     films = b.film(spark, sf)
-    known = F.when(F.col("language_id") % 2 == 0, F.col("length"))
+    known = F.when(F.col("length") > 10, F.col("length"))
     return films.select(
         "film_id",
         bucket(F.col("length"), [("<=", 15, "Short"), ("<=", 35, "Medium")], "Long").alias("band"),
@@ -357,7 +358,7 @@ def default_fill(spark, sf):
 )
 def recent_window(spark, sf):
     now = b.as_of_time()
-    events = b.events(spark, sf).where((F.col("ts") >= now - F.expr("INTERVAL 24 HOURS")) & (F.col("ts") <= now))
+    events = b.events(spark, sf, since="2024-01-19 12:00:00").where((F.col("ts") >= now - F.expr("INTERVAL 24 HOURS")) & (F.col("ts") <= now))
     return events.select(
         "event_id",
         "ts",

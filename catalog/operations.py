@@ -8,13 +8,14 @@ from catalog import binding as b
 from catalog.binding import SQL
 from catalog.registry import query
 from stratalake.operators import alerts, kpi
+from stratalake.operators.joins import broadcast_checked
 
 NOW = f"TIMESTAMP '{b.AS_OF_TIME}'"
 MONEY = "(revenue_per_minute::DOUBLE AS revenue_per_minute)"
 
 
-def hourly(spark, sf):
-    return kpi.minute_kpis(b.events(spark, sf), "1 hour")
+def hourly(spark, sf, since=None, before=None):
+    return kpi.minute_kpis(b.events(spark, sf, since, before), "1 hour")
 
 
 @query("kpi_minute", f"SELECT * REPLACE {MONEY} FROM (" + SQL["kpi_hour"].replace("'hour'", "'minute'") + ")")
@@ -60,7 +61,7 @@ def running_revenue(spark, sf):
 )
 def store_dashboard(spark, sf):
     stores = b.store(spark, sf).withColumnRenamed("address", "store_address")
-    return kpi.store_dashboard(stores, hourly(spark, sf), b.as_of_time(), "18 HOURS")
+    return kpi.store_dashboard(stores, hourly(spark, sf, "2024-01-19 18:00:00", "2024-01-20 13:00:00"), b.as_of_time(), "18 HOURS")
 
 
 @query(
@@ -74,7 +75,7 @@ def store_dashboard(spark, sf):
           floor(date_diff('microsecond', last_data_update, {NOW}) / 6e7)::BIGINT AS data_freshness_minutes FROM recent CROSS JOIN today""",
 )
 def executive_summary(spark, sf):
-    rows = kpi.executive_summary(hourly(spark, sf), b.as_of_time(), "3 HOURS")
+    rows = kpi.executive_summary(hourly(spark, sf, "2024-01-20 00:00:00", "2024-01-20 13:00:00"), b.as_of_time(), "3 HOURS")
     return rows.withColumn("avg_inventory_utilization", F.round("avg_inventory_utilization", 6))
 
 
@@ -116,7 +117,7 @@ def alert_eval(spark, sf):
 )
 def alert_filtered(spark, sf):
     rows, live = series(spark, sf), b.rules(spark).where("is_active and not is_test_mode")
-    joined = rows.join(F.broadcast(live), rows["metric_name"] == live["target_metric"])
+    joined = rows.join(broadcast_checked(live), rows["metric_name"] == live["target_metric"])
     return joined.where(alerts.applicable()).select("rule_id", "store_id", "captured_at")
 
 
@@ -156,8 +157,8 @@ def alert_suppressed(spark, sf):
 SQL_LEVEL = f"""greatest(least(floor(date_diff('microsecond', alert_timestamp, coalesce(acknowledged_at, {NOW})) / 6e7 / 15), 2), 0)::INT"""
 
 
-def _escalated(spark, sf):
-    rows = b.alert_events(spark, sf).where(F.col("alert_timestamp") <= b.as_of_time())
+def _escalated(spark, sf, since=None):
+    rows = b.alert_events(spark, sf, since).where(F.col("alert_timestamp") <= b.as_of_time())
     level = alerts.escalation_level(F.col("alert_timestamp"), F.col("acknowledged_at"), b.as_of_time(), F.lit(15), F.lit(2))
     return rows.withColumn("escalation_level", level)
 
@@ -176,7 +177,7 @@ SQL_BOARD = f"""SELECT *, CASE WHEN resolved_at IS NOT NULL THEN 'resolved' WHEN
 
 @query("alert_management", f"SELECT * REPLACE (source_value::DOUBLE AS source_value) FROM ({SQL_BOARD})")
 def alert_management(spark, sf):
-    rows = alerts.board(_escalated(spark, sf), b.as_of_time())
+    rows = alerts.board(_escalated(spark, sf, "2024-01-19 12:00:00"), b.as_of_time())
     return rows.orderBy(F.desc("priority_score"), F.desc("alert_timestamp"))
 
 
@@ -187,7 +188,7 @@ def alert_management(spark, sf):
         FROM (SELECT *, duration_minutes > CASE severity WHEN 'critical' THEN 30 WHEN 'warning' THEN 120 ELSE 480 END AS breach FROM ({SQL_BOARD}))""",
 )
 def alert_sla(spark, sf):
-    rows = alerts.sla(alerts.board(_escalated(spark, sf), b.as_of_time()), {"critical": 30, "warning": 120}, 480)
+    rows = alerts.sla(alerts.board(_escalated(spark, sf, "2024-01-19 12:00:00"), b.as_of_time()), {"critical": 30, "warning": 120}, 480)
     return rows.select("alert_id", "sla_breach", "business_impact", "actual_resolution_time")
 
 

@@ -57,7 +57,8 @@ def _key_or_unknown(day: Column) -> Column:
 
 
 def rental_measures(rows: DataFrame, planned_days: int = PLANNED_DAYS, replacement: Decimal = DEFAULT_REPLACEMENT) -> DataFrame:
-    """Durations, overdue and return flags, revenue, time parts and date keys."""
+    """Durations, overdue and return flags, time parts, date keys and, with an amount, revenue."""
+    amount = {"rental_rate": F.col("amount"), "revenue_amount": F.col("amount")} if "amount" in rows.columns else {}
     out, back = F.to_date("rental_date"), F.to_date("return_date")
     spent = F.date_diff(back, out)
     late = F.greatest(F.coalesce(spent, F.lit(0)) - planned_days, F.lit(0))
@@ -76,8 +77,7 @@ def rental_measures(rows: DataFrame, planned_days: int = PLANNED_DAYS, replaceme
             "is_returned": back.isNotNull(),
             "is_overdue": late > 0,
             "days_overdue": late,
-            "rental_rate": F.col("amount"),
-            "revenue_amount": F.col("amount"),
+            **amount,
             "replacement_cost": F.lit(replacement).cast(MONEY),
             "is_weekend_rental": is_weekend(out),
             "is_holiday_rental": F.lit(False),

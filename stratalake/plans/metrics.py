@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.cleanse import at_least
 from stratalake.functions.keys import surrogate_key
 from stratalake.functions.measures import mean, per
 from stratalake.operators.ordered import number_rows, rank_rows, tile
-from stratalake.plans.dims import TIERS, tier, top_value
+from stratalake.plans.dims import TIERS, tier
 from stratalake.session import pin
 
 
@@ -149,33 +149,51 @@ def cohort_retention(fact: DataFrame) -> DataFrame:
     visits = months.select(F.array_min("_months").alias("cohort_month"), F.explode("_months").alias("_month"))
     offset = F.round(F.months_between("_month", "cohort_month")).cast("int")
     counts = visits.groupBy("cohort_month", offset.alias("month_offset")).agg(F.count(F.lit(1)).alias("customers"))
-    sizes = counts.where("month_offset = 0").select("cohort_month", F.col("customers").alias("cohort_size"))
-    return counts.join(sizes, "cohort_month").withColumn(
-        "retention_rate", per(F.col("customers"), F.col("cohort_size"))
-    )
+    # A cohort has one row per month; its size is the row of month 0.
+    cohort = Window.partitionBy("cohort_month")
+    sized = counts.withColumn("cohort_size", F.max(F.when(F.col("month_offset") == 0, F.col("customers"))).over(cohort))
+    return sized.withColumn("retention_rate", per(F.col("customers"), F.col("cohort_size")))
 
 
-def behaviour_profile(fact: DataFrame, genres: DataFrame) -> DataFrame:
+def behaviour_profile(visits: DataFrame) -> DataFrame:
     """Preferred day and hour, top genre, genre diversity and store loyalty per customer.
 
-    ``genres`` holds ``(customer_id, genre)`` once per rental of that genre. Diversity is
-    the entropy of the genre shares over its maximum, loyalty the largest store share.
+    ``visits`` holds ``customer_id``, ``rental_date``, ``store_id`` and ``genre``. Diversity is
+    the entropy of the genre shares over its maximum, loyalty the largest store share. The
+    four traits are counted together in one pass over the visits; ties go to the smallest value.
     """
-    day = top_value(fact.withColumn("_day", F.date_format("rental_date", "EEEE")), "customer_id", "_day", "preferred_rental_day")
-    hour = top_value(fact, "customer_id", "rental_hour", "preferred_rental_hour")
-    per_genre = genres.groupBy("customer_id", "genre").agg(F.count(F.lit(1)).alias("_n"))
-    n, total = F.col("_n"), F.sum("_n")
-    entropy = F.log(total) - F.sum(n * F.log(n)) / total
-    diversity = per_genre.groupBy("customer_id").agg(
-        F.round(F.coalesce(F.try_divide(entropy, F.log(F.count(F.lit(1)))), F.lit(0.0)), 6).alias("genre_diversity_score")
+    traits = {
+        "day": F.date_format("rental_date", "EEEE"),
+        "hour": F.date_format("rental_date", "HH"),
+        "store": F.col("store_id").cast("string"),
+        "genre": F.col("genre"),
+    }
+    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), value.alias("value")) for kind, value in traits.items()])
+    counts = (
+        visits.select("customer_id", F.inline(pairs))
+        .where(F.col("value").isNotNull())
+        .groupBy("customer_id", "kind", "value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    place = F.struct((-F.col("_n")).alias("_n"), "value")
+
+    def of(kind: str, value: Column) -> Column:
+        return F.when(F.col("kind") == kind, value)
+
+    def favourite(kind: str) -> Column:
+        return F.min_by("value", of(kind, place))
+
+    n = F.col("_n")
+    total = F.sum(of("genre", n))
+    entropy = F.log(total) - F.sum(of("genre", n * F.log(n))) / total
+    diversity = F.coalesce(F.try_divide(entropy, F.log(F.count(of("genre", n)))), F.lit(0.0))
+    return counts.groupBy("customer_id").agg(
+        favourite("day").alias("preferred_rental_day"),
+        favourite("hour").cast("int").alias("preferred_rental_hour"),
+        per(F.max(of("store", n)), F.sum(of("store", n))).alias("store_loyalty_score"),
+        favourite("genre").alias("most_rented_genre"),
+        F.when(total.isNotNull(), F.round(diversity, 6)).alias("genre_diversity_score"),
     )
-    genre = top_value(genres, "customer_id", "genre", "most_rented_genre")
-    per_store = fact.groupBy("customer_id", "store_id").agg(F.count(F.lit(1)).alias("_n"))
-    loyalty = per_store.groupBy("customer_id").agg(per(F.max("_n"), F.sum("_n")).alias("store_loyalty_score"))
-    result = day
-    for part in (hour, loyalty, genre, diversity):
-        result = result.join(part, "customer_id", "left")
-    return result
 
 
 def tier_counts(metrics: DataFrame) -> DataFrame:

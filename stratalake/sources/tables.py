@@ -8,14 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Parquet table ``name`` below ``folder``.
+def read_table(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    time_column: str | None = None,
+    since: str | None = None,
+    before: str | None = None,
+) -> DataFrame:
+    """Parquet table ``name`` below ``folder``, on request only ``since <= time_column < before``.
 
     Timestamps without a zone become instants in the session zone, which epoch
-    arithmetic and streaming watermarks need. The cast is a plain projection, so
-    filters on other columns still reach the scan.
+    arithmetic and streaming watermarks need. A filter on the cast column would stay
+    above the scan, so the period is compared in the stored type, where it prunes files.
     """
     raw = spark.read.parquet(f"{folder}/{name}.parquet")
+    if time_column:
+        stored = dict(raw.dtypes)[time_column]
+        if since:
+            raw = raw.where(F.col(time_column) >= F.lit(since).cast(stored))
+        if before:
+            raw = raw.where(F.col(time_column) < F.lit(before).cast(stored))
     zoned = {c: F.col(c).cast("timestamp") for c, kind in raw.dtypes if kind == "timestamp_ntz"}
     return raw.withColumns(zoned) if zoned else raw
 

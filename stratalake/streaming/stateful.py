@@ -18,12 +18,13 @@ def suppress_repeats(alerts: DataFrame, quiet_minutes: int) -> DataFrame:
     wait = pd.Timedelta(minutes=quiet_minutes)
 
     def keep(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # Chunks of one trigger come in no order, so the trigger's alerts are sorted together.
-        rows = pd.concat(list(batches))
-        times = rows["alert_timestamp"].dt.floor("min").drop_duplicates().sort_values()
+        # Alerts come in no order, and only their minutes are kept until the trigger's end.
+        times: set[pd.Timestamp] = set()
+        for rows in batches:
+            times.update(rows["alert_timestamp"].dt.floor("min").unique())
         last = pd.Timestamp(state.get[0]) if state.exists else None
         passed = []
-        for at in times:
+        for at in sorted(times):
             if last is None or at - last >= wait:
                 last = at
                 passed.append(at)

@@ -105,3 +105,24 @@ def test_paid_rentals_reduce_payments_before_the_join(spark, small):
 
     plan = gold.fact(spark, small)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join LeftOuter") < plan.index("Aggregate [rental_id")
+
+
+def test_as_of_periods_reach_the_scan(spark, small):
+    from catalog import all_queries
+
+    builders, _ = all_queries()
+    for name in ("recent_window", "executive_summary", "store_dashboard", "alert_management"):
+        assert "GreaterThanOrEqual(ts," in plan_of(builders[name](spark, small)), name
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from stratalake.sources.sinks import write_bucketed
+
+    names = []
+    for part in ("l", "r"):
+        path = fresh_path(spark, "bucketed")
+        names.append(f"{part}_{path[-12:]}")
+        write_bucketed(spark.range(100).selectExpr("id % 7 AS k", f"id AS {part}"), path, names[-1], "k", 4)
+    left, right = (spark.table(n) for n in names)
+    joined = left.join(right.hint("shuffle_merge"), "k").groupBy("k").count()
+    assert "Exchange" not in plan_of(joined) and joined.count() == 7
