@@ -674,6 +674,17 @@ def silver_rental(spark, sf):
     return rows.select("sl_rental_key", "rental_id", "rental_date", "customer_id", "return_date", "sl_data_quality_score")
 
 
+@query(
+    "silver_payment",
+    f"""SELECT {key_sql("sl_payment", "rental_id * 10 + line_number")} AS sl_payment_key, rental_id * 10 + line_number AS payment_id, rental_id, staff_id::INT AS staff_id,
+        amount::DOUBLE AS amount, payment_date, 1.0::DOUBLE AS sl_data_quality_score FROM payment""",
+)
+def silver_payment(spark, sf):
+    landed = tables.to_strings(b.payment(spark, sf).withColumn("payment_id", F.expr("rental_id * 10 + line_number")))
+    rows = silver.silver_entity(landed, silver.PAYMENT, "s1", _load_time())
+    return rows.select("sl_payment_key", "payment_id", "rental_id", "staff_id", "amount", "payment_date", "sl_data_quality_score")
+
+
 @query(
     "dim_address",
     f"""SELECT DISTINCT try_cast(address_id AS INT) AS address_id, {key_sql("sl_address", "try_cast(address_id AS INT)")} AS sl_address_key, '123 Main St' AS address, NULL::VARCHAR AS address2,

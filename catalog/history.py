@@ -318,3 +318,8 @@ def soft_delete_active(spark, sf):
     restored = reference.reactivate(removed, F.col("name").startswith("red"))
     live = reference.active_only(restored).select("id").withColumn("is_active", F.lit(True))
     return restored.join(live, "id", "left").select("id", "name", "inactivated_date", F.coalesce("is_active", F.lit(False)).alias("is_active"))
+
+
+@query("current_rows", f"WITH {SQL_REFERENCE} SELECT id, name, brand FROM cur WHERE inactivated_date IS NULL")
+def current_rows(spark, sf):
+    return reference.active_only(_reference(spark, sf)[0]).select("id", "name", "brand")

@@ -11,7 +11,8 @@ from stratalake.functions.keys import record_hash, surrogate_key
 from stratalake.functions.measures import date_key, minutes, whole_days
 from stratalake.operators import audit, quality
 from stratalake.plans import dims, silver
-from stratalake.plans.pipeline import Step, run
+from stratalake.plans.layers import Settings, full_refresh
+from stratalake.plans.pipeline import run
 from stratalake.session import fresh_path
 from stratalake.sources import sinks, tables
 
@@ -125,38 +126,71 @@ def evolve_add_column(spark, sf):
     return tables.union_evolved(tables.add_missing_columns(old, {"is_active": (True, "boolean")}), new)
 
 
-def _landing_steps():
-    def land(table, key):
-        def build(df):
-            return audit.add_bronze_audit(tables.to_strings(df), table, f"source.{table}", BATCH, _load_time(), [key])
+def _refresh(spark, sf):
+    """The whole bronze, silver and gold refresh into a fresh folder."""
+    settings = Settings(
+        "2024-02-01T06:00:00", _load_time, b.as_of_date, TIER_BOUNDS, TIER_BOUNDS[1], RATINGS, PRICE_TIERS, 25, 15, 35
+    )
+    keys = {"customer": ["row_id"], "film": ["film_id"], "language": ["language_id"], "payment": ["payment_id"], "rental": ["rental_id"]}
+    payments = b.customer_payment(spark, sf).withColumn("payment_id", F.expr("rental_id * 10 + line_number"))
+    sources = {
+        "source.customer": b.bronze_customer(spark, sf),
+        "source.film": b.film(spark, sf),
+        "source.language": b.language(spark, sf),
+        "source.payment": payments,
+        "source.rental": b.film_rental(spark, sf),
+    }
+    return run(spark, full_refresh(settings, keys), sources, fresh_path(spark, "run"), BATCH)
 
-        return Step(f"bronze.{table}", [f"source.{table}"], build)
 
-    def clean(df):
-        return silver.silver_entity(df, silver.CUSTOMER, "silver_dimensional_20240201", _load_time())
+@query(
+    "run_report",
+    """SELECT *, 'ok' AS status FROM (
+         SELECT 'bronze.customer' AS table_name, count(*) AS row_count FROM customer UNION ALL SELECT 'silver.customer', count(*) FROM customer
+         UNION ALL SELECT 'bronze.film', count(*) FROM part UNION ALL SELECT 'silver.film', count(*) FROM part UNION ALL SELECT 'gold.dim_film', count(*) FROM part
+         UNION ALL SELECT 'bronze.language', count(*) FROM language UNION ALL SELECT 'silver.language', count(*) FROM language
+         UNION ALL SELECT 'bronze.payment', count(*) FROM customer_payment UNION ALL SELECT 'silver.payment', count(*) FROM customer_payment
+         UNION ALL SELECT 'bronze.rental', count(*) FROM orders UNION ALL SELECT 'silver.rental', count(*) FROM orders UNION ALL SELECT 'gold.fact_rental', count(*) FROM orders
+         UNION ALL SELECT 'silver.address', count(DISTINCT try_cast(address_id AS INT)) FROM bronze_customer
+         UNION ALL SELECT 'silver.store', count(DISTINCT store_id) FROM bronze_customer UNION ALL SELECT 'gold.dim_store', count(DISTINCT store_id) FROM bronze_customer
+         UNION ALL SELECT 'gold.dim_customer', count(try_cast(customer_id AS INT)) FROM bronze_customer
+         UNION ALL SELECT 'gold.dim_staff', count(DISTINCT staff_id) FROM film_rental
+         UNION ALL SELECT 'gold.customer_metrics', count(DISTINCT customer_id) FROM rental
+         UNION ALL SELECT 'gold.dim_date', date_diff('day', date_trunc('year', min(rental_date)), date_trunc('year', max(rental_date)) + INTERVAL 1 YEAR) + 1 FROM rental)""",
+)
+def run_report(spark, sf):
+    return _refresh(spark, sf).report(spark).drop("error")
 
-    def by_store(df):
-        return df.groupBy("store_id").agg(F.count(F.lit(1)).alias("customers"))
 
-    return [
-        land("customer", "customer_id"),
-        land("rental", "rental_id"),
-        Step("silver.customer", ["bronze.customer"], clean),
-        Step("gold.store_customers", ["silver.customer"], by_store),
-    ]
+@query(
+    "model_verdict",
+    """SELECT * FROM (VALUES ('landing', TRUE), ('silver and gold rows', TRUE), ('fact revenue', TRUE), ('customer quality', TRUE), ('bi_ready', TRUE)) t(check_name, passed)
+       WHERE (SELECT count(*) FROM orders) > 0""",
+)
+def model_verdict(spark, sf):
+    made = _refresh(spark, sf).tables
+    later = {name: df for name, df in made.items() if not name.startswith("bronze.")}
+    facts = quality.fact_check(made["gold.fact_rental"], {"customers": "customer_id"}, "revenue_amount", "rental_rate")
+    scores = quality.score_check(made["silver.customer"], "sl_data_quality_score")
+    return quality.verdict(
+        {
+            "landing": quality.bronze_check(made["bronze.customer"], BATCH),
+            "silver and gold rows": quality.table_counts(later).select(F.col("has_rows").alias("passed")),
+            "fact revenue": facts.select((F.col("revenue_facts") == F.col("total_facts")).alias("passed")),
+            "customer quality": scores.select((F.col("avg_quality_score") >= 0.8).alias("passed")),
+        }
+    )
 
 
 @query(
-    "run_report",
-    """SELECT 'bronze.customer' AS table_name, count(*) AS row_count, 'ok' AS status FROM customer
-       UNION ALL SELECT 'bronze.rental', count(*), 'ok' FROM orders
-       UNION ALL SELECT 'silver.customer', count(*), 'ok' FROM customer
-       UNION ALL SELECT 'gold.store_customers', count(DISTINCT c_nationkey), 'ok' FROM customer""",
+    "refreshed_metrics",
+    """SELECT customer_id::INT AS customer_id, total_rentals, total_revenue::DOUBLE AS total_revenue, customer_score, customer_tier FROM metrics""",
 )
-def run_report(spark, sf):
-    sources = {"source.customer": b.bronze_customer(spark, sf).drop("row_id"), "source.rental": b.rental(spark, sf)}
-    result = run(spark, _landing_steps(), sources, fresh_path(spark, "run"), BATCH)
-    return result.report(spark).drop("error")
+def refreshed_metrics(spark, sf):
+    """Customer metrics as the refresh wrote them, through bronze text and silver types."""
+    return _refresh(spark, sf).tables["gold.customer_metrics"].select(
+        "customer_id", "total_rentals", "total_revenue", "customer_score", "customer_tier"
+    )
 
 
 def _hash_sql(columns):
@@ -164,7 +198,7 @@ def _hash_sql(columns):
 
 
 def key_sql(entity, *columns):
-    digest = f"md5(concat_ws('|', '{entity}', " + ", ".join(f"coalesce({c}::VARCHAR, '-')" for c in columns) + "))"
+    digest = f"md5(concat_ws('|', '{entity}', " + ", ".join(f"coalesce(({c})::VARCHAR, '-')" for c in columns) + "))"
     return f"regexp_replace({digest}, '(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})', '\\1-\\2-\\3-\\4-\\5')"
 
 

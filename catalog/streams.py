@@ -9,7 +9,7 @@ from catalog.registry import query
 from stratalake.operators.kpi import business_events
 from stratalake.session import fresh_path
 from stratalake.sources.sinks import Snapshots
-from stratalake.streaming import changes, kpis
+from stratalake.streaming import changes, kpis, stateful
 from stratalake.streaming import events as ev
 
 
@@ -87,3 +87,18 @@ def stream_cdc_append(spark, sf):
     path = fresh_path(spark, "log")
     changes.append_changes(_entries(spark, sf), path, fresh_path(spark, "offsets")).awaitTermination()
     return spark.read.parquet(path).drop("batch_id")
+
+
+@query(
+    "stream_alert_suppressed",
+    """WITH RECURSIVE slots AS (SELECT DISTINCT severity AS rule_id, store_id, date_trunc('minute', ts) AS alert_timestamp FROM biz_events WHERE event_type = 'error'),
+         chain AS (SELECT rule_id, store_id, min(alert_timestamp) AS alert_timestamp FROM slots GROUP BY ALL
+         UNION ALL SELECT c.rule_id, c.store_id, min(s.alert_timestamp) FROM chain c
+           JOIN slots s ON s.rule_id = c.rule_id AND s.store_id = c.store_id AND s.alert_timestamp >= c.alert_timestamp + INTERVAL 360 MINUTE
+           GROUP BY c.rule_id, c.store_id, c.alert_timestamp)
+       SELECT rule_id, store_id, alert_timestamp FROM chain""",
+)
+def stream_alert_suppressed(spark, sf):
+    errors = _events(spark, sf).where("event_type = 'error'")
+    raised = errors.select(F.col("severity").alias("rule_id"), "store_id", F.col("ts").alias("alert_timestamp"))
+    return _finish(spark, stateful.suppress_repeats(raised, 360))

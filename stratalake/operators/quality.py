@@ -138,6 +138,15 @@ def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+def verdict(checks: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per check, passed when it has rows and every row says so in ``passed``, and the overall row."""
+    report = None
+    for name, check in checks.items():
+        line = check.agg(F.lit(name).alias("check_name"), F.coalesce(F.bool_and("passed"), F.lit(False)).alias("passed"))
+        report = line if report is None else report.unionByName(line)
+    return report.unionByName(report.agg(F.lit("bi_ready").alias("check_name"), F.bool_and("passed").alias("passed")))
+
+
 def readiness(tables: Mapping[str, DataFrame], required: Sequence[str]) -> DataFrame:
     """Per required table: ``ready``, ``empty`` or ``missing``; looks at one row of each."""
     spark = next(iter(tables.values())).sparkSession

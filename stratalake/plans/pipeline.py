@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,6 +41,7 @@ class RunResult:
     batch_id: str
     rows: dict[str, int] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
+    tables: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
     def total_rows(self) -> int:
@@ -74,6 +76,16 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _waves(steps: Sequence[Step], ready: set[str]) -> list[list[Step]]:
+    """Steps grouped so that each group only needs tables of earlier groups."""
+    depth = dict.fromkeys(ready, 0)
+    groups: dict[int, list[Step]] = {}
+    for step in steps:
+        depth[step.target] = 1 + max((depth[t] for t in step.reads), default=0)
+        groups.setdefault(depth[step.target], []).append(step)
+    return [groups[d] for d in sorted(groups)]
+
+
 def run(
     spark: SparkSession,
     steps: Sequence[Step],
@@ -81,30 +93,47 @@ def run(
     folder: str,
     batch_id: str,
     on_error: str = "fail",
+    parallel: int = 4,
 ) -> RunResult:
     """Build and write every step below ``folder``.
 
-    Later steps read the written tables, so each table is computed once. ``on_error`` is
-    ``fail`` (stop at the first error) or ``collect`` (note it, skip what depends on it,
-    go on); an error is never reported as zero rows.
+    Later steps read the written tables, so each table is computed once. Up to
+    ``parallel`` steps that do not need each other are submitted together and share the
+    cluster. ``on_error`` is ``fail`` (stop after the group of the first error) or
+    ``collect`` (note it, skip what depends on it, go on); an error is never reported as
+    zero rows.
     """
     if on_error not in ("fail", "collect"):
         raise ValueError(f"unknown on_error: {on_error}")
     check_lineage(steps, list(sources))
     tables = dict(sources)
-    result = RunResult(batch_id)
-    for step in steps:
-        try:
-            missing = [t for t in step.reads if t not in tables]
-            if missing:
-                raise LineageError(f"input failed earlier: {', '.join(missing)}")
-            counted, seen = observe_counts(step.build(*[tables[t] for t in step.reads]), step.target)
-            path = f"{folder}/{step.target.replace('.', '/')}"
-            write_full(counted, path)
-            result.rows[step.target] = seen.get["rows"]
-            tables[step.target] = spark.read.parquet(path)
-        except Exception as error:  # noqa: BLE001 - every failure becomes a report row or is raised
-            if on_error == "fail":
-                raise
-            result.errors[step.target] = str(error).splitlines()[0]
-    return result
+    done: dict[str, int] = {}
+    errors: dict[str, str] = {}
+
+    def write(step: Step) -> tuple[int, DataFrame]:
+        missing = [t for t in step.reads if t not in tables]
+        if missing:
+            raise LineageError(f"input failed earlier: {', '.join(missing)}")
+        counted, seen = observe_counts(step.build(*[tables[t] for t in step.reads]), step.target)
+        path = f"{folder}/{step.target.replace('.', '/')}"
+        write_full(counted, path)
+        return seen.get["rows"], spark.read.schema(counted.schema).parquet(path)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for group in _waves(steps, set(sources)):
+            futures = {step.target: pool.submit(write, step) for step in group}
+            for target, future in futures.items():
+                error = future.exception()
+                if error is None:
+                    done[target], tables[target] = future.result()
+                elif on_error == "fail":
+                    raise error
+                else:
+                    errors[target] = str(error).splitlines()[0]
+    order = [step.target for step in steps]
+    return RunResult(
+        batch_id,
+        {t: done[t] for t in order if t in done},
+        {t: errors[t] for t in order if t in errors},
+        {t: tables[t] for t in order if t in done},
+    )
