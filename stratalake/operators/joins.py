@@ -24,7 +24,8 @@ def denormalize(
     """Left-join several lookups onto ``base``.
 
     Each lookup is ``(frame, {base column: lookup column}, {new column: lookup column})``.
-    Only the named lookup columns travel, and ``base`` rows are never lost.
+    Only the named lookup columns travel. ``base`` rows are never lost, nor repeated as long
+    as a lookup holds a key once.
     """
     result = base
     for number, (frame, on, take) in enumerate(lookups):

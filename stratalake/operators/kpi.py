@@ -237,14 +237,14 @@ def trend(kpis: DataFrame, value: str = "revenue_per_minute", shift: str = "1 da
     The earlier value comes from the same aggregated rows moved forward in time; one
     grouping pairs both, without a self-join.
     """
-    now = kpis.select("kpi_timestamp", "store_id", F.col(value).alias("_now"), F.lit(None).cast(kpis.schema[value].dataType).alias("_then"))
-    then = kpis.select(
-        (F.col("kpi_timestamp") + F.expr(f"INTERVAL {shift}")).alias("kpi_timestamp"),
-        "store_id",
-        F.lit(None).cast(kpis.schema[value].dataType).alias("_now"),
-        F.col(value).alias("_then"),
-    )
-    pairs = now.unionByName(then).groupBy("kpi_timestamp", "store_id").agg(
+    slot, nothing = F.col("kpi_timestamp"), F.lit(None).cast(kpis.schema[value].dataType)
+
+    def reading(at: Column, now: Column, then: Column) -> Column:
+        return F.struct(at.alias("kpi_timestamp"), now.alias("_now"), then.alias("_then"))
+
+    later = slot + F.expr(f"INTERVAL {shift}")
+    both = F.array(reading(slot, F.col(value), nothing), reading(later, nothing, F.col(value)))
+    pairs = kpis.select("store_id", F.inline(both)).groupBy("kpi_timestamp", "store_id").agg(
         F.max("_now").alias(value), F.max("_then").alias("earlier_value")
     )
     moved = F.col(value).cast("double") - F.col("earlier_value").cast("double")

@@ -32,21 +32,15 @@ def write_append(df: DataFrame, path: str, batch_id: str, column: str = "batch_i
     )
 
 
-def write_by_month(df: DataFrame, path: str, event_time: str, spread: int = 8) -> None:
+def write_by_month(df: DataFrame, path: str, event_time: str) -> None:
     """Fact table partitioned by month.
 
-    Rows of a month go to ``spread`` writers, so a heavy month is not one task's
-    job and a month never becomes thousands of small files.
+    Rows are gathered by month, and adaptive execution splits a heavy month into files of
+    the advisory size and merges light ones: no month is one task's job, and none becomes
+    thousands of small files.
     """
-    month = F.date_format(event_time, "yyyy-MM")
-    lane = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    (
-        df.withColumn("month", month)
-        .repartition(F.col("month"), lane)
-        .write.mode("overwrite")
-        .partitionBy("month")
-        .parquet(path)
-    )
+    dated = df.withColumn("month", F.date_format(event_time, "yyyy-MM"))
+    dated.hint("rebalance", F.col("month")).write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def write_bucketed(df: DataFrame, path: str, table: str, key: str, buckets: int) -> None:

@@ -51,6 +51,9 @@ def maintain_history(
             hist = log.where(F.lit(False)).select(key, *columns, *stamp)
         else:
             hist = snapshots.read(number)
+        # Several passes over the batch should not read the source again.
+        log = log.persist()
         snapshots.write(apply_log(hist, log, key, order, at, columns), number + 1)
+        log.unpersist()
 
     return _start(stream, handle, checkpoint, once)

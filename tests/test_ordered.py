@@ -77,3 +77,9 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "k string, t int, v int")
     assert ordered.neighbours(df, ["k"], ["t"], {"p": "t"}).count() == 0
     assert ordered.number_rows(df, ["t"], "n").count() == 0
+
+
+def test_a_hot_key_fills_many_chunks(spark):
+    df = spark.range(6000).selectExpr("if(id % 3 = 0, -1, id) AS k", "id AS t")
+    sizes = [r[1] for r in ordered.range_chunks(df, ["k", "t"], 12).groupBy(ordered.CHUNK).count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * 6000 / 12
