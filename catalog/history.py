@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog import binding as b
 from catalog.registry import query
 from stratalake.operators import cdc, reference, temporal
+from stratalake.plans.changes import ingest_changes
 from stratalake.session import fresh_path
 from stratalake.sources import sinks, tables
 
@@ -38,6 +39,24 @@ def cdc_payload(spark, sf):
     return cdc.to_change_log(b.rental(spark, sf), ["rental_id"], op, F.col("rental_date"), 1000, columns)
 
 
+@query(
+    "cdc_ingest",
+    """SELECT lsn, op, json_extract_string(full_row, '$.rental_id') AS rental_id FROM (
+         SELECT row_number() OVER (ORDER BY rental_date >= TIMESTAMP '1998-01-01', rental_date, rental_id) AS lsn, CASE WHEN return_date IS NULL THEN 'I' ELSE 'U' END AS op,
+           to_json({'rental_id': rental_id::VARCHAR}) AS full_row FROM rental)""",
+)
+def cdc_ingest(spark, sf):
+    """Two batches and a retry of the second."""
+    path = fresh_path(spark, "ingest")
+    op = F.when(F.col("return_date").isNull(), "I").otherwise("U")
+    cut = F.lit("1998-01-01").cast("timestamp")
+    rentals = b.rental(spark, sf)
+    parts = {"batch_1": rentals.where(F.col("rental_date") < cut), "batch_2": rentals.where(F.col("rental_date") >= cut)}
+    for batch in ("batch_1", "batch_2", "batch_2"):
+        ingest_changes(parts[batch], path, batch, ["rental_date", "rental_id"], op, F.col("rental_date"), ["rental_id", "return_date"])
+    return spark.read.parquet(path).select("lsn", "op", cdc.field("rental_id").alias("rental_id"))
+
+
 @query("high_watermark", "SELECT max(lsn) AS high_watermark FROM change_log WHERE load_ts < TIMESTAMP '2024-01-20 12:00:00'")
 def high_watermark(spark, sf):
     return cdc.high_watermark(log(spark, sf).where(F.col("load_ts") < b.as_of_time()))

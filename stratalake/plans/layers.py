@@ -38,7 +38,7 @@ class Settings:
     as_of: Callable[[], Column]
     tiers: Sequence = dims.TIERS
     high_value: object = dims.TIERS[1]
-    ratings: Mapping[str, str] = None
+    ratings: Mapping[str, str] | None = None
     revenue_tiers: Sequence = tuple(dims.REVENUE_TIERS)
     feature_length: int = dims.FEATURE_LENGTH
     short: int = 90

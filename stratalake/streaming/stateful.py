@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -40,31 +41,36 @@ def suppress_repeats(alerts: DataFrame, quiet_minutes: int) -> DataFrame:
 
 
 def running_baseline(series: DataFrame, history: int = 24, anomaly_percent: float = 100.0) -> DataFrame:
-    """Trailing mean of the last ``history`` readings, deviation and anomaly flag per series.
+    """Trailing mean of the last ``history`` readings, deviation, change and anomaly flag per series.
 
     Readings carry ``metric_name``, ``store_id``, ``captured_at`` and a double
-    ``metric_value``. State holds the last ``history`` values of a series.
+    ``metric_value``, one per slot. State holds the last ``history`` values of a series. The
+    result fits ``alerts.evaluate``, which then raises alerts on the stream.
     """
 
     def flag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = list(state.get[0]) if state.exists else []
         rows = pd.concat(list(batches)).sort_values("captured_at")
-        means = []
+        means, before = [], []
         for value in rows["metric_value"]:
-            means.append(sum(held) / len(held) if held else None)
+            means.append(sum(held) / len(held) if held else float("nan"))
+            before.append(held[-1] if held else float("nan"))
             held = [*held, float(value)][-history:]
         state.update((held,))
-        rows = rows[["metric_name", "store_id", "captured_at", "metric_value"]].copy()
-        rows["baseline_value"] = pd.array(means, dtype="Float64").to_numpy(dtype=float, na_value=float("nan"))
-        base = rows["baseline_value"].where(rows["baseline_value"] != 0)
-        rows["deviation_percent"] = (rows["metric_value"] - base) / base * 100
+        rows = rows[["metric_name", "store_id", "captured_at", "metric_value"]].assign(baseline_value=means)
+        for name, base in (("deviation_percent", rows["baseline_value"]), ("change_percent", pd.Series(before, rows.index))):
+            base = base.where(base != 0)
+            rows[name] = (rows["metric_value"] - base) / base * 100
         rows["is_anomaly"] = rows["deviation_percent"].abs() > anomaly_percent
         yield rows
 
     schema = (
         "metric_name string, store_id {}, captured_at timestamp, metric_value double, "
-        "baseline_value double, deviation_percent double, is_anomaly boolean"
+        "baseline_value double, deviation_percent double, change_percent double, is_anomaly boolean"
     ).format(dict(series.dtypes)["store_id"])
-    return series.groupBy("metric_name", "store_id").applyInPandasWithState(
+    flagged = series.groupBy("metric_name", "store_id").applyInPandasWithState(
         flag, schema, "held array<double>", "append", GroupStateTimeout.NoTimeout
     )
+    # Pandas writes a missing number as NaN; on the stream it is NULL as in batch.
+    numbers = ("baseline_value", "deviation_percent", "change_percent")
+    return flagged.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,8 +40,6 @@ EVENT = "event_id bigint, ts timestamp, store_id int, customer_id int, event_typ
 
 
 def made_events(n, step=1.0):
-    from decimal import Decimal
-
     rng = random.Random(n)
     kinds = ["rental_start", "payment_processed", "error", "customer_signup"]
     return [(i, at(i * step), rng.randint(1, 2), rng.randint(1, 5), rng.choice(kinds), Decimal(rng.randint(1, 99)), "info", 5) for i in range(n)]
@@ -106,6 +105,22 @@ def test_baseline_matches_the_batch_twin(spark, files):
     assert plain(got) == plain(want)
 
 
+def test_alerts_on_a_stream_match_the_batch_twin(spark):
+    rng = random.Random(11)
+    rows = [("m", rng.randint(1, 2), at(60 * i), float(rng.randint(0, 50))) for i in range(60)]
+    schema = "metric_name string, store_id int, captured_at timestamp, metric_value double"
+    fields = "rule_id int, target_metric string, condition_type string, threshold_value decimal(18,4), default_severity string, store_filter int, time_of_day_filter string, day_of_week_filter string, is_active boolean, is_test_mode boolean"
+    kinds = [("greater_than", 30, None), ("percentage_change", 80, "business_hours"), ("anomaly_detected", None, None), ("less_than", 5, "after_hours")]
+    rules = spark.createDataFrame(
+        [(n, "m", kind, None if limit is None else Decimal(limit), "info", None, hours, None, True, False) for n, (kind, limit, hours) in enumerate(kinds)], fields
+    )
+    stream = stateful.running_baseline(arriving(spark, rows, schema, 3), history=4)
+    got = finish(spark, alerts.evaluate(stream, rules)).select("rule_id", "store_id", "alert_timestamp")
+    series = spark.createDataFrame(rows, schema).withColumn("metric_value", F.col("metric_value").cast("decimal(18,4)"))
+    want = alerts.evaluate(kpi.with_baseline(series, history=4), rules).select(got.columns)
+    assert sorted(got.collect()) == sorted(want.collect()) and {r.rule_id for r in got.collect()} == {0, 1, 2, 3}
+
+
 LOG = "lsn bigint, user_id int, op string, load_ts timestamp, v int"
 
 

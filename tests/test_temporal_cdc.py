@@ -212,3 +212,18 @@ def test_snapshots(spark):
     # A version without its marker was cut off and does not count.
     spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{shots.path}/v=3")
     assert shots.latest() == 2
+
+
+def test_ingest_numbers_go_on_and_repeat(spark):
+    from stratalake.plans.changes import ingest_changes, last_number
+
+    path = fresh_path(spark, "log")
+    assert last_number(spark, path, "b9") == 0
+    for batch, rows_ in (("b1", 3), ("b2", 4), ("b1", 3), ("b2", 4)):
+        df = spark.range(rows_).select("id")
+        assert ingest_changes(df, path, batch, ["id"], F.lit("I"), ts(0)) == rows_
+    got = spark.read.parquet(path)
+    assert sorted(r.lsn for r in got.collect()) == list(range(1, 8))
+    assert sorted(r.lsn for r in got.where("batch_id = 'b1'").collect()) == [1, 2, 3]
+    assert ingest_changes(spark.range(0).select("id"), path, "b3", ["id"], F.lit("I"), ts(0)) == 0
+    assert last_number(spark, path, "b9") == 7
