@@ -59,10 +59,11 @@ def _offsets(chunked: DataFrame) -> DataFrame:
     )
 
 
-def _same(left: Column, right: Column, keys: Sequence[str]) -> Column:
-    test = F.lit(True)
+def _of_same_key(other: Column, keys: Sequence[str]) -> Column:
+    """Whether the row held in ``other`` exists and has the key of this row."""
+    test = other.isNotNull()
     for key in keys:
-        test = test & left[key].eqNullSafe(right[key])
+        test = test & other[key].eqNullSafe(F.col(key))
     return test
 
 
@@ -79,33 +80,23 @@ def neighbours(
     ``previous`` and ``following`` map a new column to the column it is taken from.
     ``keys + order`` must identify a row.
     """
-    previous, following = dict(previous or {}), dict(following or {})
-    carried = dict.fromkeys([*keys, *previous.values(), *following.values()])
-    row = F.struct(*[F.col(c) for c in carried])
     chunked = range_chunks(df, [*keys, *order], chunks)
-    last = chunked.join(F.broadcast(_sizes(chunked)), CHUNK).where(F.col(ROW) == F.col("_end"))
-    first = chunked.where(F.col(ROW) == 0)
-    borders = first.select(CHUNK, row.alias("_first")).join(last.select(CHUNK, row.alias("_last")), CHUNK)
-    borders = borders.select(
-        CHUNK,
-        F.lag("_last").over(_over_chunks()).alias("_before"),
-        F.lead("_first").over(_over_chunks()).alias("_after"),
-    )
-    marked = chunked.withColumns(
-        {
-            "_prev": F.lag(row).over(_inside()),
-            "_next": F.lead(row).over(_inside()),
-            "_me": F.struct(*[F.col(c) for c in keys]),
-        }
-    ).join(F.broadcast(borders), CHUNK)
-    prev, nxt = F.coalesce("_prev", "_before"), F.coalesce("_next", "_after")
-    has_prev = prev.isNotNull() & _same(prev, F.col("_me"), keys)
-    has_next = nxt.isNotNull() & _same(nxt, F.col("_me"), keys)
-    return marked.select(
-        *df.columns,
-        *[F.when(has_prev, prev[src]).alias(new) for new, src in previous.items()],
-        *[F.when(has_next, nxt[src]).alias(new) for new, src in following.items()],
-    )
+    added: dict[str, Column] = {}
+    inside: dict[str, Column] = {}
+    borders = _sizes(chunked)
+    for side, wanted, look in (("_before", previous, F.lag), ("_after", following, F.lead)):
+        if wanted:
+            row = F.struct(*[F.col(c) for c in dict.fromkeys([*keys, *wanted.values()])])
+            # The row before a chunk is the last of the chunk before, the row after it the first of the next.
+            edge = F.col(ROW) == (F.col("_end") if side == "_before" else F.lit(0))
+            edges = chunked.join(F.broadcast(_sizes(chunked)), CHUNK).where(edge).select(CHUNK, row.alias("_edge"))
+            edges = edges.select(CHUNK, look("_edge").over(_over_chunks()).alias(side))
+            borders = borders.join(F.broadcast(edges), CHUNK)
+            inside[f"{side}_here"] = look(row).over(_inside())
+            other = F.coalesce(f"{side}_here", side)
+            added |= {new: F.when(_of_same_key(other, keys), other[src]) for new, src in wanted.items()}
+    marked = chunked.withColumns(inside).join(F.broadcast(borders.drop("_end")), CHUNK)
+    return marked.select(*df.columns, *[value.alias(new) for new, value in added.items()])
 
 
 def carry_forward(
@@ -127,13 +118,12 @@ def carry_forward(
     before = _over_chunks().rowsBetween(Window.unboundedPreceding, -1)
     borders = carried.select(CHUNK, F.last("_held", ignorenulls=True).over(before).alias("_before"))
     upto = _inside().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = chunked.withColumns(
-        {"_here": F.last(held, ignorenulls=True).over(upto), "_me": F.struct(*[F.col(c) for c in keys])}
-    ).join(F.broadcast(borders), CHUNK)
+    here = chunked.withColumn("_here", F.last(held, ignorenulls=True).over(upto))
     latest = F.coalesce("_here", "_before")
-    found = latest.isNotNull() & _same(latest, F.col("_me"), keys)
     rest = [c for c in df.columns if c != value]
-    return marked.select(*rest, F.when(found, latest["_value"]).alias(value))
+    return here.join(F.broadcast(borders), CHUNK).select(
+        *rest, F.when(_of_same_key(latest, keys), latest["_value"]).alias(value)
+    )
 
 
 def number_rows(
