@@ -145,7 +145,7 @@ WITH d AS (
     WINDOW before AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
         onward AS (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
 ), level AS (
-    SELECT min((whole - capped) / open_weight) AS share_at FROM held WHERE (whole - capped) / open_weight <= cap / weight
+    SELECT arg_min((whole - capped) / open_weight, cap / weight) AS share_at FROM held WHERE (whole - capped) / open_weight <= cap / weight
 ), t AS (
     SELECT source, source_size, least(cap, weight * (SELECT share_at FROM level)) AS target FROM r
 ), m AS (
