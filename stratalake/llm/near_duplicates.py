@@ -44,7 +44,7 @@ REGISTERS, BAND = 256, 5
 BANDS = REGISTERS // BAND
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2  # register = floor(1 - log_BASE(minimum / RATE)) in 0 .. TOP + 1
 SLACK = 0.11  # four standard deviations of the estimate at 0.75
-SMALL_BUCKET = 64  # pairs of a bucket up to this size come from a join
+SMALL_BUCKET = 8  # pairs of a bucket up to this size come from a join
 BLOCK = 512  # classes of a block in larger buckets
 
 _random = np.random.Generator(np.random.PCG64(20240607))
