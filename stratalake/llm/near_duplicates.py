@@ -12,8 +12,9 @@ about as often as they share shingles. So:
    how many registers are larger, smaller and equal and from both set sizes, is not far below
    the threshold; survivors are compared on their full sets;
 4. a bucket whose classes are one component by now is done. In the others each class outside
-   the bucket's largest component is paired with all classes of other components, by a join in
-   small buckets and by blocks of registers in large ones, estimated and verified as before.
+   the bucket's largest component is paired with all classes of other components, estimated and
+   verified as before: by a join in small buckets, in large ones block by block inside tasks,
+   from which only links come out.
 
 With 51 bands of 5 registers a pair at the threshold of 0.75 misses all buckets with a
 probability of 1e-6, and the estimate drops it with 3e-5. Links are only reported after both
@@ -44,7 +45,7 @@ REGISTERS, BAND = 256, 5
 BANDS = REGISTERS // BAND
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2  # register = floor(1 - log_BASE(minimum / RATE)) in 0 .. TOP + 1
 SLACK = 0.11  # four standard deviations of the estimate at 0.75
-SMALL_BUCKET = 8  # pairs of a bucket up to this size come from a join
+SMALL_BUCKET = 64  # pairs of a bucket up to this size come from a join
 BLOCK = 512  # classes of a block in larger buckets
 
 _random = np.random.Generator(np.random.PCG64(20240607))
@@ -229,37 +230,89 @@ def _cross_small(rows: DataFrame) -> DataFrame:
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def _cross_large(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of large buckets, compared block by block on registers; only plausible ones come out."""
-    many = rows.where("n_all > %d" % SMALL_BUCKET).join(classes.select("id", "n", "sketch"), "id")
+class _Block:
+    """Components, set sizes and sketches of one block's classes."""
+
+    def __init__(self, rows: pa.Table):
+        self.ids, self.parts, self.sizes = (rows.column(c).to_numpy() for c in ("id", "component", "n"))
+        self.sketches = _rows(rows.column("sketch"))
+
+    def plausible(self, x: dict, percent: int) -> np.ndarray:
+        """Places of the classes that may link with the row ``x`` of another component."""
+        least = percent / 100 - SLACK
+        fits = np.minimum(self.sizes, x["n"]) * 100 >= np.maximum(self.sizes, x["n"]) * percent
+        at = np.flatnonzero(fits & (self.parts != x["component"]))
+        mine, theirs = np.frombuffer(x["sketch"], np.uint16), self.sketches[at]
+        # Far fewer equal registers than the estimate needs: no likelihood has to be worked out.
+        near = (theirs == mine).sum(axis=1) >= (least - 0.1) * REGISTERS
+        at, theirs = at[near], theirs[near]
+        if not len(at):
+            return at
+        mine = np.broadcast_to(mine, theirs.shape)
+        sizes = self.sizes[at].astype(float)
+        return at[likely_similarity(mine, theirs, np.full(len(at), float(x["n"])), sizes) >= least]
+
+
+def _block_pairs(rows: DataFrame, extra: list[str]):
+    """Minor classes of each bucket against all of its classes, in pairs of bounded blocks."""
     across = F.ceil(F.col("n_all") / BLOCK)
     down = F.ceil(F.col("n_minor") / BLOCK)
     own = lambda parts: F.pmod(F.xxhash64("id"), parts).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), (parts - 1).cast("int")))
-    kept = ["bucket", "id", "component", "n", "sketch"]
-    left = many.where("minor").select(*kept, own(down).alias("_row"), every(across).alias("_col"))
-    right = many.select(*[F.col(c).alias(c) for c in kept], every(down).alias("_row"), own(across).alias("_col"))
+    kept = ["bucket", "id", "component", "n", "sketch", *extra]
+    left = rows.where("minor").select(*kept, own(down).alias("_row"), every(across).alias("_col"))
+    right = rows.select(*[F.col(c).alias(c) for c in kept], every(down).alias("_row"), own(across).alias("_col"))
+    by = ["bucket", "_row", "_col"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by))
+
+
+def _cross_large(rows: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between components inside large buckets, one per class and component that it links with.
+
+    A first pass over registers finds the classes that have a plausible partner; their full sets
+    then go to the blocks, where plausible pairs are verified. No pairs leave a block but links.
+    """
+    many = rows.where("n_all > %d" % SMALL_BUCKET).join(classes.select("id", "n", "sketch"), "id")
+
+    def suspects(one: pa.Table, other: pa.Table) -> pa.Table:
+        found: set[int] = set()
+        if other.num_rows:
+            block = _Block(other)
+            for x in one.to_pylist():
+                at = block.plausible(x, percent)
+                if len(at):
+                    found.add(x["id"])
+                    found.update(block.ids[at].tolist())
+        return pa.table({"id": pa.array(sorted(found), pa.int64())})
+
+    named = pin(_block_pairs(many, []).applyInArrow(suspects, "id bigint").distinct(), "suspects")
+    sets = texts.join(named, "id", "left_semi").select("id", _shingle_sets("text").alias("items"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(one: pa.Table, other: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
         if one.num_rows and other.num_rows:
-            ids, parts, sizes = (other.column(c).to_numpy() for c in ("id", "component", "n"))
-            theirs = _rows(other.column("sketch"))
-            for x, part, n, sketch in zip(*(one.column(c).to_pylist() for c in ("id", "component", "n", "sketch")), strict=True):
-                fits = (parts != part) & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent)
-                at = np.flatnonzero(fits)
+            block = _Block(other)
+            items = other.column("items").combine_chunks()
+            known, code = np.unique(items.flatten().to_numpy(), return_inverse=True)
+            owner = np.repeat(np.arange(len(items)), np.diff(items.offsets.to_numpy()))
+            for x in one.to_pylist():
+                at = block.plausible(x, percent)
                 if not len(at):
                     continue
-                mine = np.broadcast_to(np.frombuffer(sketch, np.uint16), (len(at), REGISTERS))
-                likely = likely_similarity(mine, theirs[at], np.full(len(at), float(n)), sizes[at].astype(float))
-                for y in ids[at[likely >= percent / 100 - SLACK]].tolist():
-                    found.append((min(x, y), max(x, y)))
-        pairs = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
+                place = np.searchsorted(known, x["items"])
+                inside = np.zeros(len(known), bool)
+                place, own = np.minimum(place, len(known) - 1), np.array(x["items"])
+                inside[place[known[place] == own]] = True
+                common = np.bincount(owner[inside[code]], minlength=len(items))[at]
+                linked = at[common * 100 >= (block.sizes[at] + x["n"] - common) * percent]
+                for i in linked[np.unique(block.parts[linked], return_index=True)[1]]:
+                    found.append((min(x["id"], int(block.ids[i])), max(x["id"], int(block.ids[i]))))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
-    by = ["bucket", "_row", "_col"]
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(compare, "a bigint, b bigint")
+    full = many.join(pin(sets, "shingles"), "id")
+    return _block_pairs(full, ["items"]).applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def links(made: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -271,11 +324,11 @@ def links(made: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, D
     unique = pin(unique.select("id", F.col("n_shingles").alias("n"), "sketch"), "classes")
     buckets = pin(unique.select("id", F.explode(_keys("sketch")).alias("bucket")), "buckets")
     found = verified(pin(_plausible(_stars(buckets), unique, percent), "stars"), texts, percent)
-    linked = components(found)
-    rows = pin(_open_buckets(buckets, linked), "open")
-    crossing = _plausible(_cross_small(rows), unique, percent).unionByName(_cross_large(rows, unique, percent))
-    more = verified(pin(crossing.distinct(), "crossing"), texts, percent)
-    return classes, components(found.unionByName(more))
+    rows = _open_buckets(buckets, components(found)).where("n_all <= %d" % SMALL_BUCKET)
+    small = pin(_plausible(_cross_small(rows), unique, percent), "crossing")
+    found = found.unionByName(verified(small, texts, percent))
+    rows = pin(_open_buckets(buckets, components(found)).where("n_all > %d" % SMALL_BUCKET), "open")
+    return classes, components(found.unionByName(pin(_cross_large(rows, unique, texts, percent), "crossing")))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
