@@ -21,12 +21,9 @@ component and are kept.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
@@ -34,46 +31,40 @@ from stratalake.llm.vectors import matrix, usable
 from stratalake.session import pin
 
 TREES = 3
-LEAF = 1024  # vectors of a leaf, and of a block of a larger one
-SPILL = 1.5
+LEAF = 2048  # vectors of a leaf, and of a block of a larger one
+SPILL = 1.25
 NARROW = 1.5  # a node whose projections deviate by less than so many overlaps is not split
 LEVELS = 60
 
 
-def _overlap(dims: int, threshold: float) -> float:
+def _overlap(dims: Column, threshold: float) -> Column:
     """Half the width of the overlap: what a pair at the threshold differs by on a direction."""
-    return SPILL * math.sqrt(max(0.0, 2 - 2 * threshold) / dims)
+    return F.lit(SPILL) * F.sqrt(F.lit(max(0.0, 2 - 2 * threshold)) / dims)
 
 
-def _project(rows: DataFrame, seed: int, threshold: float) -> DataFrame:
-    """``node, id, vector, p, overlap``: unit vectors on the direction of their node."""
-    schema = pa.schema(
-        [("node", pa.int64()), ("id", pa.int64()), ("vector", pa.list_(pa.float64())), ("p", pa.float64()), ("overlap", pa.float64())]
-    )
+def _on_direction(seed: int, node: Column, vector: Column) -> Column:
+    """Unit vectors projected on the random direction of their node."""
 
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, lengths = batch.column(0).to_numpy(), np.diff(batch.column(2).offsets.to_numpy())
-            p, overlap = np.zeros(len(nodes)), np.zeros(len(nodes))
-            for node, dims in set(zip(nodes.tolist(), lengths.tolist(), strict=True)):
-                at = np.flatnonzero((nodes == node) & (lengths == dims))
-                direction = np.random.default_rng([node & 0xFFFFFFFFFFFFFFFF, seed]).standard_normal(dims)
-                vectors = matrix(batch.column(2).take(pa.array(at)), np.float64)
-                unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-                p[at] = unit @ (direction / np.linalg.norm(direction))
-                overlap[at] = _overlap(dims, threshold)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array(overlap)], schema=schema)
-
-    return rows.select("node", "id", "vector").mapInArrow(
-        project, "node bigint, id bigint, vector array<double>, p double, overlap double"
-    )
+    @F.arrow_udf("double")
+    def project(nodes: pa.Array, vectors: pa.Array) -> pa.Array:
+        names, lengths = nodes.to_numpy(), np.diff(vectors.offsets.to_numpy())
+        p = np.zeros(len(names))
+        for name, dims in set(zip(names.tolist(), lengths.tolist(), strict=True)):
+            at = np.flatnonzero((names == name) & (lengths == dims))
+            direction = np.random.default_rng([name & 0xFFFFFFFFFFFFFFFF, seed]).standard_normal(dims)
+            rows = matrix(vectors.take(pa.array(at)), np.float64)
+            p[at] = rows @ (direction / np.linalg.norm(direction)) / np.linalg.norm(rows, axis=1)
+        return pa.array(p)
+
+    return project(node, vector)
 
 
 def forest(classes: DataFrame, threshold: float, trees: int = TREES, seed: int = 9) -> DataFrame:
-    """``node, id, vector`` per leaf and vector, for classes ``id, label, vector`` of array<double>."""
+    """``node, id, copies, vector`` per leaf and vector, for classes ``id, label, copies, vector``."""
     root = F.xxhash64(F.col("label"), F.size("vector"), F.col("_tree"))
     some = classes.withColumn("_tree", F.explode(F.sequence(F.lit(1), F.lit(trees))))
-    growing = pin(some.select(root.alias("node"), "id", "vector"), "nodes")
+    kept = ["node", "id", "copies", "vector"]
+    growing = pin(some.select(root.alias("node"), "id", "copies", "vector"), "nodes")
     leaves = []
     for level in range(LEVELS):
         sizes = pin(growing.groupBy("node").agg(F.count("*").alias("n")), "sizes")
@@ -83,22 +74,25 @@ def forest(classes: DataFrame, threshold: float, trees: int = TREES, seed: int =
             leaves.append(growing.join(large, "node", "left_semi"))
         if level == LEVELS - 1 or large.isEmpty():
             break
-        placed = pin(_project(growing.join(large, "node", "left_semi"), seed, threshold), "projections")
+        # Projections depend on node and vector alone, so both passes below see the same ones.
+        placed = growing.join(large, "node", "left_semi").withColumns(
+            {"p": _on_direction(seed + level, F.col("node"), F.col("vector")), "_over": _overlap(F.size("vector"), threshold)}
+        )
         cuts = placed.groupBy("node").agg(
-            F.percentile_approx("p", 0.5, 1000).alias("cut"), F.stddev_pop("p").alias("_wide"), F.max("overlap").alias("_over")
+            F.percentile_approx("p", 0.5, 1000).alias("cut"),
+            (F.stddev_pop("p") < F.max("_over") * NARROW).alias("_narrow"),
         )
         cuts = pin(cuts, "cuts")
-        narrow = F.col("_wide") < F.col("_over") * NARROW
-        leaves.append(placed.join(cuts.where(narrow), "node", "left_semi").select("node", "id", "vector"))
-        split = placed.join(cuts.where(~narrow).select("node", "cut"), "node")
+        leaves.append(growing.join(cuts.where("_narrow"), "node", "left_semi"))
+        split = placed.join(cuts.where("NOT _narrow").select("node", "cut"), "node")
         sides = F.array_compact(
             F.array(
-                F.when(F.col("p") <= F.col("cut") + F.col("overlap"), F.lit(0)),
-                F.when(F.col("p") > F.col("cut") - F.col("overlap"), F.lit(1)),
+                F.when(F.col("p") <= F.col("cut") + F.col("_over"), F.lit(0)),
+                F.when(F.col("p") > F.col("cut") - F.col("_over"), F.lit(1)),
             )
         )
         split = split.withColumn("_side", F.explode(sides))
-        growing = pin(split.select(F.xxhash64("node", "_side").alias("node"), "id", "vector"), "nodes")
+        growing = pin(split.select(F.xxhash64("node", "_side").alias("node"), *kept[1:]), "nodes")
     whole = leaves[0]
     for more in leaves[1:]:
         whole = whole.unionByName(more)
@@ -174,7 +168,7 @@ def _links(classes: DataFrame, threshold: float, trees: int) -> DataFrame:
     leaves = forest(classes, threshold, trees)
     several = leaves.groupBy("id").agg(F.sort_array(F.collect_set("node")).alias("leaves"))
     sizes = leaves.groupBy("node").agg(F.ceil(F.count("*") / LEAF).cast("int").alias("_blocks"))
-    rows = leaves.distinct().join(sizes, "node").join(several, "id").join(classes.select("id", "copies"), "id")
+    rows = leaves.join(sizes, "node").join(several, "id")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
     rows = rows.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     rows = rows.withColumns({"_low": F.least("block", "_with"), "_high": F.greatest("block", "_with")})
@@ -197,7 +191,7 @@ def vector_duplicates(
     )
     nonzero = F.exists("vector", lambda x: x != 0)
     takes_part = F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector")) & F.coalesce(nonzero, F.lit(False))
-    rows = rows.select("id", "label", F.when(takes_part, F.transform("vector", lambda x: x.cast("double"))).alias("vector"))
+    rows = rows.select("id", "label", F.when(takes_part, F.col("vector")).alias("vector"))
     classes = rows.where(F.col("vector").isNotNull()).groupBy("label", "vector")
     classes = pin(classes.agg(F.min("id").alias("id"), F.count("*").alias("copies")), "classes")
     # An id that stands for two vectors is one node; its first vector leads.
