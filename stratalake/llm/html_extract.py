@@ -8,7 +8,7 @@ marginal of each node; text of nodes that are content more likely than not is ke
 The weights are fitted on labelled pages: those whose markup names the main text (``article``,
 ``main``). In every second one the naming tags are hidden, so that pages without them are
 learned too. Elements whose purpose is stated (navigation, forms, scripts, comments, notices)
-are evidence: they and everything below them are no content.
+are no content, with everything below them, and are cut off the tree.
 
 Labelled pages are a sample of at most ``SAMPLE`` rows of at most ``SAMPLE_CHARS`` characters,
 the smallest hashes of the id; every page is extracted whole.
@@ -77,7 +77,7 @@ def prior() -> Model:
 
 
 def blocked(nodes: Sequence[Node]) -> list[bool]:
-    """Whether a node is evidence for no content, by itself or through an element around it."""
+    """Whether a node is stated to be no content, by itself or through an element around it."""
     out, inside_main = [], []
     for node in nodes:
         above = node.parent >= 0 and out[node.parent]
@@ -136,15 +136,27 @@ def marginals(parents: Sequence[int], own: Sequence[float], edge: np.ndarray) ->
     return all_
 
 
-def _labels(nodes: Sequence[Node]) -> np.ndarray | None:
+def _labels(nodes: Sequence[Node], parents: Sequence[int]) -> np.ndarray | None:
     """Content flags of a page whose markup names its main text, else None."""
     inside: list[bool] = []
-    for node in nodes:
-        inside.append(node.tag in _MAIN or (node.parent >= 0 and inside[node.parent]))
+    for node, parent in zip(nodes, parents, strict=True):
+        inside.append(node.tag in _MAIN or (parent >= 0 and inside[parent]))
     return np.array(inside) if any(inside) else None
 
 
-_CLAMP = -60.0
+def _free(nodes: Sequence[Node]) -> tuple[list[Node], list[int]]:
+    """Nodes that are not blocked, and the places of their parents among them.
+
+    A blocked element says nothing about what surrounds it, so it is cut off with all below.
+    """
+    place: dict[int, int] = {}
+    kept, parents = [], []
+    for i, (node, out) in enumerate(zip(nodes, blocked(nodes), strict=True)):
+        if not out:
+            place[i] = len(kept)
+            kept.append(node)
+            parents.append(place.get(node.parent, -1))
+    return kept, parents
 
 
 def fit(pages: Sequence[str]) -> Model:
@@ -153,26 +165,22 @@ def fit(pages: Sequence[str]) -> Model:
     counts = _AGREE.copy()
     examples = []
     for page in pages:
-        nodes = parse(page)
-        label = _labels(nodes)
+        nodes, parents = _free(parse(page))
+        label = _labels(nodes, parents)
         if label is None:
             continue
-        out = np.array(blocked(nodes))
-        label &= ~out
-        parents = [n.parent for n in nodes]
         for i, p in enumerate(parents):
-            if p >= 0 and not out[i]:
+            if p >= 0:
                 counts[int(label[p]), int(label[i])] += 1
-        examples.append((features(nodes, hide=bool(len(examples) % 2)), parents, out, label))
+        examples.append((features(nodes, hide=bool(len(examples) % 2)), parents, label))
     model = Model(start.weights.copy(), np.log(counts / counts.sum(axis=1, keepdims=True)))
-    free = sum(int((~out).sum()) for _, _, out, _ in examples)
+    rows_in_all = sum(len(parents) for _, parents, _ in examples)
     for _ in range(ROUNDS if examples else 0):
         gradient = np.zeros(len(FEATURES))
-        for rows, parents, out, label in examples:
-            odds = np.array(marginals(parents, np.where(out, _CLAMP, rows @ model.weights).tolist(), model.edge))
-            gap = label - 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
-            gradient += rows[~out].T @ gap[~out]
-        model.weights += STEP * (len(FEATURES) * gradient / free - DECAY * (model.weights - start.weights))
+        for rows, parents, label in examples:
+            odds = np.array(marginals(parents, (rows @ model.weights).tolist(), model.edge))
+            gradient += rows.T @ (label - 1 / (1 + np.exp(-np.clip(odds, -50, 50))))
+        model.weights += STEP * (len(FEATURES) * gradient / rows_in_all - DECAY * (model.weights - start.weights))
     return model
 
 
@@ -180,13 +188,11 @@ def main_text(page: str | None, model: Model) -> str:
     """Blocks of content, in page order, one per line."""
     if not page:
         return ""
-    nodes = parse(page)
-    out = blocked(nodes)
-    own = np.where(out, _CLAMP, features(nodes) @ model.weights).tolist()
-    odds = marginals([n.parent for n in nodes], own, model.edge)
+    nodes, parents = _free(parse(page))
+    odds = marginals(parents, (features(nodes) @ model.weights).tolist(), model.edge)
     blocks: dict[tuple[int, int], list[str]] = {}
     for i, node in enumerate(nodes):
-        if odds[i] > 0 and not out[i]:
+        if odds[i] > 0:
             for place, piece in node.runs:
                 blocks.setdefault((place, i), []).append(piece)
     lines = (" ".join("".join(pieces).split()) for _, pieces in sorted(blocks.items()))

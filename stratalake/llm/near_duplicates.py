@@ -236,15 +236,24 @@ class _Block:
     def __init__(self, rows: pa.Table):
         self.ids, self.parts, self.sizes = (rows.column(c).to_numpy() for c in ("id", "component", "n"))
         self.sketches = _rows(rows.column("sketch"))
+        bucket = np.array(rows.column("bucket")[0].as_py(), np.int64)
+        self.band = int((band_keys(self.sketches[:1]).view(np.int64)[0] == bucket).argmax())
 
     def plausible(self, x: dict, percent: int) -> np.ndarray:
-        """Places of the classes that may link with the row ``x`` of another component."""
+        """Places of the classes that may link with the row ``x`` of another component.
+
+        A pair that shares several buckets is left to the one of its first common band; as its
+        classes are of two components, that bucket is open and compares it too.
+        """
         least = percent / 100 - SLACK
         fits = np.minimum(self.sizes, x["n"]) * 100 >= np.maximum(self.sizes, x["n"]) * percent
         at = np.flatnonzero(fits & (self.parts != x["component"]))
         mine, theirs = np.frombuffer(x["sketch"], np.uint16), self.sketches[at]
         # Far fewer equal registers than the estimate needs: no likelihood has to be worked out.
-        near = (theirs == mine).sum(axis=1) >= (least - 0.1) * REGISTERS
+        equal = theirs == mine
+        near = np.flatnonzero(equal.sum(axis=1) >= (least - 0.1) * REGISTERS)
+        bands = equal[near, : BANDS * BAND].reshape(-1, BANDS, BAND).all(axis=2)
+        near = near[bands.argmax(axis=1) == self.band] if len(near) else near
         at, theirs = at[near], theirs[near]
         if not len(at):
             return at
