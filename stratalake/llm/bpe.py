@@ -27,7 +27,7 @@ from tokenizers.models import BPE
 from stratalake.llm.pretokens import PreTokenizer, to_byte_chars
 from stratalake.llm.workers import file_bytes, per_worker
 
-# Entries of a worker's caches; a full cache is emptied, results do not depend on it.
+# Entries of a worker's caches; results do not depend on them.
 CACHE_ENTRIES = 1 << 18
 
 
@@ -78,18 +78,20 @@ class Codec:
             ids.extend(known)
         return tuple(ids)
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode_packed(self, text: str | None) -> bytes:
+        """Ids of a text as 32-bit integers, one after the other."""
         if not text:
-            return []
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        ids: list[int] = []
-        for special, words in self.pre.pieces(text):
-            if special is not None:
-                ids.append(special)
-            else:
-                ids.extend(itertools.chain.from_iterable(map(self.words.__getitem__, words)))
-        return ids
+            return b""
+        self.words.turn()
+        return b"".join(
+            [
+                np.int32(special).tobytes() if special is not None else b"".join(map(self.words.__getitem__, words))
+                for special, words in self.pre.pieces(text)
+            ]
+        )
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.encode_packed(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; without a decoder in the file the library joins tokens by one space.
@@ -103,14 +105,25 @@ class Codec:
 
 
 class _Words(dict):
-    """Ids by pre-token; long pre-tokens are encoded without being kept."""
+    """Packed ids by pre-token; long pre-tokens are encoded without being kept.
+
+    A full cache becomes the old one, from which words that are met again come back.
+    """
 
     def __init__(self, codec: Codec):
         super().__init__()
         self.codec = codec
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self) >= CACHE_ENTRIES:
+            self.old = dict(self)
+            self.clear()
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.codec.encode_word(word)
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = np.array(self.codec.encode_word(word), np.int32).tobytes()
         if len(word) <= 64:
             self[word] = ids
         return ids
@@ -124,9 +137,9 @@ def encode(spark: SparkSession, path: str, text: Column) -> Column:
     @F.arrow_udf("array<int>")
     def encode_texts(texts: pa.Array) -> pa.Array:
         codec = per_worker(("codec", source.value[:64], len(source.value)), lambda: Codec(source.value))
-        encoded = [np.array(codec.encode(t), np.int32) for t in texts.to_pylist()]
-        ends = np.cumsum([0, *map(len, encoded)])
-        flat = np.concatenate(encoded) if encoded else np.array([], np.int32)
+        packed = [codec.encode_packed(t) for t in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, packed)]) // 4
+        flat = np.frombuffer(b"".join(packed), np.int32)
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
     return encode_texts(text)
@@ -139,7 +152,11 @@ def decode(spark: SparkSession, path: str, ids: Column) -> Column:
     @F.arrow_udf("string")
     def decode_ids(lists: pa.Array) -> pa.Array:
         codec = per_worker(("codec", source.value[:64], len(source.value)), lambda: Codec(source.value))
-        return pa.array([None if i is None else codec.decode(i) for i in lists.to_pylist()], pa.string())
+        ends = lists.offsets.to_numpy()
+        ids = lists.values.to_numpy(zero_copy_only=False)  # NULL ids make the values floats, which decode skips
+        ids = np.nan_to_num(ids, nan=-1).astype(np.int64) if ids.dtype.kind == "f" else ids
+        texts = [codec.decode(ids[a:b].tolist()) for a, b in itertools.pairwise(ends)]
+        return pa.array(texts, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
 
     return decode_ids(ids)
 
