@@ -198,7 +198,7 @@ def _hash_sql(columns):
 
 
 def key_sql(entity, *columns):
-    digest = f"md5(concat_ws('|', '{entity}', " + ", ".join(f"coalesce(({c})::VARCHAR, '-')" for c in columns) + "))"
+    digest = f"md5(concat_ws('|', '{entity}', " + ", ".join(f"coalesce(length(({c})::VARCHAR) || ':' || ({c})::VARCHAR, '-')" for c in columns) + "))"
     return f"regexp_replace({digest}, '(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})', '\\1-\\2-\\3-\\4-\\5')"
 
 

@@ -24,8 +24,13 @@ def record_hash(columns: list[str], compat: bool = False) -> Column:
 
 
 def surrogate_key(entity: str, *natural_key: str | Column) -> Column:
-    """A UUID-shaped key derived from the entity name and its natural key."""
-    cols = [F.col(c) if isinstance(c, str) else c for c in natural_key]
-    digest = F.md5(F.concat_ws("|", F.lit(entity), *[F.coalesce(c.cast("string"), F.lit("-")) for c in cols]))
+    """A UUID-shaped key derived from the entity name and its natural key.
+
+    Values are marked as in ``record_hash``, so separators inside them and NULLs make no two
+    different keys equal.
+    """
+    cols = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in natural_key]
+    parts = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cols]
+    digest = F.md5(F.concat_ws("|", F.lit(entity), *parts))
     bounds = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     return F.concat_ws("-", *[F.substring(digest, start, size) for start, size in bounds])

@@ -97,36 +97,43 @@ def missing_data(series: DataFrame, rules: DataFrame, first: Column, last: Colum
 def suppress(alerts: DataFrame, rules: DataFrame) -> DataFrame:
     """Drop repeats of a rule and store within its ``suppress_duplicate_minutes``.
 
-    An alert is kept when the last *kept* one is at least that old, so alerts are followed
-    in order. The count starts anew after every quiet gap of that length; the chains
-    between such gaps are independent and spread over the tasks. A task walks its sorted
-    rows once and remembers only the chain it is in and the last alert kept.
+    An alert is kept when the last *kept* one is at least that old, by their true instants, so
+    alerts are followed in order. The count starts anew after every quiet gap of that length;
+    the chains between such gaps are independent and spread over the tasks. A task jumps from
+    kept alert to kept alert and remembers only the last one. Rules with a wait of 0 keep all.
     """
-    quiet = rules.select("rule_id", F.col("suppress_duplicate_minutes").alias("_quiet"))
-    minute = F.floor(F.unix_micros(F.date_trunc("minute", "alert_timestamp")) / F.lit(60_000_000))
-    # Alerts of one minute count once, so a rule and store have no more rows than time has minutes.
-    slots = alerts.groupBy("rule_id", "store_id", minute.alias("_minute")).agg(
-        F.min("alert_timestamp").alias("alert_timestamp")
-    )
-    slots = slots.join(broadcast_checked(quiet), "rule_id")
-    line = Window.partitionBy("rule_id", "store_id").orderBy("_minute")
-    begins = F.coalesce(F.col("_minute") - F.lag("_minute").over(line) >= F.col("_quiet"), F.lit(True))
+    wait = F.col("suppress_duplicate_minutes").cast("bigint") * F.lit(60_000_000)
+    quiet = rules.select("rule_id", F.coalesce(wait, F.lit(0)).alias("_quiet"))
+    names = ["rule_id", "store_id", "alert_timestamp"]
+    raised = alerts.select(*names, F.unix_micros(F.col("alert_timestamp").cast("timestamp")).alias("_at"))
+    raised = raised.join(broadcast_checked(quiet), "rule_id")
+    line = Window.partitionBy("rule_id", "store_id").orderBy("_at")
+    begins = F.coalesce(F.col("_at") - F.lag("_at").over(line) >= F.col("_quiet"), F.lit(True))
     chain = ["rule_id", "store_id", "_chain"]
-    chains = slots.withColumn("_begins", begins).withColumn("_chain", F.sum(F.col("_begins").cast("int")).over(line))
-    ordered = chains.repartition(*chain).sortWithinPartitions(*chain, "_minute")
+    chains = raised.where("_quiet > 0").withColumn("_begins", begins)
+    chains = chains.withColumn("_chain", F.sum(F.col("_begins").cast("int")).over(line))
+    ordered = chains.repartition(*chain).sortWithinPartitions(*chain, "_at", F.desc("_begins"))
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last = 0
         for batch in batches:
-            kept = np.zeros(len(batch), dtype=bool)
-            for at, (begin, now, wait) in enumerate(zip(batch["_begins"], batch["_minute"], batch["_quiet"])):
-                if begin or now - last >= wait:
-                    kept[at], last = True, now
-            yield batch.loc[kept, ["rule_id", "store_id", "alert_timestamp"]]
-
-    kinds = dict(slots.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in ("rule_id", "store_id", "alert_timestamp"))
-    return ordered.mapInPandas(keep, schema)
+            at, quiet = batch["_at"].to_numpy(), batch["_quiet"].to_numpy()
+            begins = batch["_begins"].to_numpy(dtype=bool)
+            borders = sorted({0, len(at), *np.flatnonzero(begins).tolist()})
+            kept = []
+            for start, stop in zip(borders, borders[1:]):
+                own, wait = at[start:stop], quiet[start]
+                # The first rows of a batch may go on with the chain of the batch before.
+                here = 0 if begins[start] else np.searchsorted(own, last + wait)
+                while here < len(own):
+                    kept.append(start + here)
+                    last = own[here]
+                    here = np.searchsorted(own, last + wait)
+            yield batch.iloc[kept][names]
+
+    kinds = dict(raised.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in names)
+    return ordered.mapInPandas(keep, schema).unionByName(raised.where("_quiet <= 0").select(*names))
 
 
 def escalation_level(raised: Column, acknowledged: Column, as_of: Column, every: Column, limit: Column) -> Column:

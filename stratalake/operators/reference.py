@@ -41,7 +41,9 @@ def merge_reference(
     """
     if on_missing not in ("deactivate", "delete", "keep"):
         raise ValueError(f"unknown on_missing: {on_missing}")
-    paired = _paired(current, new, key, compare)
+    # An inserted row takes every column that the new record has.
+    given = [c for c in current.columns if c in new.columns and c != key]
+    paired = _paired(current, new, key, list(dict.fromkeys([*compare, *given])))
     has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     if on_missing == "delete":
         paired = paired.where(has_new)
@@ -55,6 +57,8 @@ def merge_reference(
             value = F.when(has_new, F.col(f"_new.{name}")).otherwise(F.col(f"_old.{name}"))
         elif name == changed:
             value = F.when(update | ~has_old, at).otherwise(F.col(f"_old.{name}"))
+        elif name in given:
+            value = F.when(has_old, F.col(f"_old.{name}")).otherwise(F.col(f"_new.{name}"))
         else:
             value = F.col(f"_old.{name}")
         if name == inactivated and name not in compare and on_missing == "deactivate":

@@ -13,15 +13,28 @@ from stratalake.plans.pipeline import observe_counts
 from stratalake.sources.sinks import write_append
 
 
+_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log with its batch ids as they were written; ``000000000002`` stays a word."""
+    before = spark.conf.get(_INFERENCE)
+    spark.conf.set(_INFERENCE, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(_INFERENCE, before)
+
+
 def last_number(spark: SparkSession, path: str, batch_id: str) -> int:
     """Highest number that batches before ``batch_id`` left in the log; 0 for a new log."""
     try:
-        log = spark.read.parquet(path)
+        log = read_log(spark, path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return 0
         raise
-    earlier = log.where(F.col("batch_id").cast("string") < batch_id)
+    earlier = log.where(F.col("batch_id") < batch_id)
     return cdc.high_watermark(earlier).first()[0]
 
 

@@ -179,3 +179,12 @@ def test_trend_and_completeness(spark):
     full = {str(r.kpi_date): r for r in kpi.completeness(kpis, 1, ts(0), ts(24 * 60 + 4)).collect()}
     assert (full["2024-01-01"].expected_slots, full["2024-01-02"].expected_slots) == (15 * 60, 9 * 60 + 4)
     assert full["2024-01-02"].data_freshness_minutes == 3
+
+
+def test_suppression_by_true_instants(spark):
+    second = lambda n: START + dt.timedelta(seconds=n)
+    rows = [(1, 1, second(20 * n)) for n in range(6)] + [(2, 1, second(n)) for n in (59, 60, 118, 119, 400)]
+    df = spark.createDataFrame(rows, "rule_id int, store_id int, alert_timestamp timestamp")
+    config = spark.createDataFrame([(1, 0), (2, 1)], "rule_id int, suppress_duplicate_minutes int")
+    got = sorted((r.rule_id, round((r.alert_timestamp - START).total_seconds())) for r in alerts.suppress(df, config).collect())
+    assert got == [(1, 20 * n) for n in range(6)] + [(2, 59), (2, 119), (2, 400)]

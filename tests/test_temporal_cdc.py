@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.functions.keys import surrogate_key
+from stratalake.plans.changes import ingest_changes, read_log
 from stratalake.operators import cdc, reference, temporal
 from stratalake.sources.sinks import Snapshots, insert_absent, read_months, write_append, write_by_month
 from stratalake.session import fresh_path
@@ -227,3 +229,24 @@ def test_ingest_numbers_go_on_and_repeat(spark):
     assert sorted(r.lsn for r in got.where("batch_id = 'b1'").collect()) == [1, 2, 3]
     assert ingest_changes(spark.range(0).select("id"), path, "b3", ["id"], F.lit("I"), ts(0)) == 0
     assert last_number(spark, path, "b9") == 7
+
+
+def test_reference_insert_takes_the_whole_record(spark):
+    current = spark.createDataFrame([(1, "x", "d1", None, at(0))], "id int, name string, note string, inactivated_date timestamp, systime timestamp")
+    new = spark.createDataFrame([(1, "x", "d9"), (2, "y", "d2")], "id int, name string, note string")
+    got = {r.id: (r.name, r.note) for r in reference.merge_reference(current, new, "id", ["name"], ts(9)).collect()}
+    assert got == {1: ("x", "d1"), 2: ("y", "d2")}
+
+
+def test_numbers_go_on_after_numeric_batch_ids(spark, tmp_path):
+    path = str(tmp_path / "log")
+    changed = spark.createDataFrame([(1, at(0)), (2, at(1))], "k int, t timestamp")
+    for n in (1, 2, 2, 3):
+        ingest_changes(changed, path, f"{n:012d}", ["t", "k"], F.lit("I"), F.col("t"))
+    assert sorted(r.lsn for r in read_log(spark, path).collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_surrogate_keys_are_apart(spark):
+    values = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("-", "c"), ("1:a", "c")]
+    df = spark.createDataFrame(values, "x string, y string").select(surrogate_key("e", "x", "y").alias("k"))
+    assert df.distinct().count() == len(values)
