@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,9 +60,34 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+# Paths made inside each open ``scratch`` block.
+_SCOPES: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Own the intermediate data: what is pinned inside the block is deleted when it ends.
+
+    Results that outlive the block have to be written to a path taken before it.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        settings = spark._jsc.hadoopConfiguration()
+        for path in made:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(settings).delete(where, True)
 
 
 def pin(df: DataFrame, label: str = "pinned") -> DataFrame:

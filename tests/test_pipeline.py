@@ -126,3 +126,14 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     left, right = (spark.table(n) for n in names)
     joined = left.join(right.hint("shuffle_merge"), "k").groupBy("k").count()
     assert "Exchange" not in plan_of(joined) and joined.count() == 7
+
+
+def test_scratch_deletes_what_it_pinned(spark):
+    import os
+
+    from stratalake.session import pin, scratch, shared_dir
+
+    before = set(os.listdir(shared_dir(spark).removeprefix("file://")))
+    with scratch(spark):
+        assert pin(spark.range(5), "gone").count() == 5
+    assert set(os.listdir(shared_dir(spark).removeprefix("file://"))) == before
