@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType
 
 from stratalake.llm.components import components
-from stratalake.session import pin
+from stratalake.session import fresh_path, pin, scratch
 
 WORDS = 5
 REGISTERS, BAND = 256, 5
@@ -346,6 +346,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     ``component_id`` is the smallest id reachable over links of at least ``percent`` per cent
     Jaccard similarity, ``kept`` marks the document whose id that is.
     """
+    spark = df.sparkSession
+    path = fresh_path(spark, "near-duplicates")
+    with scratch(spark):
+        found = _labelled(df, key, text, percent)
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def _labelled(df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     made = pin(sketches(df, key, text), "sketches")
     texts = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text")).where("id IS NOT NULL")
     classes, linked = links(made, texts, percent)
