@@ -35,24 +35,31 @@ def _small_star(links: DataFrame) -> DataFrame:
     return others.unionByName(least).select("a", F.col("_least").alias("b"))
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _flat(links: DataFrame) -> bool:
+    """Whether links from larger to smaller nodes are stars: one link per node, and none from a centre."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("_low"), F.lit(0).alias("_high"))
+    ends = ends.unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("_low"), F.lit(1).alias("_high")))
+    per = ends.groupBy("node").agg(F.sum("_low").alias("_low"), F.max("_high").alias("_high"))
+    return per.where("_low > 1 OR (_low > 0 AND _high > 0)").isEmpty()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``node, component`` for every node of ``links`` (columns ``a, b`` of long ids).
 
     ``component`` is the smallest node reachable. Nodes that link with nothing are not listed;
-    links of a node with itself and NULL ends are ignored.
+    links of a node with itself and NULL ends are ignored. ``known``, an earlier result, is
+    extended by ``links``.
     """
+    if known is not None:
+        if links.isEmpty():
+            return known
+        earlier = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        links = links.select("a", "b").unionByName(earlier)
     stars = pin(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
-    before = _state(stars)
-    while before[0]:
+    done = stars.isEmpty()
+    while not done:
         stars = pin(_small_star(_large_star(stars)).distinct(), "stars")
-        after = _state(stars)
-        if after == before:
-            break
-        before = after
+        done = _flat(stars)
     members = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
     heads = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return members.unionByName(heads)

@@ -332,12 +332,12 @@ def links(made: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, D
     unique = some.join(heads, ["id", "digest"], "left_semi").dropDuplicates(["id"])
     unique = pin(unique.select("id", F.col("n_shingles").alias("n"), "sketch"), "classes")
     buckets = pin(unique.select("id", F.explode(_keys("sketch")).alias("bucket")), "buckets")
-    found = verified(pin(_plausible(_stars(buckets), unique, percent), "stars"), texts, percent)
-    rows = _open_buckets(buckets, components(found)).where("n_all <= %d" % SMALL_BUCKET)
+    found = components(verified(pin(_plausible(_stars(buckets), unique, percent), "stars"), texts, percent))
+    rows = _open_buckets(buckets, found).where("n_all <= %d" % SMALL_BUCKET)
     small = pin(_plausible(_cross_small(rows), unique, percent), "crossing")
-    found = found.unionByName(verified(small, texts, percent))
-    rows = pin(_open_buckets(buckets, components(found)).where("n_all > %d" % SMALL_BUCKET), "open")
-    return classes, components(found.unionByName(pin(_cross_large(rows, unique, texts, percent), "crossing")))
+    found = components(verified(small, texts, percent), found)
+    rows = pin(_open_buckets(buckets, found).where("n_all > %d" % SMALL_BUCKET), "open")
+    return classes, components(pin(_cross_large(rows, unique, texts, percent), "crossing"), found)
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
