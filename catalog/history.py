@@ -222,12 +222,13 @@ def as_of_snapshot(spark, sf):
 
 @query(
     "as_of_join",
-    """SELECT e.event_id, e.user_id, e.ts, h.amount::DOUBLE AS amount FROM (SELECT event_id, (user_id + 7) % 150 AS user_id, ts FROM events WHERE event_type = 'purchase') e
+    """SELECT e.event_id, e.user_id, e.ts, h.amount::DOUBLE AS amount FROM (SELECT event_id, user_id + 7 AS user_id, ts FROM events WHERE event_type = 'purchase') e
        LEFT JOIN hist h ON e.user_id = h.user_id AND h.sys_start <= e.ts AND e.ts < h.sys_end""",
 )
 def as_of_join(spark, sf):
     purchases = tables.read_table(spark, sf, "events").where("event_type = 'purchase'")
-    facts = purchases.selectExpr("event_id", "(user_id + 7) % 150 AS user_id", "ts")
+    # Shifted, so that facts fall between the versions of another user and the last users have none.
+    facts = purchases.selectExpr("event_id", "user_id + 7 AS user_id", "ts")
     return temporal.as_of_join(facts, hist(spark, sf), "user_id", "ts", "event_id", ["amount"])
 
 
@@ -257,7 +258,7 @@ SQL_DAMAGED = """SELECT user_id, CASE WHEN amount > 300 THEN sys_start - INTERVA
 @query(
     "interval_violations",
     f"""SELECT user_id, count(*) FILTER (pe > sys_start) AS "overlaps", count(*) FILTER (pe < sys_start) AS gaps, count(*) FILTER (sys_start >= sys_end) AS empty_ranges,
-        count(*) FILTER (sys_end = {OPEN}) AS open_versions FROM (SELECT *, lag(sys_end) OVER (PARTITION BY user_id ORDER BY sys_start, sys_end) AS pe FROM ({SQL_DAMAGED})) GROUP BY user_id
+        count(*) FILTER (sys_end = {OPEN}) AS open_versions FROM (SELECT *, max(sys_end) OVER (PARTITION BY user_id ORDER BY sys_start, sys_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM ({SQL_DAMAGED})) GROUP BY user_id
         HAVING "overlaps" > 0 OR gaps > 0 OR empty_ranges > 0 OR open_versions <> 1""",
 )
 def interval_violations(spark, sf):

@@ -156,7 +156,7 @@ def _refresh(spark, sf):
          UNION ALL SELECT 'gold.dim_customer', count(try_cast(customer_id AS INT)) FROM bronze_customer
          UNION ALL SELECT 'gold.dim_staff', count(DISTINCT staff_id) FROM film_rental
          UNION ALL SELECT 'gold.customer_metrics', count(DISTINCT customer_id) FROM rental
-         UNION ALL SELECT 'gold.dim_date', date_diff('day', date_trunc('year', min(rental_date)), date_trunc('year', max(rental_date)) + INTERVAL 1 YEAR) + 1 FROM rental)""",
+         UNION ALL SELECT 'gold.dim_date', date_diff('day', date_trunc('year', least(min(rental_date), min(return_date))), date_trunc('year', greatest(max(rental_date), max(return_date))) + INTERVAL 1 YEAR) + 1 FROM rental)""",
 )
 def run_report(spark, sf):
     return _refresh(spark, sf).report(spark).drop("error")

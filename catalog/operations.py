@@ -14,6 +14,13 @@ NOW = f"TIMESTAMP '{b.AS_OF_TIME}'"
 MONEY = "(revenue_per_minute::DOUBLE AS revenue_per_minute)"
 
 
+def _period(spark, sf):
+    """The first and the last hour with an event."""
+    hour = F.date_trunc("hour", "ts")
+    row = b.events(spark, sf).agg(F.min(hour).cast("string"), F.max(hour).cast("string")).first()
+    return tuple(F.lit(at).cast("timestamp") for at in row)
+
+
 def hourly(spark, sf, since=None, before=None):
     return kpi.minute_kpis(b.events(spark, sf, since, before), "1 hour")
 
@@ -54,14 +61,14 @@ def running_revenue(spark, sf):
     "store_dashboard",
     f"""SELECT s.store_id, s.address AS store_address, s.manager_name, k.kpi_timestamp, coalesce(k.rentals_per_minute, 0) AS current_rentals_per_minute,
         coalesce(k.revenue_per_minute, 0)::DOUBLE AS current_revenue_per_minute, coalesce(k.active_customers_count, 0) AS active_customers,
-        coalesce(sum(k.revenue_per_minute) OVER (PARTITION BY s.store_id, k.kpi_timestamp::DATE ORDER BY k.kpi_timestamp ROWS UNBOUNDED PRECEDING), 0)::DOUBLE AS revenue_today,
+        coalesce((SELECT sum(d.revenue_per_minute) FROM kpi_hour d WHERE d.store_id = s.store_id AND d.kpi_timestamp::DATE = k.kpi_timestamp::DATE AND d.kpi_timestamp <= k.kpi_timestamp), 0)::DOUBLE AS revenue_today,
         coalesce(k.has_active_alerts, FALSE) AS has_alerts, coalesce(k.critical_alert_count, 0) AS critical_alerts, coalesce(k.warning_alert_count, 0) AS warning_alerts,
         coalesce(k.inventory_utilization_percent, 0) AS inventory_utilization, coalesce(k.error_rate_percent, 0) AS error_rate, coalesce(k.last_updated, {NOW}) AS last_updated
         FROM store s LEFT JOIN kpi_hour k ON s.store_id = k.store_id AND k.kpi_timestamp >= {NOW} - INTERVAL 18 HOUR AND k.kpi_timestamp <= {NOW} WHERE s.is_active""",
 )
 def store_dashboard(spark, sf):
     stores = b.store(spark, sf).withColumnRenamed("address", "store_address")
-    return kpi.store_dashboard(stores, hourly(spark, sf, "2024-01-19 18:00:00", "2024-01-20 13:00:00"), b.as_of_time(), "18 HOURS")
+    return kpi.store_dashboard(stores, hourly(spark, sf, "2024-01-19 00:00:00", "2024-01-20 13:00:00"), b.as_of_time(), "18 HOURS")
 
 
 @query(
@@ -134,11 +141,11 @@ def alert_test_mode(spark, sf):
 @query(
     "alert_missing_data",
     """SELECT r.rule_id, s.store_id, t.slot AS alert_timestamp, s.metric_name FROM (SELECT DISTINCT store_id, metric_name FROM series) s JOIN rules r ON s.metric_name = r.target_metric
-       JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS slot) t ON TRUE
+       JOIN (SELECT unnest(generate_series(min(captured_at), max(captured_at), INTERVAL 1 HOUR)) AS slot FROM series) t ON TRUE
        WHERE r.condition_type = 'missing_data' AND NOT EXISTS (SELECT 1 FROM series x WHERE x.store_id = s.store_id AND x.metric_name = s.metric_name AND x.captured_at = t.slot)""",
 )
 def alert_missing_data(spark, sf):
-    first, last = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-01-30 23:00:00").cast("timestamp")
+    first, last = _period(spark, sf)
     return alerts.missing_data(series(spark, sf), b.rules(spark), first, last, "1 HOUR")
 
 
@@ -213,11 +220,11 @@ def kpi_trend(spark, sf):
 
 @query(
     "kpi_completeness",
-    """SELECT *, observed_slots::DOUBLE / expected_slots * 100 AS data_completeness_percent, floor(date_diff('microsecond', last_updated, TIMESTAMP '2024-01-30 18:00:00') / 6e7)::BIGINT AS data_freshness_minutes FROM (
-       SELECT store_id, kpi_timestamp::DATE AS kpi_date, count(*) AS observed_slots, max(last_updated) AS last_updated, CASE WHEN kpi_timestamp::DATE = DATE '2024-01-30' THEN 18 ELSE 24 END::BIGINT AS expected_slots
-       FROM kpi_hour WHERE kpi_timestamp < TIMESTAMP '2024-01-30 18:00:00' GROUP BY store_id, kpi_timestamp::DATE)""",
+    """WITH period AS (SELECT min(kpi_timestamp) AS first_slot, max(kpi_timestamp) + INTERVAL 1 HOUR AS period_end FROM kpi_hour)
+       SELECT store_id, kpi_date, observed_slots, last_updated, expected_slots, observed_slots::DOUBLE / expected_slots * 100 AS data_completeness_percent, floor(date_diff('microsecond', last_updated, period_end) / 6e7)::BIGINT AS data_freshness_minutes FROM (
+       SELECT *, date_diff('hour', greatest(kpi_date::TIMESTAMP, first_slot), least(kpi_date::TIMESTAMP + INTERVAL 1 DAY, period_end)) AS expected_slots
+       FROM (SELECT store_id, kpi_timestamp::DATE AS kpi_date, count(*) AS observed_slots, max(last_updated) AS last_updated FROM kpi_hour GROUP BY store_id, kpi_timestamp::DATE), period)""",
 )
 def kpi_completeness(spark, sf):
-    first, last = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-01-30 18:00:00").cast("timestamp")
-    rows = hourly(spark, sf).where(F.col("kpi_timestamp") < last)
-    return kpi.completeness(rows, 60, first, last)
+    first, last = _period(spark, sf)
+    return kpi.completeness(hourly(spark, sf), 60, first, last + F.expr("INTERVAL 1 HOUR"))

@@ -113,13 +113,18 @@ def running_revenue(kpis: DataFrame) -> DataFrame:
     )
 
 
-def store_dashboard(stores: DataFrame, kpis: DataFrame, as_of: Column, window: str = "5 minutes") -> DataFrame:
+def store_dashboard(
+    stores: DataFrame, kpis: DataFrame, as_of: Column, window: str = "5 minutes", published: bool = False
+) -> DataFrame:
     """Active stores with their recent KPI slots; a silent store shows zeros.
 
-    The time limit of the join is applied before it, where it prunes the KPI scan.
+    ``revenue_today`` counts from the start of the day; with ``published`` it counts from the
+    start of the window only, as the published view does. The time limit of the join is
+    applied before it, where it prunes the KPI scan.
     """
-    recent = kpis.where((F.col("kpi_timestamp") >= as_of - F.expr(f"INTERVAL {window}")) & (F.col("kpi_timestamp") <= as_of))
-    joined = stores.where("is_active").join(running_revenue(recent), "store_id", "left")
+    slot, began = F.col("kpi_timestamp"), as_of - F.expr(f"INTERVAL {window}")
+    known = kpis.where((slot >= (began if published else F.date_trunc("day", began))) & (slot <= as_of))
+    joined = stores.where("is_active").join(running_revenue(known).where(slot >= began), "store_id", "left")
     zero = F.lit(0)
     return joined.select(
         "store_id",

@@ -126,6 +126,26 @@ def carry_forward(
     )
 
 
+def running_max(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, chunks: int | None = None
+) -> DataFrame:
+    """Add the largest ``value`` of the earlier rows of the same key; NULL for the first of them."""
+    chunked = range_chunks(df, [*keys, *order], chunks)
+    key = F.struct(*[F.col(c) for c in keys])
+    ends = chunked.join(F.broadcast(_sizes(chunked)), CHUNK).where(F.col(ROW) == F.col("_end"))
+    ends = ends.select(CHUNK, key.alias("_key"))
+    # Only the last key of a chunk goes on behind its border.
+    tops = chunked.select(CHUNK, key.alias("_key"), value).join(F.broadcast(ends), [CHUNK, "_key"])
+    tops = tops.groupBy(CHUNK, "_key").agg(F.max(value).alias("_top"))
+    upto = Window.partitionBy("_key").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = tops.withColumn("_top", F.max("_top").over(upto)).select(CHUNK, F.struct("_key.*", "_top").alias("_held"))
+    borders = carried.select(CHUNK, F.lag("_held").over(_over_chunks()).alias("_before"))
+    earlier = Window.partitionBy(CHUNK, *keys).orderBy(ROW).rowsBetween(Window.unboundedPreceding, -1)
+    marked = chunked.withColumn("_here", F.max(value).over(earlier)).join(F.broadcast(borders), CHUNK)
+    before = F.when(_of_same_key(F.col("_before"), keys), F.col("_before")["_top"])
+    return marked.select(*df.columns, F.greatest("_here", before).alias(name))
+
+
 def number_rows(
     df: DataFrame, order: Sequence[str], name: str, start: int = 0, total: str | None = None, chunks: int | None = None
 ) -> DataFrame:

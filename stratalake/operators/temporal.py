@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.ordered import carry_forward, neighbours
+from stratalake.operators.ordered import carry_forward, neighbours, running_max
 
 OPEN_END = "9999-12-31 00:00:00"
 
@@ -67,7 +67,9 @@ def scd2_merge(
     A changed key closes its current version at ``at`` and opens a new one, a new key
     opens one, and with ``close_missing`` a key absent from the source is closed.
     Columns in ``exclude`` are refreshed in place without opening a version. Only open
-    versions take part in the join; closed ones pass through untouched.
+    versions take part in the join; closed ones pass through untouched. A version that began
+    at ``at`` is replaced in place, or dropped if its key is closed; one that began later
+    stops the merge, as the history already knows more than the snapshot.
     """
     tracked = [c for c in columns if c not in exclude]
     is_open = F.col("sys_end") == open_end()
@@ -84,11 +86,17 @@ def scd2_merge(
     refreshed = version("_new", F.col("sys_start"), open_end())
     closed = version("_old", F.col("sys_start"), at)
     opened = version("_new", at, open_end())
+    changed = has_old & has_new & _changed("_old", "_new", tracked)
+    missing = ~has_new & F.lit(close_missing)
+    late = F.raise_error(F.lit("an open version began after the time of the merge"))
     versions = (
-        F.when(has_old & has_new & _changed("_old", "_new", tracked), F.array(closed, opened))
+        F.when((changed | missing) & (F.col("sys_start") > at), late)
+        .when(changed & (F.col("sys_start") == at), F.array(refreshed))
+        .when(changed, F.array(closed, opened))
         .when(has_old & has_new, F.array(refreshed))
         .when(has_new, F.array(opened))
-        .otherwise(F.array(closed if close_missing else kept))
+        .when(missing, F.filter(F.array(closed), lambda v: v["sys_start"] < v["sys_end"]))
+        .otherwise(F.array(kept))
     )
     touched = pair.select(key, F.explode(versions).alias("_v")).select(
         key, *[F.col(f"_v.data.{c}").alias(c) for c in columns], "_v.sys_start", "_v.sys_end"
@@ -222,13 +230,17 @@ def as_of_join(
 
 
 def interval_violations(hist: DataFrame, key: str) -> DataFrame:
-    """Per key: overlaps, gaps, empty ranges and the number of open versions, where anything is wrong."""
+    """Per key: overlaps, gaps, empty ranges and the number of open versions, where anything is wrong.
+
+    A version overlaps if it begins before the latest end of all earlier ones, and leaves a gap
+    if it begins after it.
+    """
     rows = hist.select(key, "sys_start", "sys_end").withColumn("_open", F.col("sys_end") == open_end())
     # Equal starts overlap too; the end breaks the tie so that every row has its place.
-    linked = neighbours(rows, [key], ["sys_start", "sys_end"], previous={"_prev_end": "sys_end"})
+    linked = running_max(rows, [key], ["sys_start", "sys_end"], "sys_end", "_reach")
     report = linked.groupBy(key).agg(
-        F.count_if(F.col("_prev_end") > F.col("sys_start")).alias("overlaps"),
-        F.count_if(F.col("_prev_end") < F.col("sys_start")).alias("gaps"),
+        F.count_if(F.col("_reach") > F.col("sys_start")).alias("overlaps"),
+        F.count_if(F.col("_reach") < F.col("sys_start")).alias("gaps"),
         F.count_if(F.col("sys_start") >= F.col("sys_end")).alias("empty_ranges"),
         F.count_if("_open").alias("open_versions"),
     )

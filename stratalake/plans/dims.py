@@ -48,12 +48,12 @@ def calendar(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR
     return date_attributes(_days(bounds))
 
 
-def calendar_for(df: DataFrame, column: str) -> DataFrame:
-    """Date dimension covering the whole years that occur in ``column``."""
-    day = F.to_date(column)
+def calendar_for(df: DataFrame, *columns: str) -> DataFrame:
+    """Date dimension covering the whole years that occur in any of ``columns``."""
+    days = F.array(*[F.to_date(c) for c in columns])
     bounds = df.agg(
-        F.trunc(F.min(day), "year").alias("first"),
-        F.date_sub(F.add_months(F.trunc(F.max(day), "year"), 12), 1).alias("last"),
+        F.trunc(F.min(F.array_min(days)), "year").alias("first"),
+        F.date_sub(F.add_months(F.trunc(F.max(F.array_max(days)), "year"), 12), 1).alias("last"),
     )
     return date_attributes(_days(bounds))
 

@@ -97,13 +97,14 @@ def gold_steps(settings: Settings) -> list[Step]:
         return audit.add_gold_audit(df, entity, batch, settings.load_time())
 
     def dates(rentals: DataFrame) -> DataFrame:
-        return dims.with_unknown_date(dims.calendar_for(rentals, "rental_date"))
+        return dims.with_unknown_date(dims.calendar_for(rentals, "rental_date", "return_date"))
 
     def stores(store: DataFrame, address: DataFrame) -> DataFrame:
         return audited(dims.store_dimension(store, address), "store")
 
     def customers(customer: DataFrame, address: DataFrame, store: DataFrame, rental: DataFrame, payment: DataFrame) -> DataFrame:
-        places = store.select("store_id", F.col("store_address").alias("address"), F.col("store_district").alias("city"))
+        # The layers hold no city names, only ids, and a district is none.
+        places = store.select("store_id", F.col("store_address").alias("address"), F.lit(None).cast("string").alias("city"))
         # A customer without a usable id belongs to nobody's rentals and gets no dimension row.
         known = customer.where(F.col("customer_id").isNotNull())
         wide = dims.customer_dimension(

@@ -65,6 +65,8 @@ def test_dashboard_and_summary(spark):
     kpis = kpi.minute_kpis(sample(spark))
     board = kpi.store_dashboard(stores, kpis, ts(1)).collect()
     assert sorted((r.store_id, float(r.revenue_today)) for r in board) == [(1, 15.0), (1, 15.0), (2, 0.0), (3, 0.0)]
+    later = kpi.store_dashboard(stores, kpis, ts(1), "30 SECONDS").where("store_id = 1")
+    assert [float(r.revenue_today) for r in later.collect()] == [15.0]
     silent = [r for r in board if r.store_id == 3][0]
     assert silent.kpi_timestamp is None and silent.last_updated == at(1)
     top = kpi.executive_summary(kpis, ts(1), "30 SECONDS").first()

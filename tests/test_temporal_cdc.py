@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.keys import surrogate_key
 from stratalake.plans.changes import ingest_changes, read_log
 from stratalake.operators import cdc, reference, temporal
+from stratalake.operators.ordered import running_max
 from stratalake.sources.sinks import Snapshots, insert_absent, read_months, write_append, write_by_month
 from stratalake.session import fresh_path
 
@@ -121,6 +122,31 @@ def test_interval_findings(spark):
     assert got == {"lap": (1, 0, 0, 1), "gap": (0, 1, 0, 1), "void": (0, 0, 1, 1), "two": (1, 0, 0, 2)}
 
 
+def test_intervals_inside_a_longer_one(spark):
+    spans = [(0, 330), (31, 60), (120, 150), (330, None)]
+    rows = [("k", at(a), OPEN if z is None else at(z)) for a, z in spans] + [("l", at(340), OPEN)]
+    hist = spark.createDataFrame(rows, "k string, sys_start timestamp, sys_end timestamp")
+    assert [tuple(r) for r in temporal.interval_violations(hist, "k").collect()] == [("k", 2, 0, 0, 1)]
+
+
+def test_running_max_over_chunks(spark):
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "a", "a", "b", None]), i, rng.choice([None, *range(50)])) for i in range(200)]
+    df = spark.createDataFrame(data, "k string, n int, v int")
+    got = {r.n: r.top for r in running_max(df, ["k"], ["n"], "v", "top", chunks=7).collect()}
+    want = {n: max((w for j, m, w in data if j == k and m < n and w is not None), default=None) for k, n, _ in data}
+    assert got == want
+
+
+def test_merge_at_the_start_of_a_version(spark):
+    hist = spark.createDataFrame([("a", 1, at(5), OPEN), ("b", 1, at(5), OPEN), ("c", 1, at(5), OPEN)], "k string, v int, sys_start timestamp, sys_end timestamp")
+    source = spark.createDataFrame([("a", 2), ("b", 1)], "k string, v int")
+    merged = temporal.scd2_merge(hist, source, "k", ["v"], ts(5), close_missing=True)
+    assert sorted(map(tuple, merged.collect())) == [("a", 2, at(5), OPEN), ("b", 1, at(5), OPEN)]
+    with pytest.raises(Exception, match="began after the time of the merge"):
+        temporal.scd2_merge(hist, source, "k", ["v"], ts(4)).collect()
+
+
 def test_change_log(spark):
     df = spark.createDataFrame([(3, "c", None), (1, "a", 1.5), (2, "b", 2.5)], "id int, name string, v double")
     made = cdc.to_change_log(df, ["id"], F.lit("I"), ts(0), start_lsn=10)
