@@ -7,8 +7,11 @@ marginal of each node; text of nodes that are content more likely than not is ke
 
 The weights are fitted on labelled pages: those whose markup names the main text (``article``,
 ``main``). In every second one the naming tags are hidden, so that pages without them are
-learned too. Elements whose purpose is stated (navigation, forms, scripts, comments, notices)
-are no content, with everything below them, and are cut off the tree.
+learned too. Elements whose tag states another purpose (navigation, forms, scripts) are no
+content, with everything below them, and are cut off the tree. Names (class, id, role) that
+speak of such a purpose are features only. An element whose name states it is the root of a tree
+of its own that is judged as a whole, so that enough text below outweighs the name; an
+``article`` or ``main`` below is judged by itself.
 
 Labelled pages are a sample of at most ``SAMPLE`` rows of at most ``SAMPLE_CHARS`` characters,
 the smallest hashes of the id; every page is extracted whole.
@@ -34,19 +37,27 @@ from stratalake.llm.dom import Node, parse
 SAMPLE, SAMPLE_CHARS = 200, 60_000
 ROUNDS, STEP, DECAY = 25, 0.5, 0.02
 
-# Elements and names whose purpose is not the main text.
+# Elements whose purpose is not the main text.
 _NEVER = frozenset(
     """head script style title noscript template nav footer aside form button select option textarea iframe svg dialog
     menu canvas object video audio fieldset legend search""".split()
 )
-_NAMED = frozenset(
-    """nav navbar navigation menu menubar sidebar sidenav footer footnav ad ads adv advert adverts advertisement
-    advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert comment comments
-    commentlist respond reply replies disqus discussion share sharing social related recommended recommendations
-    newsletter subscribe subscription signup login popup modal overlay breadcrumb breadcrumbs pagination pager toolbar
-    widget widgets complementary contentinfo search toc skip""".split()
+# Names of elements beside the text, and those that parts of a text have as well.
+_ASIDE = frozenset(
+    """nav navbar menu menubar sidebar sidenav footer footnav ad ads adv advert adverts advertisement banner sponsor
+    sponsored promo cookie gdpr comment comments commentlist reply replies disqus sharing newsletter subscribe signup
+    login popup modal overlay breadcrumb breadcrumbs pagination pager toolbar widget widgets complementary
+    contentinfo""".split()
+)
+_MAYBE = frozenset(
+    """navigation advertising promotion cookies consent notice notices alert respond discussion share social related
+    recommended recommendations subscription search toc skip""".split()
 )
 _HEAD = frozenset({"header", "masthead", "topbar"})
+# Words that only say what an element holds, and such that turn a name into a property of a layout.
+_HOLDS = frozenset("area bar block body box container content holder inner list outer region section slot unit wrap wrapper".split())
+_TURNS = frozenset("has have hide hidden is no non not show with without".split())
+_TITLES = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 _MAIN = frozenset({"article", "main"})
 _MAIN_NAMES = frozenset({"article", "articlebody", "main", "content", "post", "entry", "story", "body", "text"})
 _TAGS = ("article", "main", "section", "div", "p", "heading", "list", "li", "table", "cell", "quote", "body", "other")
@@ -56,12 +67,13 @@ _GROUP = (
     | {"td": "cell", "th": "cell", "tr": "table", "tbody": "table", "thead": "table", "html": "body"}
 )
 _TEXT = ("none", "short", "middle", "long", "very long")
-_MORE = ("named main", "links", "many links", "ends a sentence")
+_MORE = ("named main", "links", "many links", "ends a sentence", "named aside", "mentions aside")
 FEATURES = (*_TAGS, *_TEXT, *_MORE)
 # What holds before any page is seen.
 _PRIOR = {"article": 4.0, "main": 4.0, "p": 1.0, "heading": 0.3, "quote": 0.5, "body": -4.0, "other": -0.5}
 _PRIOR |= {"middle": 0.5, "long": 1.0, "very long": 2.0, "named main": 1.5, "links": -1.0, "many links": -3.0}
-_PRIOR |= {"ends a sentence": 0.5, "none": -0.3, "short": -0.3}
+_PRIOR |= {"ends a sentence": 0.5, "none": -0.3, "short": -0.3, "named aside": -40.0, "mentions aside": -1.5}
+_BOUND = 1e-20  # chance that something below such a name is content although the named element is not
 _AGREE = np.array([[200.0, 4.0], [2.0, 400.0]])  # counts [parent][child] before any page is seen
 
 
@@ -77,23 +89,42 @@ def prior() -> Model:
 
 
 def blocked(nodes: Sequence[Node]) -> list[bool]:
-    """Whether a node is stated to be no content, by itself or through an element around it."""
+    """Whether a tag states a node to be no content, its own or that of an element around it."""
     out, inside_main = [], []
     for node in nodes:
         above = node.parent >= 0 and out[node.parent]
         main = (node.parent >= 0 and inside_main[node.parent]) or node.tag in _MAIN
-        stated = node.tag in _NEVER
-        if not stated and node.tag not in ("html", "body") and node.tag not in _MAIN:
-            words = set(re.findall(r"[a-z]+", node.names)) if node.names else set()
-            head = node.tag == "header" or bool(words & _HEAD)
-            stated = bool(words & _NAMED) or (head and not main)
+        stated = node.tag in _NEVER or (node.tag == "header" and not main)
         out.append(above or stated)
         inside_main.append(main)
     return out
 
 
-def features(nodes: Sequence[Node], hide: bool = False) -> np.ndarray:
-    """Feature rows of the nodes; ``hide`` reads the naming tags as plain ones."""
+def aside(node: Node, inside_main: bool) -> int:
+    """2 if a name says that the node is beside the text, 1 if one merely mentions such a thing.
+
+    ``sidebar``, ``left-sidebar``, ``comments-area`` and ``cookie-notice`` say it; ``has-sidebar``,
+    ``related-work`` and a lone ``discussion`` do not, nor does the name of a heading.
+    """
+    if not node.names or node.tag in ("html", "body"):
+        return 0
+    sure = _ASIDE if inside_main else _ASIDE | _HEAD
+    found = 0
+    for name in node.names.split():
+        words = re.findall(r"[a-z]+", name)
+        if not any(w in sure or w in _MAYBE for w in words):
+            continue
+        found = 1
+        if node.tag in _TITLES or not _TURNS.isdisjoint(words):
+            continue
+        meant = [w for w in words if w not in _HOLDS]
+        if meant[-1] in sure or (all(w in sure or w in _MAYBE for w in meant) and not sure.isdisjoint(meant)):
+            return 2
+    return found
+
+
+def features(nodes: Sequence[Node], beside: Sequence[int], hide: bool = False) -> np.ndarray:
+    """Feature rows of the nodes and what ``aside`` says of them; ``hide`` reads the naming tags as plain ones."""
     rows = np.zeros((len(nodes), len(FEATURES)))
     for i, node in enumerate(nodes):
         tag = _GROUP.get(node.tag, node.tag)
@@ -109,20 +140,27 @@ def features(nodes: Sequence[Node], hide: bool = False) -> np.ndarray:
             rows[i, at + 1 + (node.links > 0.7 * size)] = 1
         if node.runs and node.runs[-1][1].rstrip()[-1:] in (".", "!", "?", ":", "…", "。"):
             rows[i, at + 3] = 1
+        if beside[i]:
+            rows[i, at + (4 if beside[i] == 2 else 5)] = 1
     return rows
 
 
-def marginals(parents: Sequence[int], own: Sequence[float], edge: np.ndarray) -> list[float]:
-    """Log odds of the marginal of every node; parents come before their children.
+def marginals(parents: Sequence[int], own: Sequence[float], edge: np.ndarray, bound: Sequence[bool] = ()) -> list[float]:
+    """Log odds of the marginal of every node; parents come before their children, -1 is a root.
 
     Everything is kept as log odds of content. ``up`` is what a child tells its parent: the
-    log ratio of its belief summed out under a content parent and under another one.
+    log ratio of its belief summed out under a content parent and under another one. Nodes that
+    are ``bound`` are hardly ever content below a parent that is not.
     """
-    (s00, s01), (s10, s11) = np.exp(edge).tolist()
+    (free00, free01), (s10, s11) = np.exp(edge).tolist()
     n = len(own)
+    bound = bound or [False] * n
     below = list(own)
     up = [0.0] * n
     for i in range(n - 1, 0, -1):
+        if parents[i] < 0:
+            continue
+        s00, s01 = (1.0, _BOUND) if bound[i] else (free00, free01)
         x = below[i]
         # Divided by the larger term, so that no exponential overflows.
         a, b = (math.exp(x), 1.0) if x < 0 else (1.0, math.exp(-x))
@@ -130,6 +168,9 @@ def marginals(parents: Sequence[int], own: Sequence[float], edge: np.ndarray) ->
         below[parents[i]] += up[i]
     all_ = below[:]
     for i in range(1, n):
+        if parents[i] < 0:
+            continue
+        s00, s01 = (1.0, _BOUND) if bound[i] else (free00, free01)
         x = all_[parents[i]] - up[i]
         a, b = (math.exp(x), 1.0) if x < 0 else (1.0, math.exp(-x))
         all_[i] = below[i] + math.log((s11 * a + s01 * b) / (s10 * a + s00 * b))
@@ -144,19 +185,32 @@ def _labels(nodes: Sequence[Node], parents: Sequence[int]) -> np.ndarray | None:
     return np.array(inside) if any(inside) else None
 
 
-def _free(nodes: Sequence[Node]) -> tuple[list[Node], list[int]]:
-    """Nodes that are not blocked, and the places of their parents among them.
+def _free(nodes: Sequence[Node]) -> tuple[list[Node], list[int], list[int], list[bool]]:
+    """Nodes that are not blocked, places of their parents among them, ``aside``, and whether one is above.
 
     A blocked element says nothing about what surrounds it, so it is cut off with all below.
+    So does one whose name puts it beside the text, but it stays, as a root of its own.
     """
     place: dict[int, int] = {}
-    kept, parents = [], []
+    kept, parents, beside, inside, bound = [], [], [], [], []
     for i, (node, out) in enumerate(zip(nodes, blocked(nodes), strict=True)):
-        if not out:
-            place[i] = len(kept)
-            kept.append(node)
-            parents.append(place.get(node.parent, -1))
-    return kept, parents
+        if out:
+            continue
+        place[i] = len(kept)
+        above = place.get(node.parent, -1)
+        within = above >= 0 and (bound[above] or beside[above] == 2)
+        inside.append(node.tag in _MAIN or (above >= 0 and inside[above]))
+        says = aside(node, inside[-1])
+        # The tag of the main text stands against a name, unless names around it say the same.
+        if node.tag in _MAIN and not (within and says == 2):
+            says, root = 0, within
+        else:
+            root = says == 2
+        kept.append(node)
+        beside.append(says)
+        bound.append(within and not root)
+        parents.append(-1 if root else above)
+    return kept, parents, beside, bound
 
 
 def fit(pages: Sequence[str]) -> Model:
@@ -165,20 +219,20 @@ def fit(pages: Sequence[str]) -> Model:
     counts = _AGREE.copy()
     examples = []
     for page in pages:
-        nodes, parents = _free(parse(page))
+        nodes, parents, beside, bound = _free(parse(page))
         label = _labels(nodes, parents)
         if label is None:
             continue
         for i, p in enumerate(parents):
-            if p >= 0:
+            if p >= 0 and not bound[i]:
                 counts[int(label[p]), int(label[i])] += 1
-        examples.append((features(nodes, hide=bool(len(examples) % 2)), parents, label))
+        examples.append((features(nodes, beside, hide=bool(len(examples) % 2)), parents, bound, label))
     model = Model(start.weights.copy(), np.log(counts / counts.sum(axis=1, keepdims=True)))
-    rows_in_all = sum(len(parents) for _, parents, _ in examples)
+    rows_in_all = sum(len(parents) for _, parents, _, _ in examples)
     for _ in range(ROUNDS if examples else 0):
         gradient = np.zeros(len(FEATURES))
-        for rows, parents, label in examples:
-            odds = np.array(marginals(parents, (rows @ model.weights).tolist(), model.edge))
+        for rows, parents, bound, label in examples:
+            odds = np.array(marginals(parents, (rows @ model.weights).tolist(), model.edge, bound))
             gradient += rows.T @ (label - 1 / (1 + np.exp(-np.clip(odds, -50, 50))))
         model.weights += STEP * (len(FEATURES) * gradient / rows_in_all - DECAY * (model.weights - start.weights))
     return model
@@ -188,8 +242,8 @@ def main_text(page: str | None, model: Model) -> str:
     """Blocks of content, in page order, one per line."""
     if not page:
         return ""
-    nodes, parents = _free(parse(page))
-    odds = marginals(parents, (features(nodes) @ model.weights).tolist(), model.edge)
+    nodes, parents, beside, bound = _free(parse(page))
+    odds = marginals(parents, (features(nodes, beside) @ model.weights).tolist(), model.edge, bound)
     blocks: dict[tuple[int, int], list[str]] = {}
     for i, node in enumerate(nodes):
         if odds[i] > 0:

@@ -139,6 +139,31 @@ def test_page_shapes(page, text):
     assert html_extract.main_text(page, MODEL) == text
 
 
+TRAINED = html_extract.fit(
+    [f"<body><nav><a>n</a></nav><div class='ad'>Buy this.</div><article><h1>T</h1><p>{LONG}</p><p>{LONG}</p></article></body>"] * 40
+)
+
+
+@pytest.mark.parametrize("model", [MODEL, TRAINED], ids=["prior", "trained"])
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div class='layout has-sidebar'><article><p>{0}</p></article><div class=sidebar><p>{0}</p></div></div>", "{0}"),
+        ("<div id=content class=no-comments><h1>T</h1><p>{0}</p><p>{0}</p></div>", "T\n{0}\n{0}"),
+        ("<div class=sidebar><article><p>{0}</p></article></div>", "{0}"),
+        ("<div class=widget-area><div>" + "<p>{0}</p>" * 20 + "</div></div>", "\n".join(["{0}"] * 20)),
+        ("<article><p>{0}</p><ol class=comment-list><li class=comment><article class=comment-body><p>{0}</p></article></ol></article>", "{0}"),
+        ("<article><p>{0}</p><section id=discussion><h2>Discussion</h2><p>{0}</p></section></article>", "{0}\nDiscussion\n{0}"),
+        ("<article><p>{0}</p><div class=related-work><p>{0}</p></div><p class=notice>{0}</p></article>", "{0}\n{0}\n{0}"),
+        ("<article><h2 class=toc>Contents</h2><p>{0}</p></article>", "Contents\n{0}"),
+        ("<article><p>{0}</p><div class=post-comments><p>{0}</p><p>{0}</p><p>{0}</p></div><p class=ad>Buy this.</p></article>", "{0}"),
+        ("<div class=masthead>Site</div><article><div class=entry-header><h1>T</h1></div><p>{0}</p></article>", "T\n{0}"),
+    ],
+)
+def test_names_do_not_cut_what_is_below(model, page, text):
+    assert html_extract.main_text("<body>" + page.format(LONG), model) == text.format(LONG.strip())
+
+
 def test_messages_against_enumeration():
     """Marginals of a small tree equal sums over all its states."""
     import itertools
