@@ -100,5 +100,7 @@ def stream_cdc_append(spark, sf):
 )
 def stream_alert_suppressed(spark, sf):
     errors = _events(spark, sf).where("event_type = 'error'")
-    raised = errors.select(F.col("severity").alias("rule_id"), "store_id", F.col("ts").alias("alert_timestamp"))
+    # The operator keeps true instants; the SQL of this query is defined on minutes.
+    minute = F.date_trunc("minute", "ts").alias("alert_timestamp")
+    raised = errors.select(F.col("severity").alias("rule_id"), "store_id", minute)
     return _finish(spark, stateful.suppress_repeats(raised, 360))

@@ -4,40 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def suppress_repeats(alerts: DataFrame, quiet_minutes: int) -> DataFrame:
-    """Pass an alert of a rule and store only when the last one passed is ``quiet_minutes`` old.
+def suppress_repeats(alerts: DataFrame, quiet: int | DataFrame) -> DataFrame:
+    """Pass an alert of a rule and store only when the last one passed is old enough.
 
-    Alerts carry ``rule_id``, ``store_id`` and ``alert_timestamp``. State is one instant per
-    rule and store. An alert older than the last one passed counts as its repeat.
+    Alerts carry ``rule_id``, ``store_id`` and ``alert_timestamp``. ``quiet`` is the wait of all
+    rules in minutes, or a static table of ``rule_id, suppress_duplicate_minutes``; as in batch,
+    alerts of other rules go and a wait of 0 or NULL passes all. Waits are kept by true instants.
+    State is one instant per rule and store. An alert older than the last one passed counts as
+    its repeat.
     """
-    wait = pd.Timedelta(minutes=quiet_minutes)
+    names = ["rule_id", "store_id", "alert_timestamp"]
+    raised = alerts.select(*names, F.unix_micros(F.col("alert_timestamp").cast("timestamp")).alias("_at"))
+    if isinstance(quiet, DataFrame):
+        wait = F.coalesce(F.col("suppress_duplicate_minutes").cast("bigint") * F.lit(60_000_000), F.lit(0))
+        raised = raised.join(quiet.select("rule_id", wait.alias("_quiet")), "rule_id")
+    else:
+        raised = raised.withColumn("_quiet", F.lit(quiet * 60_000_000).cast("bigint"))
 
     def keep(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # Alerts come in no order, and only their minutes are kept until the trigger's end.
-        times: set[pd.Timestamp] = set()
+        def passing(at: np.ndarray) -> pd.DataFrame:
+            return pd.DataFrame({"rule_id": key[0], "store_id": key[1], "_at": at})
+
+        # Alerts come in no order, and only their instants are kept until the trigger's end.
+        times, wait = [], 0
         for rows in batches:
-            times.update(rows["alert_timestamp"].dt.floor("min").unique())
-        last = pd.Timestamp(state.get[0]) if state.exists else None
-        passed = []
-        for at in sorted(times):
-            if last is None or at - last >= wait:
-                last = at
-                passed.append(at)
-        if passed:
-            state.update((last.to_pydatetime(),))
-            yield pd.DataFrame({"rule_id": key[0], "store_id": key[1], "alert_timestamp": passed})
+            wait = int(rows["_quiet"].iloc[0]) if len(rows) else wait
+            if wait > 0:
+                times.append(rows["_at"].dropna().to_numpy(np.int64))
+            elif len(rows):
+                yield passing(rows["_at"].to_numpy())
+        if not times:
+            return
+        at = np.unique(np.concatenate(times))
+        here = int(np.searchsorted(at, state.get[0] + wait)) if state.exists else 0
+        kept = []
+        while here < len(at):
+            kept.append(at[here])
+            here = int(np.searchsorted(at, at[here] + wait))
+        if kept:
+            state.update((int(kept[-1]),))
+            yield passing(np.array(kept))
 
     kinds = dict(alerts.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in ("rule_id", "store_id", "alert_timestamp"))
-    return alerts.groupBy("rule_id", "store_id").applyInPandasWithState(
-        keep, schema, "last_passed timestamp", "append", GroupStateTimeout.NoTimeout
+    schema = f"rule_id {kinds['rule_id']}, store_id {kinds['store_id']}, _at bigint"
+    passed = raised.groupBy("rule_id", "store_id").applyInPandasWithState(
+        keep, schema, "last_passed bigint", "append", GroupStateTimeout.NoTimeout
     )
+    instant = F.timestamp_micros("_at").cast(kinds["alert_timestamp"])
+    return passed.select("rule_id", "store_id", instant.alias("alert_timestamp"))
 
 
 def running_baseline(series: DataFrame, history: int = 24, anomaly_percent: float = 100.0) -> DataFrame:

@@ -88,6 +88,19 @@ def test_suppression_matches_the_batch_twin(spark, files):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_suppression_by_true_instants_and_waits_of_rules(spark, files):
+    schema = "rule_id int, store_id int, alert_timestamp timestamp"
+    rows = [(rule, 1, at(0) + dt.timedelta(seconds=s)) for s in (0, 0, 20, 59, 60, 619, 620, 21610) for rule in (1, 2, 3, 9)]
+    rows += [(4, 1, at(600) + dt.timedelta(seconds=59)), (4, 1, at(960) + dt.timedelta(seconds=10)), (4, 1, at(960) + dt.timedelta(seconds=59))]
+    config = spark.createDataFrame([(1, 0), (2, 10), (3, None), (4, 360)], "rule_id int, suppress_duplicate_minutes int")
+    got = finish(spark, stateful.suppress_repeats(arriving(spark, rows, schema, files), config))
+    want = alerts.suppress(spark.createDataFrame(rows, schema), config)
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert [r.alert_timestamp.second for r in got.where("rule_id = 4").orderBy("alert_timestamp").collect()] == [59, 59]
+    assert got.where("rule_id = 1").count() == 8
+
+
 @pytest.mark.parametrize("files", [1, 4])
 def test_baseline_matches_the_batch_twin(spark, files):
     rng = random.Random(9)
