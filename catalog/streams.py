@@ -58,7 +58,7 @@ def stream_enrich(spark, sf):
        WHERE kpi_timestamp + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
 )
 def stream_kpi(spark, sf):
-    """Closed windows only: the last ones wait for a watermark that no further event moves."""
+    """Closed windows only, as the SQL has them; ``kpis.with_open_slots`` adds the others."""
     closed = _finish(spark, kpis.minute_kpis(_events(spark, sf), "1 hour", "10 minutes"))
     return closed.select("kpi_timestamp", "store_id", "rentals_per_minute", "revenue_per_minute", "error_rate_percent", "event_count")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.measures import per
+from stratalake.operators import kpi
 from stratalake.operators.kpi import COUNTED
 
 
@@ -37,6 +38,20 @@ def minute_kpis(events: DataFrame, width: str = "1 minute", delay: str = "10 min
     )
 
 
+def with_open_slots(closed: DataFrame, events: DataFrame, width: str = "1 minute") -> DataFrame:
+    """The slots a stream has written and those the last watermark has not passed.
+
+    ``closed`` is what ``minute_kpis`` wrote of a finished run, ``events`` the same events as a
+    table. Closed slots come from the stream; all events from the first open slot on are counted
+    in batch, where active customers are exact.
+    """
+    last = closed.agg(F.max(F.unix_micros("kpi_timestamp"))).first()[0]
+    if last is not None:
+        first_open = F.timestamp_micros(F.lit(last)) + F.expr(f"INTERVAL {width}")
+        events = events.where(F.col("ts").cast("timestamp") >= first_open)
+    return closed.unionByName(kpi.minute_kpis(events, width).select(closed.columns))
+
+
 def sliding_activity(events: DataFrame, width: str = "5 minutes", step: str = "1 minute", delay: str = "10 minutes") -> DataFrame:
     """Events and revenue per sliding window and store."""
     is_payment = F.col("event_type") == "payment_processed"

@@ -54,6 +54,17 @@ def test_kpis_match_the_batch_twin_on_closed_windows(spark):
     assert sorted(got.select(columns).collect()) == sorted(want.select(columns).collect())
 
 
+@pytest.mark.parametrize("n", [60, 4])
+def test_kpis_with_open_slots_are_whole(spark, n):
+    rows = made_events(n, step=0.5)
+    got = kpis.with_open_slots(
+        finish(spark, kpis.minute_kpis(arriving(spark, rows, EVENT, 2), "5 minutes", "2 minutes")), spark.createDataFrame(rows, EVENT), "5 minutes"
+    )
+    want = kpi.minute_kpis(spark.createDataFrame(rows, EVENT), "5 minutes")
+    columns = ["kpi_timestamp", "store_id", "rentals_per_minute", "payments_per_minute", "revenue_per_minute", "error_rate_percent", "event_count", "active_customers_count"]
+    assert sorted(got.select(columns).collect()) == sorted(want.select(columns).collect())
+
+
 def test_sliding_matches_the_batch_twin(spark):
     rows = made_events(20)
     stream = arriving(spark, rows + [(999, at(500), 9, 9, "error", rows[0][5], "info", 1)], EVENT, 2)
