@@ -11,8 +11,9 @@ N-grams run over lower-cased letters, everything else counts as one space. They
 2^20 slots; a text has far fewer n-grams, so that few share a slot.
 
 Learning reads a bounded sample: per language ``TRAIN`` divided by the number of languages
-labelled texts of at most ``TRAIN_CHARS`` characters, the smallest hashes of the id. Prediction
-reads every text whole.
+labelled texts of any length, the smallest hashes of the id, and of a text with more than
+``TRAIN_CHARS`` characters that many, in ``PIECES`` pieces spread over its letters. Of more than
+``TRAIN`` languages the ones with the most texts are learned. Prediction reads every text whole.
 
 Defined results: a text that is NULL or has no letter is ``und`` with score 0. So is every text
 when nothing labelled can be learned. Equal scores fall to the first language by code point.
@@ -34,7 +35,7 @@ from stratalake.session import pin
 
 LONGEST = 4
 SLOTS = 1 << 20
-TRAIN, TRAIN_CHARS = 1200, 20_000
+TRAIN, TRAIN_CHARS, PIECES = 1200, 20_000, 8
 LANDMARKS = 240
 RIDGE = 0.01
 BATCH = 64
@@ -133,9 +134,22 @@ def fit(languages: list[str], labels: np.ndarray, sets: list[np.ndarray]) -> Mod
     return Model(languages, slots, (landmarks.T @ (whiten @ regression)).astype(np.float32))
 
 
+def excerpt(text: str) -> str:
+    """What learning reads of a text: short ones whole, of long ones pieces spread over the letters."""
+    if len(text) <= TRAIN_CHARS:
+        return text
+    # As in n-grams, everything but letters counts as one space, so that every piece has letters.
+    text = " ".join("".join([c if c.isalpha() else " " for c in text]).split())
+    size = TRAIN_CHARS // PIECES
+    if len(text) <= TRAIN_CHARS:
+        return text
+    starts = [(len(text) - size) * i // (PIECES - 1) for i in range(PIECES)]
+    return " ".join([text[at : at + size] for at in starts])
+
+
 @F.arrow_udf(ArrayType(IntegerType()))
 def _slots(texts: pa.Array) -> pa.Array:
-    return pa.array([ngram_slots(t).astype(np.int32) for t in texts.to_pylist()], pa.list_(pa.int32()))
+    return pa.array([ngram_slots(excerpt(t)).astype(np.int32) for t in texts.to_pylist()], pa.list_(pa.int32()))
 
 
 def held_out(key: Column, folds: int = 4, fold: int = 2) -> Column:
@@ -148,15 +162,20 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     rows = df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"), F.col(lang).cast("string").alias("_lang"))
     # A row without an id cannot be told to be held out.
     rows = rows.where(F.col("_key").isNotNull() & ~held_out(F.col("_key")) & F.col("_lang").isNotNull())
-    rows = rows.where(F.length("_text").between(1, TRAIN_CHARS) & F.col("_text").rlike(r"\p{L}"))
-    languages = sorted(r[0] for r in rows.select("_lang").distinct().limit(TRAIN).collect())
+    rows = rows.where(F.col("_text").rlike(r"\p{L}"))
+    most = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(TRAIN)
+    languages = sorted(r[0] for r in most.collect())
+    if len(languages) == TRAIN:
+        rows = rows.where(F.col("_lang").isin(languages))
     each = max(1, TRAIN // max(1, len(languages)))
     keys = rows.select("_lang", F.xxhash64("_key", F.lit(4)).alias("_h"), "_key")
     in_language = F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_key"))
     # The chosen keys are at most TRAIN; texts are only read for them.
     chosen = pin(keys.withColumn("_n", in_language).where(F.col("_n") <= each).select("_key").distinct(), "sample")
-    sample = rows.join(F.broadcast(chosen), "_key", "left_semi").orderBy(F.xxhash64("_key", F.lit(4)), "_key", "_text")
-    learned = sample.limit(TRAIN).select("_lang", _slots("_text").alias("_slots")).collect()
+    # Slots before the order, so that no long texts are sorted.
+    sample = rows.join(F.broadcast(chosen), "_key", "left_semi").select("_key", "_lang", _slots("_text").alias("_slots"))
+    sample = sample.orderBy(F.xxhash64("_key", F.lit(4)), "_key", "_lang", "_slots")
+    learned = sample.limit(TRAIN).select("_lang", "_slots").collect()
     place = {name: i for i, name in enumerate(languages)}
     kept = [r for r in learned if r[0] in place]
     labels = np.array([place[r[0]] for r in kept], np.int64)

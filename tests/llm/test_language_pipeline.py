@@ -52,6 +52,17 @@ def test_language_cases(spark, docs):
     assert language.identify(docs.limit(0)).count() == 0
 
 
+def test_languages_in_long_texts_only(spark, docs):
+    words = "il gatto e la casa con uccello acqua luce giardino".split()
+    more = [(i, "1 " * 9000 + " ".join(words[(i * 7 + j * j) % 10] for j in range(4500)), "it") for i in range(1000, 1012)]
+    more = spark.createDataFrame(more, "doc_id long, text string, lang string")
+    assert more.where(F.length("text") <= language.TRAIN_CHARS).isEmpty()
+    got = language.identify(docs.select("doc_id", "text", "lang").unionByName(more)).collect()
+    assert all((r.lang_pred == "it") == (r.doc_id >= 1000) for r in got if r.doc_id is not None)
+    alone = language.identify(more).collect()
+    assert {r.lang_pred for r in alone} == {"it"} and all(r.score > 0.5 for r in alone)
+
+
 def test_pipeline_stages(spark, docs):
     table = docs.collect()
     kept = corpus_pipeline.language_stage(spark, docs, "")
