@@ -38,9 +38,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> D
     repeated = pin(repeated.select("_id"), "repeated")
     if repeated.isEmpty():
         return left
-    # Rows that share an id are one document.
+    # Rows that share an id are one document: the row with the smallest text, then other columns.
     match = left["doc_id"] == repeated["_id"]
-    once = left.join(repeated, match, "left_semi").dropDuplicates(["doc_id"])
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    order = F.struct(F.col("text").isNull().alias("_none"), F.col("text").alias("_text"), *plain)
+    row = F.struct(*docs.columns)
+    once = left.join(repeated, match, "left_semi").groupBy("doc_id").agg(F.min_by(row, order).alias("_row")).select("_row.*")
     return left.join(repeated, match, "left_anti").unionByName(once)
 
 

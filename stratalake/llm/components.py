@@ -63,3 +63,22 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     members = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
     heads = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return members.unionByName(heads)
+
+
+def joined_by_id(of: DataFrame, found: DataFrame) -> DataFrame:
+    """Components ``found`` of nodes, extended by links between the nodes of one id (``id, node``)."""
+    of = pin(of.select("id", "node").distinct(), "nodes")
+    first = of.groupBy("id").agg(F.min("node").alias("a"))
+    return components(pin(of.join(first, "id").where("node > a").select("a", F.col("node").alias("b")), "same"), found)
+
+
+def named_by_id(classes: DataFrame, *keys: str) -> DataFrame:
+    """``*keys, component`` of classes, the component renamed to the smallest ``head`` in it."""
+    least = classes.groupBy("component").agg(F.min("head").alias("_least"))
+    return classes.join(least, "component").select(*keys, F.col("_least").alias("component"))
+
+
+def same_by_id(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows with ``id, component``; those of a repeated id all get the component that one of them has."""
+    per = rows.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("component").alias("_of_id"))
+    return rows.join(per, "id", "left").withColumn("component", F.coalesce("_of_id", "component")).drop("_of_id")

@@ -35,9 +35,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType
 
-from stratalake.llm.components import components
+from stratalake.llm.components import components, joined_by_id, named_by_id, same_by_id
 from stratalake.session import fresh_path, pin, scratch
 
 WORDS = 5
@@ -130,6 +130,10 @@ def _rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), REGISTERS)
 
 
+def _digest(words: list[bytes]) -> bytes | None:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
+
+
 def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
     """``id, n_shingles, digest, sketch``; the digest of a word sequence and its sketch are NULL if empty."""
     schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sketch", pa.binary())])
@@ -141,7 +145,7 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
                 words = word_list(whole)
                 items = shingles(words)
                 sizes.append(len(items))
-                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None)
+                digests.append(_digest(words))
                 made.append(registers(items).tobytes() if words else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(made, pa.binary())],
@@ -170,6 +174,11 @@ def _shingle_sets(texts: pa.Array) -> pa.Array:
     return pa.array([shingles(word_list(t)).view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
 
+@F.arrow_udf(BinaryType())
+def _digests(texts: pa.Array) -> pa.Array:
+    return pa.array([_digest(word_list(t)) for t in texts.to_pylist()], pa.binary())
+
+
 def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
@@ -324,20 +333,42 @@ def _cross_large(rows: DataFrame, classes: DataFrame, texts: DataFrame, percent:
     return _block_pairs(full, ["items"]).applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def links(made: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``(classes, components of classes)`` for pinned ``sketches`` and ``id, text``."""
-    some = made.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
+def links(made: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """``(classes, components of their nodes, repeated ids or None)`` for pinned ``sketches`` and ``id, text``.
+
+    The node of a class is its smallest id, or a hash of its digest if several rows have that
+    id, whose texts may differ. The classes of one id are of one component.
+    """
+    named = made.where(F.col("id").isNotNull())
+    some = named.where(F.col("digest").isNotNull())
+    repeated = pin(named.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeated")
     classes = some.groupBy("digest").agg(F.min("id").alias("head"))
-    heads = classes.select(F.col("head").alias("id"), "digest")
-    unique = some.join(heads, ["id", "digest"], "left_semi").dropDuplicates(["id"])
-    unique = pin(unique.select("id", F.col("n_shingles").alias("n"), "sketch"), "classes")
+    if repeated.isEmpty():
+        repeated = None
+        classes = classes.withColumn("node", F.col("head"))
+    else:
+        again = repeated.select(F.col("id").alias("head"), F.lit(True).alias("_again"))
+        node = F.when(F.col("_again"), F.xxhash64("digest")).otherwise(F.col("head"))
+        classes = pin(classes.join(again, "head", "left").select("digest", "head", node.alias("node")), "heads")
+    heads = classes.select(F.col("head").alias("id"), "digest", "node")
+    if repeated is not None:
+        # One text per class, under the node; the rows of a repeated id match no node.
+        own = texts.join(repeated, "id", "left_semi").withColumn("digest", _digests("text"))
+        own = own.join(heads, ["id", "digest"]).select(F.col("node").alias("id"), "text").dropDuplicates(["id"])
+        texts = texts.unionByName(pin(own, "again"))
+    unique = some.join(heads, ["id", "digest"]).select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "sketch")
+    unique = pin(unique.dropDuplicates(["id"]), "classes")
     buckets = pin(unique.select("id", F.explode(_keys("sketch")).alias("bucket")), "buckets")
     found = components(verified(pin(_plausible(_stars(buckets), unique, percent), "stars"), texts, percent))
     rows = _open_buckets(buckets, found).where("n_all <= %d" % SMALL_BUCKET)
     small = pin(_plausible(_cross_small(rows), unique, percent), "crossing")
     found = components(verified(small, texts, percent), found)
     rows = pin(_open_buckets(buckets, found).where("n_all > %d" % SMALL_BUCKET), "open")
-    return classes, components(pin(_cross_large(rows, unique, texts, percent), "crossing"), found)
+    found = components(pin(_cross_large(rows, unique, texts, percent), "crossing"), found)
+    if repeated is not None:
+        of = some.join(repeated, "id", "left_semi").join(classes.select("digest", "node"), "digest").select("id", "node")
+        found = joined_by_id(of, found)
+    return classes, found, repeated
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
@@ -357,11 +388,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
 def _labelled(df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     made = pin(sketches(df, key, text), "sketches")
     texts = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text")).where("id IS NOT NULL")
-    classes, linked = links(made, texts, percent)
-    head = classes.join(linked.withColumnRenamed("node", "head"), "head", "left").select(
-        "digest", F.coalesce("component", "head").alias("component")
-    )
-    labelled = made.select("id", "n_shingles", "digest").join(head, "digest", "left")
+    classes, linked, repeated = links(made, texts, percent)
+    head = classes.join(linked, "node", "left").select("digest", "head", F.coalesce("component", "node").alias("component"))
+    if repeated is not None:
+        head = named_by_id(head, "digest")
+    labelled = made.select("id", "n_shingles", "digest").join(head.select("digest", "component"), "digest", "left")
+    if repeated is not None:
+        labelled = same_by_id(labelled, repeated)
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return labelled.select(
         F.col("id").alias(key),

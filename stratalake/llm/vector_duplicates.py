@@ -15,8 +15,8 @@ vector of each linked group, never the pairs.
 
 Defined results: rows without an id or label, and vectors that are NULL, empty, all zero or
 hold NULL or non-finite components link with nothing; so do vectors of unequal length. Repeated
-rows are vectors of their own and count as links of each other. Rows without an id get no
-component and are kept.
+rows are vectors of their own and count as links of each other; rows that share an id are of one
+component. Rows without an id get no component and are kept.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.components import components
+from stratalake.llm.components import components, joined_by_id, named_by_id, same_by_id
 from stratalake.llm.vectors import matrix, usable
 from stratalake.session import pin
 
@@ -192,11 +192,24 @@ def vector_duplicates(
     nonzero = F.exists("vector", lambda x: x != 0)
     takes_part = F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector")) & F.coalesce(nonzero, F.lit(False))
     rows = rows.select("id", "label", F.when(takes_part, F.col("vector")).alias("vector"))
+    repeated = pin(rows.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeated")
+    several = not repeated.isEmpty()
     classes = rows.where(F.col("vector").isNotNull()).groupBy("label", "vector")
-    classes = pin(classes.agg(F.min("id").alias("id"), F.count("*").alias("copies")), "classes")
-    # An id that stands for two vectors is one node; its first vector leads.
-    found = pin(_links(classes.dropDuplicates(["id"]), threshold, trees), "found")
+    classes = classes.agg(F.min("id").alias("head"), F.count("*").alias("copies"))
+    if several:
+        # An id of several rows may stand for several vectors, so it cannot name a class.
+        again = repeated.select(F.col("id").alias("head"), F.lit(True).alias("_again"))
+        node = F.when(F.col("_again"), F.xxhash64("label", "vector")).otherwise(F.col("head"))
+        classes = classes.join(again, "head", "left").select("label", "vector", "head", node.alias("id"), "copies")
+    else:
+        classes = classes.withColumn("id", F.col("head"))
+    classes = pin(classes, "classes")
+    found = pin(_links(classes.drop("head"), threshold, trees), "found")
     linked = components(found.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")))
+    if several:
+        some = rows.where(F.col("vector").isNotNull()).join(repeated, "id", "left_semi")
+        of = some.join(classes.select("label", "vector", F.col("id").alias("node")), ["label", "vector"])
+        linked = joined_by_id(of, linked)
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     known = (
         classes.join(counts, "id", "left")
@@ -204,12 +217,17 @@ def vector_duplicates(
         .select(
             "label",
             "vector",
+            "head",
             (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
+            F.coalesce("component", "id").alias("component"),
         )
     )
+    if several:
+        known = named_by_id(known, "label", "vector", "n_links")
     out = rows.join(known, ["label", "vector"], "left")
-    component = F.coalesce("component_id", "id")
+    if several:
+        out = same_by_id(out, repeated)
+    component = F.coalesce("component", "id")
     return out.select(
         F.col("id").alias(key),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),

@@ -91,6 +91,21 @@ def test_near_duplicates(spark, texts):
     assert near_duplicates.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_repeated_ids_of_different_texts(spark):
+    rng = random.Random(6)
+    new = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    rows, want = [], {}
+    for g in range(0, 400, 20):
+        a, b, c = new(), new(), new()
+        rows += [(g + 5, a), (g + 5, b), (g + 9, b), (g + 12, b + " end"), (g + 13, a + " end"), (g + 14, c), (g + 14, ""), (g + 2, c)]
+        rows += [(g + 15, new()), (g + 15, c + " end")] * 3
+        want |= {g + 5: g + 5, g + 9: g + 5, g + 12: g + 5, g + 13: g + 5, g + 14: g + 2, g + 2: g + 2, g + 15: g + 2}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = near_duplicates.near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(i, c, i == c) for i, c in want.items()}
+
+
 def test_likelihood_estimate():
     rng = np.random.default_rng(3)
     for share in (0.2, 0.5, 0.75, 0.9):
@@ -152,6 +167,19 @@ def test_vector_duplicates(spark, vectors, monkeypatch):
     assert vector_duplicates.vector_duplicates(frame(spark, vectors).limit(0)).count() == 0
 
 
+def test_repeated_ids_of_different_vectors(spark):
+    rng = np.random.default_rng(7)
+    rows, want = [], set()
+    for g in range(0, 400, 20):
+        a, b = rng.standard_normal((2, 16))
+        near = lambda v: [float(np.float32(x)) for x in v + 0.01 * rng.standard_normal(16)]
+        one = near(b)
+        rows += [(g + 5, near(a), g), (g + 5, one, g), (g + 5, None, g), (g + 9, one, g), (g + 12, near(b), g), (g + 13, near(a), g)]
+        want |= {(g + 5, 1, g + 5), (g + 5, 2, g + 5), (g + 5, 0, g + 5), (g + 9, 2, g + 5), (g + 12, 2, g + 5), (g + 13, 1, g + 5)}
+    got = vector_duplicates.vector_duplicates(frame(spark, rows)).collect()
+    assert len(got) == len(rows) and {tuple(r) for r in got} == {(*w, w[0] == w[2]) for w in want}
+
+
 def test_top_k(spark, vectors, monkeypatch):
     monkeypatch.setattr(top_k, "ROWS", 100)
     monkeypatch.setattr(top_k, "QUERIES", 4)

@@ -85,6 +85,14 @@ def test_pipeline_keeps_one_of_repeated_rows(spark):
     assert sorted(map(str, (r.doc_id for r in once.collect()))) == ["1", "None"]
 
 
+def test_pipeline_keeps_a_fixed_row_of_repeated_ids(spark):
+    rows = [(1, None, 0), (1, "f e d c b a", 3), (1, "a b c d e f", 2), (1, "a b c d e f", 1), (2, "x y z", 4)]
+    for parts in (1, 3, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(parts, "n")
+        once = corpus_pipeline.near_duplicate_stage(spark, df, "")
+        assert once.columns == df.columns and sorted(map(tuple, once.collect())) == [(1, "a b c d e f", 1), (2, "x y z", 4)]
+
+
 def test_empty_table_passes(spark, docs):
     frame = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
