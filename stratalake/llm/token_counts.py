@@ -1,10 +1,10 @@
 """Token counts of whole texts by a two-tier lookup inside the map task.
 
-First a pass over all texts finds frequent pre-tokens: each task keeps a bounded summary, the
-summaries are merged in a tree, and the token counts of the most frequent pre-tokens are
+First a pass over all texts finds frequent pre-tokens of at most ``LONGEST`` characters: each
+task keeps a summary that is bounded in entries and bytes, the summaries are merged in a tree, and the token counts of the most frequent pre-tokens are
 broadcast as a compact table (at most ``FREQUENT`` entries, whatever the data). The counting
 pass looks every pre-token up in that table; a miss is encoded by the library and kept in the
-worker's cache. Pre-tokens are never shuffled. What the table holds changes the speed only.
+worker's cache. Only the summaries are shuffled, at most ``FREQUENT`` pre-tokens each. What the table holds changes the speed only.
 
 Defined results: a NULL text counts as empty, with 0 bytes and 0 tokens. Rows are mapped one
 by one, so ties, repeated rows and empty tables need no rule; an empty table gives an empty
@@ -53,7 +53,7 @@ def frequent_lengths(spark: SparkSession, df: DataFrame, path: str, text: str =
         for batch in batches:
             for whole in batch.column(0).to_pylist():
                 for _, words in pre.pieces(whole or ""):
-                    counts.update(words)
+                    counts.update([w for w in words if len(w) <= LONGEST])
                 if len(counts) > SUMMARY:
                     counts = Counter(_most(counts, SUMMARY // 2))
         kept = _most(counts, FREQUENT)
@@ -65,7 +65,7 @@ def frequent_lengths(spark: SparkSession, df: DataFrame, path: str, text: str =
     words, lengths = [], bytearray()
     for word in sorted(merged):
         n = len(pre.library.model.tokenize(to_byte_chars(word)))
-        if n < 256 and len(word) <= LONGEST:
+        if n < 256:
             words.append(word)
             lengths.append(n)
     return "\n".join(words), bytes(lengths)

@@ -67,6 +67,13 @@ def test_counts_and_round_trip(spark, texts):
         assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_long_pre_tokens_take_no_room_in_summaries(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "FREQUENT", 2)  # tasks get the value with their function
+    rows = [(i, " ".join(chr(97 + n) * (token_counts.LONGEST + 1) for n in range(6)) + " cat" * (i % 2)) for i in range(8)]
+    words, lengths = token_counts.frequent_lengths(spark, spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), PATH)
+    assert words == "cat" and list(lengths) == [1]
+
+
 def test_empty_tables(spark, texts):
     none = texts.limit(0)
     assert token_counts.count_tokens(spark, none, PATH).count() == 0
