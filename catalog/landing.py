@@ -159,7 +159,8 @@ def _refresh(spark, sf):
          UNION ALL SELECT 'gold.dim_date', date_diff('day', date_trunc('year', least(min(rental_date), min(return_date))), date_trunc('year', greatest(max(rental_date), max(return_date))) + INTERVAL 1 YEAR) + 1 FROM rental)""",
 )
 def run_report(spark, sf):
-    return _refresh(spark, sf).report(spark).drop("error")
+    # The SQL of this query does not list the rejected customers.
+    return _refresh(spark, sf).report(spark).drop("error").where("table_name <> 'silver.customer_rejected'")
 
 
 @query(
@@ -169,7 +170,8 @@ def run_report(spark, sf):
 )
 def model_verdict(spark, sf):
     made = _refresh(spark, sf).tables
-    later = {name: df for name, df in made.items() if not name.startswith("bronze.")}
+    # Rejected rows are no table that has to have rows.
+    later = {name: df for name, df in made.items() if not name.startswith("bronze.") and name != "silver.customer_rejected"}
     facts = quality.fact_check(made["gold.fact_rental"], {"customers": "customer_id"}, "revenue_amount", "rental_rate")
     scores = quality.score_check(made["silver.customer"], "sl_data_quality_score")
     return quality.verdict(

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.functions.cleanse import apply_rule
 from stratalake.operators import audit, joins
 from stratalake.plans import dims, facts, metrics, silver
 from stratalake.plans.pipeline import Step
@@ -64,7 +65,7 @@ def bronze_steps(settings: Settings, tables: Mapping[str, Sequence[str]]) -> lis
 
 
 def silver_steps(settings: Settings) -> list[Step]:
-    """Typed entities, and the address and store entities their ids imply."""
+    """Typed entities, the address and store entities their ids imply, and customers without a usable id."""
     batch = settings.batch("silver_dimensional")
 
     def clean(entity: silver.Entity) -> Step:
@@ -81,8 +82,15 @@ def silver_steps(settings: Settings) -> list[Step]:
         defaults = {"manager_staff_id": F.lit(1), "address_id": F.col("store_id"), "last_update": settings.load_time()}
         return silver.inferred_entity(customers, "store", "store_id", defaults, batch, settings.load_time())
 
+    def rejected(customers: DataFrame) -> DataFrame:
+        # As landed; gold leaves out exactly these.
+        id_column = silver.CUSTOMER.key
+        typed = apply_rule(F.col(id_column), silver.CUSTOMER.rules[id_column])
+        return customers.where(typed.isNull()).withColumn("rejected_columns", F.lit(id_column))
+
     film = silver.film(settings.short, settings.medium)
     return [
+        Step("silver.customer_rejected", ["bronze.customer"], rejected),
         Step("silver.address", ["bronze.customer"], addresses),
         Step("silver.store", ["bronze.customer"], stores),
         *[clean(e) for e in (silver.LANGUAGE, silver.CUSTOMER, film, silver.RENTAL, silver.PAYMENT)],
@@ -105,7 +113,7 @@ def gold_steps(settings: Settings) -> list[Step]:
     def customers(customer: DataFrame, address: DataFrame, store: DataFrame, rental: DataFrame, payment: DataFrame) -> DataFrame:
         # The layers hold no city names, only ids, and a district is none.
         places = store.select("store_id", F.col("store_address").alias("address"), F.lit(None).cast("string").alias("city"))
-        # A customer without a usable id belongs to nobody's rentals and gets no dimension row.
+        # A customer without a usable id gets no dimension row; it is in silver.customer_rejected.
         known = customer.where(F.col("customer_id").isNotNull())
         wide = dims.customer_dimension(
             known, address, places, rental, payment, settings.as_of(), settings.tiers, settings.high_value

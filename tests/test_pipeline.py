@@ -28,6 +28,17 @@ def test_run_reports_every_table(spark):
     assert result.report(spark).where("status = 'ok'").count() == 4
 
 
+def test_refresh_lists_customers_without_a_usable_id(spark, small):
+    from catalog import all_queries, landing
+
+    all_queries()
+    result = landing._refresh(spark, small)
+    rejected = result.tables["silver.customer_rejected"]
+    assert result.report(spark).where("table_name = 'silver.customer_rejected'").first().row_count == rejected.count() > 0
+    assert rejected.count() + result.rows["gold.dim_customer"] == result.rows["bronze.customer"]
+    assert {r.customer_id for r in rejected.collect()} == {"n/a"}
+
+
 def test_empty_input_is_not_an_error(spark):
     result = run(spark, steps()[:2], {"source.a": spark.range(0)}, fresh_path(spark, "run"), "b1")
     assert result.rows == {"bronze.a": 0, "silver.a": 0} and result.bi_ready
