@@ -19,7 +19,7 @@ from stratalake.session import pin
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents in a language; those without text or without any letter go."""
+    """Documents with a letter; scores reject nothing, as ``und`` is only given to texts without one."""
     prepared(spark)
     model = language.train(docs)
     if not model.languages:  # nothing to learn from: only texts without a letter can be told
