@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import bpe, html_extract, language, mixing, near_duplicates, token_counts, top_k, url_filter
-from stratalake.llm import vector_duplicates, warc
+from stratalake.llm import toxicity, vector_duplicates, warc
 from stratalake.session import configure
 
 VOCABULARY = "word_bpe_49k.json"
@@ -94,6 +94,10 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract(_table(spark, folder, "pages"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.detect(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_embedding_near_dedup,
         op10_html_extraction,
+        op11_toxicity,
     )
 }
 
