@@ -38,7 +38,7 @@ from stratalake.llm.workers import per_worker
 SLOT_BITS = 20
 GAPS = (1, 2, 3)  # the second word of a pair is so many words behind the first
 STEMS = (4, 5, 6, 7)  # so many first letters of a word count as a word of their own
-TRAIN, TRAIN_FEATURES = 4000, 6_000_000  # per label
+TRAIN, TRAIN_FEATURES = 4000, 4_000_000  # per label
 STEPS, EPOCHS = 40_000, (6, 20)  # few texts are passed over more often
 ALPHA, BETA, L1 = 1.5, 1.0, 10.0
 THRESHOLD = 0.7
@@ -106,7 +106,8 @@ def fit(sets: list[np.ndarray], labels: list[int]) -> Model:
         shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - penalty[at], 0)
         return -shrunk * ALPHA / (BETA + np.sqrt(n[at]))
 
-    sets = [np.append(s, size - 1) for s in sets]
+    bias = np.array([size - 1], np.int32)
+    sets = [np.concatenate((s, bias)) for s in sets]
     for _ in range(min(max(STEPS // len(sets), EPOCHS[0]), EPOCHS[1])):
         for at, label in zip(sets, labels, strict=True):
             w = weights(at)
@@ -146,10 +147,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # Features before the running total, so that no texts are sorted; a set has 2^20 slots at most.
     before = Window.partitionBy("_label").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
     total = F.coalesce(F.sum(F.size("_set")).over(before), F.lit(0))
-    learned = sets.withColumn("_before", total).where(F.col("_before") < TRAIN_FEATURES).collect()
-    # Labels take turns.
-    learned = sorted(learned, key=lambda r: (r["_n"], r["_label"]))
-    return fit([np.array(r["_set"], np.int64) for r in learned], [r["_label"] for r in learned])
+    bounded = sets.withColumn("_before", total).where(F.col("_before") < TRAIN_FEATURES)
+    # Some ten million numbers at most, which stay packed. Labels take turns.
+    learned = bounded.select("_n", "_label", "_set").toArrow().sort_by([("_n", "ascending"), ("_label", "ascending")])
+    column = learned.column("_set").combine_chunks()
+    slots = np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])
+    return fit(slots[: learned.num_rows], learned.column("_label").to_pylist())
 
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> Column:
