@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, html_extract, language, mixing, near_duplicates, token_counts, top_k, url_filter
+from stratalake.llm import alignment, bpe, html_extract, language, mixing, near_duplicates, token_counts, top_k, url_filter
 from stratalake.llm import toxicity, vector_duplicates, warc
 from stratalake.session import configure
 
@@ -98,6 +98,11 @@ def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.detect(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.measures(_table(spark, folder, "documents"), *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_embedding_near_dedup,
         op10_html_extraction,
         op11_toxicity,
+        op13_tokenizer_alignment,
     )
 }
 
