@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import alignment, bpe, html_extract, language, mixing, near_duplicates, token_counts, top_k, url_filter
+from stratalake.llm import alignment, bpe, conversation_trie, html_extract, language, mixing, near_duplicates, token_counts, top_k, url_filter
 from stratalake.llm import toxicity, vector_duplicates, warc
 from stratalake.session import configure
 
@@ -98,6 +98,10 @@ def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.detect(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.conversation_trie(_table(spark, folder, "conversations"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.measures(_table(spark, folder, "documents"), *paths)
@@ -117,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_embedding_near_dedup,
         op10_html_extraction,
         op11_toxicity,
+        op12_conversation_trie,
         op13_tokenizer_alignment,
     )
 }
@@ -237,4 +242,37 @@ reach AS (
 ), c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT embeddings.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, embeddings.vec_id = c.component_id AS kept
 FROM embeddings LEFT JOIN n USING (vec_id) JOIN c USING (vec_id)""",
+    "op12_conversation_trie": r"""
+WITH o AS (
+    SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+    FROM conversations WHERE conv_id IS NOT NULL
+), said AS (
+    SELECT r, x, row_number() OVER () AS id, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words FROM (SELECT DISTINCT r, x FROM o)
+), s AS (SELECT c, list(id ORDER BY i) AS t FROM o JOIN said USING (r, x) GROUP BY c),
+k AS (
+    SELECT c, t, c - c % 20 AS base, xor(list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda q: CAST(ascii(q) AS BIGINT))),
+        lambda crc, q: list_reduce([xor(crc, q), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 4 AS h
+    FROM s
+), rebuilt AS (
+    SELECT k.c, list_concat(coalesce(b.t[1:h], CAST([] AS BIGINT[])), k.t[h + 1:]) AS t FROM k LEFT JOIN s AS b ON b.c = k.base
+), p AS (SELECT c, len(t) = d AS ends, t[1:d] AS prefix FROM (SELECT c, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)),
+n AS (
+    SELECT prefix, min(c) AS conv_id, len(prefix) AS depth, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM p GROUP BY prefix
+), kids AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+own AS (
+    SELECT n.prefix, depth, CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * coalesce(words, 0) AS saved
+    FROM n LEFT JOIN kids ON kids.prefix = n.prefix LEFT JOIN said ON said.id = n.prefix[depth]
+), sub AS (
+    SELECT prefix[1:d] AS prefix, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM own) GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN sub ON sub.prefix = n.prefix LEFT JOIN kids ON kids.prefix = n.prefix
+LEFT JOIN n AS up ON n.depth > 0 AND up.prefix = n.prefix[1:n.depth - 1]""",
 }
