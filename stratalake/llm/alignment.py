@@ -2,7 +2,8 @@
 
 The texts are shuffled by their whole content, so that each distinct text is encoded by both
 tokenizers and aligned once, with the number of its copies. Byte offsets where a token of A and a
-token of B both end cut a text into groups; the two tokens that end there are linked. The links
+token of B both end cut a text into groups; the two tokens that end there are linked. Inside a
+task, texts are cut at certain borders into pieces that are aligned once per worker. The links
 of a task's batches are counted, times the copies, before they are shuffled; counts and measures
 then go back to the documents by the digest of their text.
 
@@ -22,6 +23,7 @@ or have no id, each get a row. An empty table gives an empty one. Other columns
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 from collections.abc import Iterator
 
@@ -30,7 +32,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
 from stratalake.llm.pretokens import BYTE_CHARS
@@ -38,12 +40,19 @@ from stratalake.llm.workers import file_bytes, per_worker
 from stratalake.session import fresh_path, pin, scratch
 
 FREQUENT = 1 << 18
-AT_ONCE = 32  # texts handed to a tokenizer together
+AT_ONCE = 64  # texts aligned together
+KNOWN = 1 << 17  # pieces of text a worker remembers, twice
 _BITS = 32  # a pair is one number: the id of A, then that of B in so many bits
 
 
 class Aligner:
-    """Both tokenizers and the bytes of their tokens."""
+    """Both tokenizers, the bytes of their tokens, and the pieces of text aligned so far.
+
+    Neither tokenizer joins a character that is no white space with a space behind it: A cuts its
+    pre-tokens there, and no entry of B has a space behind another character. A text can thus be
+    cut before every space between two such characters, and its pieces, which repeat far more
+    than texts, are aligned one by one.
+    """
 
     def __init__(self, source_a: bytes, source_b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -56,114 +65,110 @@ class Aligner:
         self.bytes_a = [b""] * (max(entries.values()) + 1)
         added = self.a.get_added_tokens_decoder()
         for entry, i in entries.items():
-            self.bytes_a[i] = entry.encode() if i in added else _raw(entry)
-        self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+            self.bytes_a[i] = entry.encode() if i in added else bytes(map(_BYTE_OF.__getitem__, entry))
+        self.bytes_b = [self._entry(i) for i in range(self.b.get_piece_size())]
+        if any(b" " in entry[1:].lstrip(b" ") for entry in self.bytes_b):
+            raise ValueError("an entry of the second tokenizer has a space behind another character")
         self.sizes_a, self.sizes_b = (np.array(list(map(len, t)), np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.known: dict[str, Piece] = {}
+        self.old: dict[str, Piece] = {}
 
-    def _piece(self, i: int) -> bytes:
+    def _entry(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int], np.ndarray, np.ndarray]]:
-        """Per text: ids of A and B, and the places behind the last token of each group in both."""
-        for start in range(0, len(texts), AT_ONCE):
-            some = texts[start : start + AT_ONCE]
-            ours = self.a.encode_batch_fast([f" {t}" for t in some], add_special_tokens=False)
+    def align(self, texts: list[str]) -> list[tuple[int, int, int, bytes, str]]:
+        """Per text: numbers of tokens of A and B and of groups, packed links, groups."""
+        cut = [pieces(t) if t else [] for t in texts]
+        here = self._aligned({p for parts in cut for p in parts})
+        done = []
+        for parts in cut:
+            found = [here[p] for p in parts]
+            if not parts or any([f[0] == 0 for f in found]):
+                done.append((0, 0, 0, b"", ""))
+                continue
+            n_a, n_b, n_groups, links, groups = zip(*found, strict=True)
+            done.append((sum(n_a), sum(n_b), sum(n_groups), b"".join(links), ";".join(groups)))
+        return done
+
+    def _aligned(self, wanted: set[str]) -> dict[str, Piece]:
+        """Every wanted piece; the known ones of two generations are not encoded again."""
+        here = {p: known for p in wanted if (known := self.known.get(p) or self.old.get(p)) is not None}
+        new = sorted(wanted.difference(here))
+        for start in range(0, len(new), AT_ONCE):
+            some = new[start : start + AT_ONCE]
+            ours = self.a.encode_batch_fast([f" {p}" for p in some], add_special_tokens=False)
             theirs = self.b.encode(some, num_threads=1)
-            for text, one, other in zip(some, ours, theirs, strict=True):
-                yield self.align(text, one.ids, other)
-
-    def align(self, text: str, a: list[int], b: list[int]) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
-        whole = b" " + text.encode()
-        none = np.array([], np.int64)
-        if not text or b"".join(map(self.bytes_a.__getitem__, a)) != whole:
-            return [], [], none, none
-        if b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-            return [], [], none, none
-        ends_a, ends_b = self.sizes_a[a].cumsum(), self.sizes_b[b].cumsum()
-        place = np.searchsorted(ends_b, ends_a)  # both end with the text, so there is always one
-        met = ends_b[place] == ends_a
-        return a, b, np.flatnonzero(met) + 1, place[met] + 1
-
-
-def _raw(entry: str) -> bytes:
-    """The bytes of an entry of a byte-level vocabulary."""
-    return bytes(map(_BYTE_OF.__getitem__, entry))
-
-
+            for piece, one, other in zip(some, ours, theirs, strict=True):
+                here[piece] = self._one(piece, one.ids, other)
+        if len(self.known) >= KNOWN:
+            self.known, self.old = {}, self.known
+        self.known.update((p, here[p]) for p in wanted if len(p) <= 64)
+        return here
+
+    def _one(self, piece: str, a: list[int], b: list[int]) -> Piece:
+        whole = b" " + piece.encode()
+        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
+            return _NOTHING
+        ends_a, ends_b = (list(itertools.accumulate(map(len, map(t.__getitem__, ids)))) for t, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+        at_b = {end: k for k, end in enumerate(ends_b)}
+        met = [(k, at_b[end]) for k, end in enumerate(ends_a) if end in at_b]
+        links = np.array([(a[k] << _BITS) | b[m] for k, m in met], np.int64).tobytes()
+        groups, x, y = [], 0, 0
+        for k, m in met:
+            groups.append(f"{','.join(map(str, a[x : k + 1]))}|{','.join(map(str, b[y : m + 1]))}")
+            x, y = k + 1, m + 1
+        return len(a), len(b), len(met), links, ";".join(groups)
+
+
+# Numbers of tokens of A and B and of groups, packed links, groups as text.
+Piece = tuple[int, int, int, bytes, str]
+_NOTHING = (0, 0, 0, b"", "")
 _BYTE_OF = {c: b for b, c in enumerate(BYTE_CHARS)}
+# No white space by Unicode, but by some tables of other libraries; no cut is made beside them.
+_DOUBTFUL = frozenset("\u180e\u200b\u2060\ufeff▁")
 
 
-def _lists(parts: list, dtype: pa.DataType) -> pa.ListArray:
-    flat = np.concatenate([np.array([], np.int64), *[np.asarray(p, np.int64) for p in parts]])
-    ends = np.cumsum([0, *map(len, parts)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat).cast(dtype))
+def pieces(text: str) -> list[str]:
+    """``text`` cut before the spaces between two characters that are no white space, without those spaces."""
+    parts = text.split(" ")
+    if all([p and not (p[0].isspace() or p[-1].isspace() or p[0] in _DOUBTFUL or p[-1] in _DOUBTFUL) for p in parts]):
+        return parts
+    made = [[parts[0]]]
+    for before, part in itertools.pairwise(parts):
+        edges = before[-1:] + part[:1]
+        if before and part and not any([c.isspace() or c in _DOUBTFUL for c in edges]):
+            made.append([part])
+        else:
+            made[-1].append(part)
+    return [" ".join(p) for p in made]
 
 
 def align(spark: SparkSession, df: DataFrame, path_a: str, path_b: str, text: str = "text") -> DataFrame:
-    """``df`` with ``a_ids, b_ids`` and ``a_cut, b_cut``, how many tokens stand before the end of each group."""
+    """``df`` with the alignment of its texts.
+
+    ``n_a, n_b`` tokens, ``n_groups``, ``groups`` as ``a1,a2|b1;a3|b2,b3`` and ``links``, the pairs
+    of tokens that end together, in text order, each as one number: the id of A, then that of B
+    in 32 bits.
+    """
     # Files of a few MB, whatever the data.
     sources = file_bytes(spark, path_a), file_bytes(spark, path_b)
     key = ("aligner", *[hashlib.blake2b(s.value).digest() for s in sources])
-    added = ["a_ids", "b_ids", "a_cut", "b_cut"]
+    added = [(c, LongType()) for c in ("n_a", "n_b", "n_groups")] + [("links", ArrayType(LongType())), ("groups", StringType())]
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = per_worker(key, lambda: Aligner(*(s.value for s in sources)))
         for batch in batches:
-            # Batches are cut so that the token lists of long texts do not pile up.
+            # Batches are cut so that the results of long texts do not pile up.
             for start in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(start, AT_ONCE)
-                done = list(aligner.encode([t or "" for t in part.column(text).to_pylist()]))
-                lists = [_lists([d[i] for d in done], pa.int32()) for i in range(4)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=[*part.schema.names, *added])
-
-    return df.mapInArrow(both, StructType([*df.schema.fields, *[StructField(c, ArrayType(IntegerType())) for c in added]]))
-
-
-@F.arrow_udf(ArrayType(LongType()))
-def links(a_ids: pa.Array, b_ids: pa.Array, a_cut: pa.Array, b_cut: pa.Array) -> pa.Array:
-    """The pairs of tokens that end together, in text order, each as one number."""
-    last = [_pick(ids, cut).astype(np.int64) for ids, cut in ((a_ids, a_cut), (b_ids, b_cut))]
-    flat = (last[0] << _BITS) | last[1]
-    ends = a_cut.offsets.to_numpy()
-    return pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(flat))
+                *numbers, links, groups = zip(*aligner.align(part.column(text).to_pylist()), strict=True)
+                ends = np.cumsum([0, *map(len, links)]) // 8
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(links), np.int64)))
+                columns = [*[pa.array(n, pa.int64()) for n in numbers], lists, pa.array(groups, pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *[c for c, _ in added]])
 
-
-def _pick(ids: pa.ListArray, cuts: pa.ListArray) -> np.ndarray:
-    """Of each row the ids that stand before a cut."""
-    sizes = np.diff(cuts.offsets.to_numpy())
-    first = ids.offsets.to_numpy()[:-1] - ids.offsets.to_numpy()[0]
-    return ids.flatten().to_numpy()[np.repeat(first, sizes) + cuts.flatten().to_numpy() - 1]
-
-
-def _numbers(size: int) -> list[str]:
-    return [f"{i}{mark}" for mark in ",|;" for i in range(size)]
-
-
-def group_text(a_ids: np.ndarray, b_ids: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray) -> str:
-    """Groups as ``a1,a2|b1;a3|b2,b3``."""
-    if not len(a_ids):
-        return ""
-    per_a, per_b = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
-    at_a = np.arange(len(a_ids)) + np.repeat(b_cut - per_b, per_a)
-    at_b = np.arange(len(b_ids)) + np.repeat(a_cut, per_b)
-    size = 1 << int(max(a_ids.max(), b_ids.max())).bit_length()
-    code = np.empty(len(a_ids) + len(b_ids), np.int64)
-    code[at_a], code[at_b] = a_ids, b_ids
-    code[at_a[a_cut - 1]] += size
-    code[at_b[b_cut - 1]] += 2 * size
-    numbers = per_worker(("numbers", size), lambda: _numbers(size))
-    return "".join(map(numbers.__getitem__, code.tolist()))[:-1]
-
-
-def _parts(column: pa.ListArray) -> list[np.ndarray]:
-    return np.split(column.flatten().to_numpy(), (column.offsets.to_numpy() - column.offsets[0].as_py())[1:-1])
-
-
-@F.arrow_udf(StringType())
-def group_texts(a_ids: pa.Array, b_ids: pa.Array, a_cut: pa.Array, b_cut: pa.Array) -> pa.Array:
-    rows = zip(*map(_parts, (a_ids, b_ids, a_cut, b_cut)), strict=True)
-    return pa.array([group_text(*row) for row in rows], pa.string())
+    return df.mapInArrow(both, StructType([*df.schema.fields, *[StructField(c, kind) for c, kind in added]]))
 
 
 def pair_counts(linked: DataFrame) -> DataFrame:
@@ -246,15 +251,9 @@ def _by_document(spark: SparkSession, docs: DataFrame, path_a: str, path_b: str)
     digest = F.unhex(F.sha2("text", 256)).alias("digest")
     some = docs.where("text IS NOT NULL AND text <> ''")
     classes = some.groupBy("text").agg(F.count("*").alias("copies"))
-    parts = ["a_ids", "b_ids", "a_cut", "b_cut"]
     aligned = align(spark, classes, path_a, path_b)
-    linked = aligned.select(
-        digest,
-        "copies",
-        *[F.size(c).cast("bigint").alias(n) for c, n in (("a_ids", "n_a"), ("b_ids", "n_b"), ("a_cut", "n_groups"))],
-        F.when(F.size("a_ids") > 0, F.sha2(group_texts(*parts), 256)).otherwise("").alias("groups_sha256"),
-        links(*parts).alias("links"),
-    )
+    found = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    linked = aligned.select(digest, "copies", "n_a", "n_b", "n_groups", "links", found)
     linked = pin(linked, "linked")
     per_text = _measured(linked, pin(pair_counts(linked), "counts"))
     # The documents' side is narrow; a text with very many copies is one row on the other.

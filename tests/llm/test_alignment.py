@@ -4,10 +4,13 @@ import base64
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from stratalake.llm import alignment, queries
@@ -15,6 +18,8 @@ from stratalake.llm import alignment, queries
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 ONE = Tokenizer.from_file(A)
 ONE.encode_special_tokens = True
+with open(A, "rb") as one, open(B, "rb") as other:
+    ALIGNER = alignment.Aligner(one.read(), other.read())
 OTHER = sentencepiece.SentencePieceProcessor(model_file=B)
 TEXTS = [
     None,
@@ -102,6 +107,16 @@ def documents(spark, rows):
     return spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, digest string").repartition(3)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t'.,ab▁é1\u200b\u3000\x1c"), st.characters(exclude_categories=["Cs"])), max_size=40))
+def test_pieces_give_what_whole_texts_give(text):
+    a, b, ends_a, ends_b = tokens(text)
+    ((n_a, n_b, n_groups, links, _),) = ALIGNER.align([text])
+    place = dict(zip(ends_b, b, strict=True))
+    pairs = [(i << 32) | place[e] for e, i in zip(ends_a, a, strict=True) if e in place]
+    assert (n_a, n_b, n_groups, links) == (len(a), len(b), len(pairs), np.array(pairs, np.int64).tobytes())
+
+
 @pytest.mark.parametrize("frequent", [alignment.FREQUENT, 20, 0])
 def test_any_text(spark, frequent, monkeypatch):
     """With all, some and none of the pairs in the table that is sent to the workers."""
