@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,7 @@ from stratalake.session import fresh_path, pin, scratch
 
 FREQUENT = 1 << 18
 AT_ONCE = 64  # texts aligned together
+TOGETHER = 1024  # pieces encoded as one text
 KNOWN = 1 << 17  # pieces of text a worker remembers, twice
 _BITS = 32  # a pair is one number: the id of A, then that of B in so many bits
 
@@ -70,6 +72,9 @@ class Aligner:
         if any(b" " in entry[1:].lstrip(b" ") for entry in self.bytes_b):
             raise ValueError("an entry of the second tokenizer has a space behind another character")
         self.sizes_a, self.sizes_b = (np.array(list(map(len, t)), np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.size = max(len(self.bytes_a), len(self.bytes_b))
+        # An id and what follows it: more of its side, the other side, another group, another piece.
+        self.numbers = [f"{i}{mark}" for mark in ",|;\n" for i in range(self.size)]
         self.known: dict[str, Piece] = {}
         self.old: dict[str, Piece] = {}
 
@@ -80,45 +85,73 @@ class Aligner:
     def align(self, texts: list[str]) -> list[tuple[int, int, int, bytes, str]]:
         """Per text: numbers of tokens of A and B and of groups, packed links, groups."""
         cut = [pieces(t) if t else [] for t in texts]
-        here = self._aligned({p for parts in cut for p in parts})
+        new = self._learn(set(itertools.chain.from_iterable(cut)))
         done = []
         for parts in cut:
-            found = [here[p] for p in parts]
-            if not parts or any([f[0] == 0 for f in found]):
+            found = list(map(self.known.__getitem__, parts))
+            n_a, n_b, n_groups, links, groups = zip(*found, strict=True) if found else [(0,)] * 5
+            if 0 in n_a:  # no text, or one that a tokenizer does not give back
                 done.append((0, 0, 0, b"", ""))
-                continue
-            n_a, n_b, n_groups, links, groups = zip(*found, strict=True)
-            done.append((sum(n_a), sum(n_b), sum(n_groups), b"".join(links), ";".join(groups)))
+            else:
+                done.append((sum(n_a), sum(n_b), sum(n_groups), b"".join(links), ";".join(groups)))
+        for piece in new:
+            if len(piece) > 64:
+                del self.known[piece]
         return done
 
-    def _aligned(self, wanted: set[str]) -> dict[str, Piece]:
-        """Every wanted piece; the known ones of two generations are not encoded again."""
-        here = {p: known for p in wanted if (known := self.known.get(p) or self.old.get(p)) is not None}
-        new = sorted(wanted.difference(here))
-        for start in range(0, len(new), AT_ONCE):
-            some = new[start : start + AT_ONCE]
-            ours = self.a.encode_batch_fast([f" {p}" for p in some], add_special_tokens=False)
-            theirs = self.b.encode(some, num_threads=1)
-            for piece, one, other in zip(some, ours, theirs, strict=True):
-                here[piece] = self._one(piece, one.ids, other)
+    def _learn(self, wanted: set[str]) -> list[str]:
+        """Make every wanted piece known, and return those that were not; the known ones have two generations."""
         if len(self.known) >= KNOWN:
             self.known, self.old = {}, self.known
-        self.known.update((p, here[p]) for p in wanted if len(p) <= 64)
-        return here
-
-    def _one(self, piece: str, a: list[int], b: list[int]) -> Piece:
-        whole = b" " + piece.encode()
-        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
-            return _NOTHING
-        ends_a, ends_b = (list(itertools.accumulate(map(len, map(t.__getitem__, ids)))) for t, ids in ((self.bytes_a, a), (self.bytes_b, b)))
-        at_b = {end: k for k, end in enumerate(ends_b)}
-        met = [(k, at_b[end]) for k, end in enumerate(ends_a) if end in at_b]
-        links = np.array([(a[k] << _BITS) | b[m] for k, m in met], np.int64).tobytes()
-        groups, x, y = [], 0, 0
-        for k, m in met:
-            groups.append(f"{','.join(map(str, a[x : k + 1]))}|{','.join(map(str, b[y : m + 1]))}")
-            x, y = k + 1, m + 1
-        return len(a), len(b), len(met), links, ";".join(groups)
+        missing = wanted.difference(self.known)
+        again = missing.intersection(self.old)
+        self.known.update((p, self.old[p]) for p in again)
+        new = sorted(missing - again)
+        # Pieces with plain ends can stand side by side in one text without changing each other.
+        odd = [p for p in new if not _plain(p)]
+        plain = sorted(set(new).difference(odd)) if odd else new
+        runs = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        for run in [*runs, *[[p] for p in odd]]:
+            self.known.update(zip(run, self._run(run), strict=True))
+        return new
+
+    def _run(self, parts: list[str]) -> list[Piece]:
+        """Pieces that were encoded as one text, parted again at their ends."""
+        text = " ".join(parts)
+        whole = b" " + text.encode()
+        a = self.a.encode_batch_fast([f" {text}"], add_special_tokens=False)[0].ids
+        b = self.b.encode(text, num_threads=1)
+        right = b"".join(map(self.bytes_a.__getitem__, a)) == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole
+        if not right and len(parts) == 1:
+            return [_NOTHING]
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a, ends_b = self.sizes_a[a].cumsum(), self.sizes_b[b].cumsum()
+        bounds = np.cumsum([1 + len(p.encode()) for p in parts])
+        if not right or not (np.isin(bounds, ends_a).all() and np.isin(bounds, ends_b).all()):
+            half = len(parts) // 2
+            return self._run(parts[:half]) + self._run(parts[half:])
+        place = np.searchsorted(ends_b, ends_a)  # both end with the text, so there is always one
+        met = ends_b[place] == ends_a
+        cut_a, cut_b = np.flatnonzero(met) + 1, place[met] + 1
+        links = ((a[cut_a - 1] << _BITS) | b[cut_b - 1]).tobytes()
+        n_a, n_b, n_groups = (np.searchsorted(ends, bounds) + 1 for ends in (ends_a, ends_b, ends_a[cut_a - 1]))
+        groups = self._groups(a, b, cut_a, cut_b, n_groups)
+        counts = [np.diff(n, prepend=0).tolist() for n in (n_a, n_b, n_groups)]
+        borders = itertools.pairwise([0, *(8 * n_groups).tolist()])
+        return [(x, y, z, links[i:j], g) for x, y, z, (i, j), g in zip(*counts, borders, groups, strict=True)]
+
+    def _groups(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Groups as ``a1,a2|b1;a3|b2,b3``, one text per piece; ``ends`` counts the groups up to each."""
+        per_a, per_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
+        at_a = np.arange(len(a)) + np.repeat(cut_b - per_b, per_a)
+        at_b = np.arange(len(b)) + np.repeat(cut_a, per_b)
+        code = np.empty(len(a) + len(b), np.int64)
+        code[at_a], code[at_b] = a, b
+        code[at_a[cut_a - 1]] += self.size
+        last = at_b[cut_b - 1]
+        code[last] += 2 * self.size
+        code[last[ends - 1]] += self.size
+        return "".join(map(self.numbers.__getitem__, code.tolist()))[:-1].split("\n")
 
 
 # Numbers of tokens of A and B and of groups, packed links, groups as text.
@@ -127,12 +160,19 @@ _NOTHING = (0, 0, 0, b"", "")
 _BYTE_OF = {c: b for b, c in enumerate(BYTE_CHARS)}
 # No white space by Unicode, but by some tables of other libraries; no cut is made beside them.
 _DOUBTFUL = frozenset("\u180e\u200b\u2060\ufeff▁")
+# A space without plain characters on both sides, or at an end of the text.
+_BESIDE = f"\\s{''.join(sorted(_DOUBTFUL))}"
+_ODD = re.compile(f" [{_BESIDE}]|[{_BESIDE}] |^[{_BESIDE}]|[{_BESIDE}]\\Z")
+
+
+def _plain(part: str) -> bool:
+    return bool(part) and not (part[0].isspace() or part[-1].isspace() or part[0] in _DOUBTFUL or part[-1] in _DOUBTFUL)
 
 
 def pieces(text: str) -> list[str]:
     """``text`` cut before the spaces between two characters that are no white space, without those spaces."""
     parts = text.split(" ")
-    if all([p and not (p[0].isspace() or p[-1].isspace() or p[0] in _DOUBTFUL or p[-1] in _DOUBTFUL) for p in parts]):
+    if _ODD.search(text) is None:
         return parts
     made = [[parts[0]]]
     for before, part in itertools.pairwise(parts):
