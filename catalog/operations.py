@@ -49,6 +49,18 @@ def kpi_sliding(spark, sf):
     return kpi.sliding_activity(b.events(spark, sf))
 
 
+SQL_SESSIONS = """SELECT customer_id, min(ts) AS session_start, max(ts) AS session_end, date_diff('microsecond', min(ts), max(ts)) / 6e7 AS duration_minutes, count(*) AS events,
+         coalesce(sum(amount) FILTER (event_type = 'payment_processed'), 0)::DOUBLE AS revenue, count(*) FILTER (event_type = 'rental_start') AS rentals, min(store_id) AS first_store_id
+       FROM (SELECT *, count(*) FILTER (fresh) OVER (PARTITION BY customer_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS island
+             FROM (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY customer_id ORDER BY ts) + INTERVAL 30 MINUTE, TRUE) AS fresh FROM biz_events))
+       GROUP BY customer_id, island"""
+
+
+@query("session_activity", SQL_SESSIONS)
+def session_activity(spark, sf):
+    return kpi.session_activity(b.events(spark, sf))
+
+
 @query(
     "running_revenue",
     """SELECT kpi_timestamp, store_id, revenue_per_minute::DOUBLE AS revenue_per_minute, (sum(kpi_hour.revenue_per_minute) OVER (PARTITION BY store_id, kpi_timestamp::DATE ORDER BY kpi_timestamp ROWS UNBOUNDED PRECEDING))::DOUBLE AS revenue_today FROM kpi_hour""",

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import binding as b
+from catalog.operations import SQL_SESSIONS
 from catalog.registry import query
 from stratalake.operators.kpi import business_events
 from stratalake.session import fresh_path
-from stratalake.sources.sinks import Snapshots
-from stratalake.streaming import changes, kpis, stateful
+from stratalake.plans import versions
+from stratalake.sources.keyed import KeyedTable
+from stratalake.streaming import changes, kpis, late, stateful
 from stratalake.streaming import events as ev
 
 
@@ -22,6 +24,22 @@ def _events(spark, sf):
     return business_events(b.raw_events(_raw(spark, sf)), b.EVENT_TYPES, "events")
 
 
+# Batches that the streams with state get the events in.
+_PARTS = 3
+
+
+def _replayed(spark, sf, order="ts"):
+    """The raw events in ``_PARTS`` slices of ``order`` and a heartbeat, a file set after the other."""
+    folder = fresh_path(spark, "replay")
+    raw = spark.read.parquet(f"{sf}/events.parquet")
+    ev.replay(raw, "ts", "event_type", _PARTS, folder)
+    return ev.read_files(spark, folder, raw.schema, "*.parquet", per_batch=8)
+
+
+def _replayed_events(spark, sf):
+    return business_events(b.raw_events(_replayed(spark, sf)), b.EVENT_TYPES, "events")
+
+
 def _finish(spark, stream, partition_by=None):
     path = fresh_path(spark, "stream")
     ev.write_events(stream, path, fresh_path(spark, "offsets"), partition_by).awaitTermination()
@@ -52,19 +70,79 @@ def stream_enrich(spark, sf):
     return _finish(spark, ev.enrich(events, places, "store_id"))
 
 
+@query("stream_kpi", "SELECT * REPLACE (revenue_per_minute::DOUBLE AS revenue_per_minute) FROM kpi_hour")
+def stream_kpi(spark, sf):
+    """Every slot, open ones too: changed slots replace their row after each batch."""
+    table = KeyedTable(spark, fresh_path(spark, "kpis"), ["kpi_timestamp", "store_id"], buckets=8)
+    slots = kpis.minute_kpis(_replayed_events(spark, sf), "1 hour", exact_customers=True)
+    changes.upsert_rows(slots, table, fresh_path(spark, "offsets")).awaitTermination()
+    return table.current()
+
+
 @query(
-    "stream_kpi",
-    """SELECT kpi_timestamp, store_id, rentals_per_minute, revenue_per_minute::DOUBLE AS revenue_per_minute, error_rate_percent, event_count FROM kpi_hour
-       WHERE kpi_timestamp + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+    "stream_sliding",
+    """SELECT w AS window_start, w + INTERVAL 5 MINUTE AS window_end, store_id, count(*) AS events, coalesce(sum(amount) FILTER (event_type = 'payment_processed'), 0)::DOUBLE AS revenue
+       FROM (SELECT *, unnest([date_trunc('minute', ts) - to_minutes(k) FOR k IN range(5)]) AS w FROM biz_events) GROUP BY ALL""",
 )
-def stream_kpi(spark, sf):
-    """Closed windows only, as the SQL has them; ``kpis.with_open_slots`` adds the others."""
-    closed = _finish(spark, kpis.minute_kpis(_events(spark, sf), "1 hour", "10 minutes"))
-    return closed.select("kpi_timestamp", "store_id", "rentals_per_minute", "revenue_per_minute", "error_rate_percent", "event_count")
+def stream_sliding(spark, sf):
+    return _finish(spark, kpis.sliding_activity(_replayed_events(spark, sf)))
+
+
+@query("stream_sessions", SQL_SESSIONS)
+def stream_sessions(spark, sf):
+    return _finish(spark, kpis.session_activity(_replayed_events(spark, sf)))
+
+
+@query(
+    "stream_baseline",
+    "SELECT captured_at, store_id, metric_name, metric_value::DOUBLE AS metric_value, baseline_value, deviation_percent, change_percent, is_anomaly FROM series_flagged",
+)
+def stream_baseline(spark, sf):
+    return _finish(spark, stateful.running_baseline(kpis.metric_series(_replayed_events(spark, sf))))
+
+
+@query(
+    "stream_missing_data",
+    """SELECT r.rule_id, s.store_id, t.slot AS alert_timestamp, s.metric_name FROM (SELECT DISTINCT store_id, metric_name FROM series) s JOIN rules r ON s.metric_name = r.target_metric
+       JOIN (SELECT unnest(generate_series(min(captured_at), max(captured_at), INTERVAL 1 HOUR)) AS slot FROM series) t ON TRUE
+       WHERE r.condition_type = 'missing_data' AND NOT EXISTS (SELECT 1 FROM series x WHERE x.store_id = s.store_id AND x.metric_name = s.metric_name AND x.captured_at = t.slot)""",
+)
+def stream_missing_data(spark, sf):
+    """The heartbeat goes on for two days; slots behind the last event are silent for all and left out."""
+    hour = F.date_trunc("hour", "ts").cast("timestamp")
+    first, last = b.events(spark, sf).agg(F.min(hour), F.max(hour)).first()
+    silent = stateful.missing_data(kpis.metric_series(_replayed_events(spark, sf)), b.rules(spark), F.lit(first), 60)
+    return _finish(spark, silent).where(F.col("alert_timestamp") <= F.lit(last))
+
+
+@query("stream_late_repair", "SELECT * REPLACE (revenue_per_minute::DOUBLE AS revenue_per_minute) FROM kpi_hour")
+def stream_late_repair(spark, sf):
+    """Every 40th event lands days late: the stream drops it, the repair counts its slot anew."""
+    raw = spark.read.parquet(f"{sf}/events.parquet")
+    folder, is_late = fresh_path(spark, "landed"), F.col("event_id") % 40 == 0
+    ev.replay(raw.where(~is_late), "ts", "event_type", _PARTS, folder)
+    raw.where(is_late).write.mode("append").parquet(folder)
+
+    def landed():
+        return business_events(b.raw_events(ev.read_files(spark, folder, raw.schema, "*.parquet", per_batch=8)), b.EVENT_TYPES, "events")
+
+    slots = kpis.minute_kpis(landed(), "1 hour", exact_customers=True)
+    closed = _finish(spark, slots)
+    table = KeyedTable(spark, fresh_path(spark, "kpis"), ["kpi_timestamp", "store_id"], buckets=8)
+    table.upsert(closed)
+    aside = fresh_path(spark, "aside")
+    late.put_aside(landed(), aside, fresh_path(spark, "offsets"), "1 hour").awaitTermination()
+    whole = business_events(b.raw_events(spark.read.parquet(folder)), b.EVENT_TYPES, "events")
+    late.repair(spark, aside, whole.where(F.col("event_type") != ev.HEARTBEAT), table, "1 hour")
+    return table.current()
 
 
 def _entries(spark, sf):
-    return _raw(spark, sf).selectExpr(
+    return _entries_of(_raw(spark, sf))
+
+
+def _entries_of(raw):
+    return raw.selectExpr(
         "event_id AS lsn",
         "CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op",
         "ts AS load_ts",
@@ -75,11 +153,14 @@ def _entries(spark, sf):
 
 @query("stream_scd2", "SELECT user_id, amount::DOUBLE AS amount, sys_start, sys_end FROM hist")
 def stream_scd2(spark, sf):
-    snapshots = Snapshots(spark, fresh_path(spark, "versions"))
-    changes.maintain_history(
-        _entries(spark, sf), snapshots, "user_id", "lsn", "load_ts", ["amount"], fresh_path(spark, "offsets")
-    ).awaitTermination()
-    return snapshots.read()
+    """The log in several batches of log order; each rewrites the buckets of its keys only."""
+    raw = spark.read.parquet(f"{sf}/events.parquet")
+    folder = fresh_path(spark, "log")
+    ev.replay_by(raw, "event_id", _PARTS, folder)
+    log = _entries_of(ev.read_files(spark, folder, raw.schema, "*.parquet", per_batch=1))
+    table = KeyedTable(spark, fresh_path(spark, "versions"), ["user_id"], buckets=8)
+    changes.maintain_history(log, table, "user_id", "lsn", "load_ts", ["amount"], fresh_path(spark, "offsets")).awaitTermination()
+    return versions.history(table)
 
 
 @query("stream_cdc_append", "SELECT lsn, op, load_ts, user_id, amount::DOUBLE AS amount FROM change_log")
@@ -91,16 +172,17 @@ def stream_cdc_append(spark, sf):
 
 @query(
     "stream_alert_suppressed",
-    """WITH RECURSIVE slots AS (SELECT DISTINCT severity AS rule_id, store_id, date_trunc('minute', ts) AS alert_timestamp FROM biz_events WHERE event_type = 'error'),
-         chain AS (SELECT rule_id, store_id, min(alert_timestamp) AS alert_timestamp FROM slots GROUP BY ALL
-         UNION ALL SELECT c.rule_id, c.store_id, min(s.alert_timestamp) FROM chain c
-           JOIN slots s ON s.rule_id = c.rule_id AND s.store_id = c.store_id AND s.alert_timestamp >= c.alert_timestamp + INTERVAL 360 MINUTE
-           GROUP BY c.rule_id, c.store_id, c.alert_timestamp)
+    """WITH RECURSIVE raised AS (SELECT DISTINCT r.rule_id, e.store_id, e.ts AS alert_timestamp, r.suppress_duplicate_minutes AS wait
+           FROM biz_events e JOIN rules r ON r.rule_id = e.event_id % 10 WHERE e.event_type = 'error'),
+         chain AS (SELECT rule_id, store_id, wait, min(alert_timestamp) AS alert_timestamp FROM raised GROUP BY ALL
+         UNION ALL SELECT c.rule_id, c.store_id, c.wait, min(s.alert_timestamp) FROM chain c
+           JOIN raised s ON s.rule_id = c.rule_id AND s.store_id = c.store_id AND s.alert_timestamp >= c.alert_timestamp + to_minutes(c.wait::BIGINT)
+           GROUP BY c.rule_id, c.store_id, c.wait, c.alert_timestamp)
        SELECT rule_id, store_id, alert_timestamp FROM chain""",
 )
 def stream_alert_suppressed(spark, sf):
-    errors = _events(spark, sf).where("event_type = 'error'")
-    # The operator keeps true instants; the SQL of this query is defined on minutes.
-    minute = F.date_trunc("minute", "ts").alias("alert_timestamp")
-    raised = errors.select(F.col("severity").alias("rule_id"), "store_id", minute)
-    return _finish(spark, stateful.suppress_repeats(raised, 360))
+    """By true instants and with the wait of each rule; alerts of no rule go."""
+    timed = _replayed_events(spark, sf).withWatermark("ts", "10 minutes")
+    errors = ev.behind_watermark(timed, "ts", F.col("event_type") == "error")
+    raised = errors.select((F.col("event_id") % 10).cast("int").alias("rule_id"), "store_id", F.col("ts").alias("alert_timestamp"))
+    return _finish(spark, stateful.suppress_repeats(raised, b.rules(spark)))

@@ -104,6 +104,31 @@ def sliding_activity(events: DataFrame, width: str = "5 minutes", step: str = "1
     ).select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "store_id", "events", "revenue")
 
 
+def sessions(events: DataFrame, gap: str) -> DataFrame:
+    """Aggregates per customer and session window; sessions that touch are merged from partial ones."""
+    is_payment = F.col("event_type") == "payment_processed"
+    grouped = events.groupBy(F.session_window("ts", gap).alias("_w"), "customer_id")
+    rows = grouped.agg(
+        F.max("ts").alias("session_end"),
+        F.count(F.lit(1)).alias("events"),
+        F.coalesce(F.sum(F.when(is_payment, F.col("amount"))), F.lit(0)).cast("decimal(18,2)").alias("revenue"),
+        F.count_if(F.col("event_type") == "rental_start").alias("rentals"),
+        F.min("store_id").alias("first_store_id"),
+    )
+    started = F.col("_w.start").alias("session_start")
+    spent = minutes(F.col("_w.start"), F.col("session_end")).alias("duration_minutes")
+    return rows.select("customer_id", started, "session_end", spent, "events", "revenue", "rentals", "first_store_id")
+
+
+def session_activity(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Sessions per customer: events that follow each other within ``gap``.
+
+    A customer's events are combined to partial sessions before the shuffle, so that a busy
+    customer sends few rows. Events without a customer are one visitor's.
+    """
+    return sessions(events, gap)
+
+
 def running_revenue(kpis: DataFrame) -> DataFrame:
     """Revenue of the day so far, per store and slot."""
     day = Window.partitionBy("store_id", F.to_date("kpi_timestamp")).orderBy("kpi_timestamp")

@@ -16,6 +16,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when the split costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # State of streams stays off the heap; timers and list or map state need this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # A retried batch replaces its own partition only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

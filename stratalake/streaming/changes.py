@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratalake.operators.temporal import apply_log
-from stratalake.sources.sinks import Snapshots, write_append
+from stratalake.plans.versions import extend_history
+from stratalake.sources.keyed import KeyedTable
+from stratalake.sources.sinks import write_append
 
 
 def _start(stream: DataFrame, handler, checkpoint: str, once: bool) -> StreamingQuery:
@@ -28,9 +28,21 @@ def append_changes(stream: DataFrame, path: str, checkpoint: str, once: bool = T
     return _start(stream, handle, checkpoint, once)
 
 
+def upsert_rows(stream: DataFrame, table: KeyedTable, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Keep the latest row per key of an aggregation in update mode; batch n gives version n + 1."""
+
+    def handle(batch: DataFrame, number: int) -> None:
+        rows = batch.persist()
+        table.upsert(rows, number + 1)
+        rows.unpersist()
+
+    writer = stream.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def maintain_history(
     stream: DataFrame,
-    snapshots: Snapshots,
+    table: KeyedTable,
     key: str,
     order: str,
     at: str,
@@ -38,22 +50,18 @@ def maintain_history(
     checkpoint: str,
     once: bool = True,
 ) -> StreamingQuery:
-    """Keep a type-2 history up to date; batch n turns version n into version n + 1.
+    """Keep a type-2 history up to date; batch n turns version n of ``table`` into version n + 1.
 
-    Entries must arrive in log order across batches. Repeating a batch reads the same
-    version again and rewrites the same next one.
+    The table holds one current row per key, with the last log number applied, and the closed
+    versions beside them. A batch reads and rewrites the buckets of its keys only. An entry that
+    is not newer than what its key has seen stops the stream before anything is written.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         log = batch.select(key, order, "op", at, *columns)
-        if number == 0:
-            stamp = F.col(at).alias("sys_start"), F.col(at).alias("sys_end")
-            hist = log.where(F.lit(False)).select(key, *columns, *stamp)
-        else:
-            hist = snapshots.read(number)
         # Several passes over the batch should not read the source again.
         log = log.persist()
-        snapshots.write(apply_log(hist, log, key, order, at, columns), number + 1)
+        extend_history(table, log, key, order, at, columns, number + 1)
         log.unpersist()
 
     return _start(stream, handle, checkpoint, once)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -27,6 +27,51 @@ def read_broker(spark: SparkSession, servers: str, topic: str, schema: StructTyp
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("_e")).select("_e.*")
 
 
+# Kind of the rows that carry nothing but a time, which moves the watermark of a quiet stream.
+HEARTBEAT = "heartbeat"
+
+
+def _slices(events: DataFrame, order: Column, parts: int, folder: str) -> int | None:
+    """Write slices of equal span of ``order`` one after the other; the last value."""
+    first, last = events.agg(F.min(order), F.max(order)).first()
+    if first is None:
+        events.write.mode("append").parquet(folder)
+        return None
+    span = -(-(last - first + 1) // parts)
+    for n in range(parts):
+        events.where((order >= first + n * span) & (order < first + (n + 1) * span)).write.mode("append").parquet(folder)
+    return last
+
+
+def replay_by(rows: DataFrame, order: str, parts: int, folder: str) -> None:
+    """Land a finished log in ``parts`` writes in the order of a whole number, one file each."""
+    _slices(rows.coalesce(1), F.col(order), parts, folder)
+
+
+def replay(events: DataFrame, event_time: str, kind: str, parts: int, folder: str, idle: str = "2 days") -> None:
+    """Land a finished table in ``parts`` writes in time order, for a stream that reads it bit by bit.
+
+    The slices have equal spans of time. The last write is a heartbeat ``idle`` behind the last
+    event, with which the watermark passes all events.
+    """
+    at = F.unix_micros(F.col(event_time).cast("timestamp"))
+    last = _slices(events, at, parts, folder)
+    if last is None:
+        return
+    beat = F.timestamp_micros(F.lit(last)) + F.expr(f"INTERVAL {idle}")
+    # All other columns are those of some event, so that no join or test on them loses the beat early.
+    changed = {event_time: beat.cast(events.schema[event_time].dataType), kind: F.lit(HEARTBEAT)}
+    events.where(at == last).limit(1).withColumns(changed).coalesce(1).write.mode("append").parquet(folder)
+
+
+def behind_watermark(stream: DataFrame, event_time: str, test: Column) -> DataFrame:
+    """Rows that pass ``test``, while all rows, heartbeats too, move the watermark.
+
+    A plain filter would be pushed before the watermark; one that names the event time is not.
+    """
+    return stream.where(test | F.col(event_time).isNull())
+
+
 def drop_repeats(stream: DataFrame, ids: list[str], event_time: str, delay: str = "10 minutes") -> DataFrame:
     """Keep the first event per id; a repeat later than ``delay`` is no longer recognised."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(ids)

@@ -1,97 +1,216 @@
-"""Per-key state that window functions cannot express on a stream."""
+"""Per-key state on streams, in event-time order: baselines, silent slots, repeated alerts.
+
+Rows come in any order inside and across micro-batches. Each processor puts them into map state
+under their time and sets a timer; the timers of a key fire in order once the watermark has
+passed them, and only then is a row judged. So nothing is sorted in memory, results are those of
+the batch twins whatever the batches were, and rows behind the watermark count for nothing.
+
+State lives in RocksDB (see ``session.configure``). Timers count milliseconds; instants are kept
+in microseconds, those of one millisecond together.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
-def suppress_repeats(alerts: DataFrame, quiet: int | DataFrame) -> DataFrame:
-    """Pass an alert of a rule and store only when the last one passed is old enough.
+_READING = Row(
+    "metric_name", "store_id", "_at", "metric_value", "baseline_value", "deviation_percent", "change_percent", "is_anomaly"
+)
+_SILENT = Row("rule_id", "store_id", "metric_name", "_at")
+_PASSED = Row("rule_id", "store_id", "_at")
+
+
+def _micros(at: dt.datetime | str | Column) -> Column:
+    return F.unix_micros((at if isinstance(at, Column) else F.lit(at)).cast("timestamp"))
+
+
+def _due(micros: int) -> int:
+    """The millisecond whose timer judges an instant."""
+    return -(-micros // 1000)
 
-    Alerts carry ``rule_id``, ``store_id`` and ``alert_timestamp``. ``quiet`` is the wait of all
-    rules in minutes, or a static table of ``rule_id, suppress_duplicate_minutes``; as in batch,
-    alerts of other rules go and a wait of 0 or NULL passes all. Waits are kept by true instants.
-    State is one instant per rule and store. An alert older than the last one passed counts as
-    its repeat.
-    """
-    names = ["rule_id", "store_id", "alert_timestamp"]
-    raised = alerts.select(*names, F.unix_micros(F.col("alert_timestamp").cast("timestamp")).alias("_at"))
-    if isinstance(quiet, DataFrame):
-        wait = F.coalesce(F.col("suppress_duplicate_minutes").cast("bigint") * F.lit(60_000_000), F.lit(0))
-        raised = raised.join(quiet.select("rule_id", wait.alias("_quiet")), "rule_id")
-    else:
-        raised = raised.withColumn("_quiet", F.lit(quiet * 60_000_000).cast("bigint"))
 
-    def keep(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def passing(at: np.ndarray) -> pd.DataFrame:
-            return pd.DataFrame({"rule_id": key[0], "store_id": key[1], "_at": at})
-
-        # Alerts come in no order, and only their instants are kept until the trigger's end.
-        times, wait = [], 0
-        for rows in batches:
-            wait = int(rows["_quiet"].iloc[0]) if len(rows) else wait
-            if wait > 0:
-                times.append(rows["_at"].dropna().to_numpy(np.int64))
-            elif len(rows):
-                yield passing(rows["_at"].to_numpy())
-        if not times:
+class _Baseline(StatefulProcessor):
+    """``held`` are the last readings, ``waiting`` those the watermark has not passed."""
+
+    def __init__(self, history: int, anomaly_percent: float, value_type: str):
+        self.history, self.limit, self.value_type = history, anomaly_percent, value_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", f"v {self.value_type}")
+        self.waiting = handle.getMapState("waiting", "due bigint", f"r array<struct<at: bigint, v: {self.value_type}>>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for row in rows:
+            due = _due(row["_at"])
+            before = list(self.waiting.getValue((due,))[0]) if self.waiting.containsKey((due,)) else []
+            self.waiting.updateValue((due,), ([*before, (row["_at"], row["metric_value"])],))
+            self.handle.registerTimer(due)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        if not self.waiting.containsKey((due,)):
             return
-        at = np.unique(np.concatenate(times))
-        here = int(np.searchsorted(at, state.get[0] + wait)) if state.exists else 0
-        kept = []
-        while here < len(at):
-            kept.append(at[here])
-            here = int(np.searchsorted(at, at[here] + wait))
-        if kept:
-            state.update((int(kept[-1]),))
-            yield passing(np.array(kept))
+        readings = sorted(self.waiting.getValue((due,))[0], key=lambda r: r[0])
+        self.waiting.removeKey((due,))
+        held = [r[0] for r in self.held.get()]
+        for at, value in readings:
+            known = [float(v) for v in (value, held[-1] if held else None) if v is not None]
+            counted = [v for v in held if v is not None]
+            base = float(sum(counted)) / len(counted) if counted else None
+            previous = known[1] if len(known) == 2 else None
+            now = None if value is None else float(value)
+            moved = [None if not x or now is None else (now - x) / x * 100 for x in (base, previous)]
+            flag = moved[0] is not None and abs(moved[0]) > self.limit
+            yield _READING(*key, at, value, base, *moved, flag)
+            held = [*held, value][-self.history :]
+        self.held.put([(v,) for v in held])
 
-    kinds = dict(alerts.dtypes)
-    schema = f"rule_id {kinds['rule_id']}, store_id {kinds['store_id']}, _at bigint"
-    passed = raised.groupBy("rule_id", "store_id").applyInPandasWithState(
-        keep, schema, "last_passed bigint", "append", GroupStateTimeout.NoTimeout
-    )
-    instant = F.timestamp_micros("_at").cast(kinds["alert_timestamp"])
-    return passed.select("rule_id", "store_id", instant.alias("alert_timestamp"))
+    def close(self) -> None:
+        pass
 
 
 def running_baseline(series: DataFrame, history: int = 24, anomaly_percent: float = 100.0) -> DataFrame:
     """Trailing mean of the last ``history`` readings, deviation, change and anomaly flag per series.
 
-    Readings carry ``metric_name``, ``store_id``, ``captured_at`` and a double
-    ``metric_value``, one per slot. State holds the last ``history`` values of a series. The
-    result fits ``alerts.evaluate``, which then raises alerts on the stream.
+    Readings carry ``metric_name``, ``store_id``, ``captured_at`` and ``metric_value``, one per
+    slot, on a stream with a watermark. The result fits ``alerts.evaluate``, which then raises
+    alerts on the stream.
     """
-
-    def flag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = list(state.get[0]) if state.exists else []
-        rows = pd.concat(list(batches)).sort_values("captured_at")
-        means, before = [], []
-        for value in rows["metric_value"]:
-            means.append(sum(held) / len(held) if held else float("nan"))
-            before.append(held[-1] if held else float("nan"))
-            held = [*held, float(value)][-history:]
-        state.update((held,))
-        rows = rows[["metric_name", "store_id", "captured_at", "metric_value"]].assign(baseline_value=means)
-        for name, base in (("deviation_percent", rows["baseline_value"]), ("change_percent", pd.Series(before, rows.index))):
-            base = base.where(base != 0)
-            rows[name] = (rows["metric_value"] - base) / base * 100
-        rows["is_anomaly"] = rows["deviation_percent"].abs() > anomaly_percent
-        yield rows
-
+    kinds = dict(series.dtypes)
     schema = (
-        "metric_name string, store_id {}, captured_at timestamp, metric_value double, "
+        f"metric_name {kinds['metric_name']}, store_id {kinds['store_id']}, _at bigint, metric_value {kinds['metric_value']}, "
         "baseline_value double, deviation_percent double, change_percent double, is_anomaly boolean"
-    ).format(dict(series.dtypes)["store_id"])
-    flagged = series.groupBy("metric_name", "store_id").applyInPandasWithState(
-        flag, schema, "held array<double>", "append", GroupStateTimeout.NoTimeout
     )
-    # Pandas writes a missing number as NaN; on the stream it is NULL as in batch.
-    numbers = ("baseline_value", "deviation_percent", "change_percent")
-    return flagged.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})
+    rows = series.select("metric_name", "store_id", "metric_value", "captured_at", _micros(F.col("captured_at")).alias("_at"))
+    flagged = rows.groupBy("metric_name", "store_id").transformWithState(
+        _Baseline(history, anomaly_percent, kinds["metric_value"]), schema, "Append", "EventTime"
+    )
+    at = F.timestamp_micros("_at").cast(kinds["captured_at"]).alias("captured_at")
+    return flagged.select("metric_name", "store_id", at, *flagged.columns[3:])
+
+
+class _Silence(StatefulProcessor):
+    """``open`` is the next slot to judge, ``seen`` the slots from there on that reported."""
+
+    def __init__(self, step: int):
+        self.step = step  # microseconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "at bigint")
+        self.seen = handle.getMapState("seen", "at bigint", "yes boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for row in rows:
+            if not self.open.exists():
+                # A series is expected from the first slot of the period, before it was ever heard of.
+                self.open.update((row["_first"],))
+                self.handle.registerTimer(_due(row["_first"] + self.step))
+            if row["_at"] >= self.open.get()[0]:
+                self.seen.updateValue((row["_at"],), (True,))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # One timer per series: every slot that has ended is judged, then the next one is waited for.
+        ended = timerValues.getCurrentWatermarkInMs() * 1000
+        (slot,) = self.open.get()
+        while slot + self.step <= ended:
+            if self.seen.containsKey((slot,)):
+                self.seen.removeKey((slot,))
+            else:
+                yield _SILENT(*key, slot)
+            slot += self.step
+        self.open.update((slot,))
+        self.handle.registerTimer(_due(slot + self.step))
+
+    def close(self) -> None:
+        pass
+
+
+def missing_data(series: DataFrame, rules: DataFrame, first: Column, step_minutes: int) -> DataFrame:
+    """Slots in which a metric under a ``missing_data`` rule reported nothing, as soon as they have ended.
+
+    ``series`` is a stream of readings with a watermark and at most one reading per slot of
+    ``step_minutes``; slots count from ``first`` on. A series is known from its first reading on
+    and is then judged back to ``first``. State is one instant per series and its open slots.
+    """
+    wanted = rules.where("is_active").where("condition_type = 'missing_data'")
+    wanted = wanted.select("rule_id", F.col("target_metric").alias("metric_name"), "store_filter")
+    kinds = dict(series.dtypes)
+    rows = series.join(wanted, "metric_name").where("store_filter IS NULL OR store_filter = store_id")
+    rows = rows.select("rule_id", "store_id", "metric_name", "captured_at", _micros(F.col("captured_at")).alias("_at"), _micros(first).alias("_first"))
+    schema = f"rule_id {dict(rules.dtypes)['rule_id']}, store_id {kinds['store_id']}, metric_name string, _at bigint"
+    silent = rows.groupBy("rule_id", "store_id", "metric_name").transformWithState(
+        _Silence(step_minutes * 60_000_000), schema, "Append", "EventTime"
+    )
+    at = F.timestamp_micros("_at").cast(kinds["captured_at"]).alias("alert_timestamp")
+    return silent.select("rule_id", "store_id", at, "metric_name")
+
+
+class _Quiet(StatefulProcessor):
+    """``last`` is the last alert passed, ``waiting`` the alerts the watermark has not passed."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "at bigint, quiet bigint")
+        self.waiting = handle.getMapState("waiting", "due bigint", "at array<bigint>, quiet bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for row in rows:
+            at, quiet = row["_at"], row["_quiet"]
+            if quiet <= 0:
+                yield _PASSED(*key, at)  # nothing can suppress it
+            elif at is not None:
+                due = _due(at)
+                before = list(self.waiting.getValue((due,))[0]) if self.waiting.containsKey((due,)) else []
+                if at not in before:
+                    self.waiting.updateValue((due,), ([*before, at], quiet))
+                    self.handle.registerTimer(due)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        last = self.last.get() if self.last.exists() else None
+        if self.waiting.containsKey((due,)):
+            raised, quiet = self.waiting.getValue((due,))
+            self.waiting.removeKey((due,))
+            for at in sorted(raised):
+                if last is None or at - last[0] >= quiet:
+                    last = (at, quiet)
+                    yield _PASSED(*key, at)
+            self.last.update(tuple(last))
+            # Nothing needs the last alert any longer once its wait is over.
+            self.handle.registerTimer(_due(last[0] + last[1]) + 1)
+        elif last is not None and _due(last[0] + last[1]) < due:
+            self.last.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def suppress_repeats(alerts: DataFrame, quiet: int | DataFrame) -> DataFrame:
+    """Pass an alert of a rule and store only when the last one passed is old enough.
+
+    Alerts carry ``rule_id``, ``store_id`` and ``alert_timestamp``, on a stream with a watermark.
+    ``quiet`` is the wait of all rules in minutes, or a static table of ``rule_id,
+    suppress_duplicate_minutes``; as in batch, alerts of other rules go. Waits are kept by true
+    instants. A wait of 0 or NULL passes every alert at once, others when the watermark has passed
+    them. State is the last alert passed, until its wait is over, and the alerts not yet judged.
+    """
+    raised = alerts.select("rule_id", "store_id", "alert_timestamp", _micros(F.col("alert_timestamp")).alias("_at"))
+    if isinstance(quiet, DataFrame):
+        wait = F.coalesce(F.col("suppress_duplicate_minutes").cast("bigint") * F.lit(60_000_000), F.lit(0))
+        raised = raised.join(quiet.select("rule_id", wait.alias("_quiet")), "rule_id")
+    else:
+        raised = raised.withColumn("_quiet", F.lit(quiet * 60_000_000).cast("bigint"))
+    kinds = dict(alerts.dtypes)
+    schema = f"rule_id {kinds['rule_id']}, store_id {kinds['store_id']}, _at bigint"
+    passed = raised.groupBy("rule_id", "store_id").transformWithState(_Quiet(), schema, "Append", "EventTime")
+    return passed.select("rule_id", "store_id", F.timestamp_micros("_at").cast(kinds["alert_timestamp"]).alias("alert_timestamp"))
