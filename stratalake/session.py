@@ -86,10 +86,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPES.remove(made)
-        settings = spark._jsc.hadoopConfiguration()
         for path in made:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(settings).delete(where, True)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
@@ -101,5 +104,15 @@ def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    # Small row groups: a writer holds one in memory.
+    df.write.option("parquet.block.size", 16 << 20).parquet(path)
+    pinned = spark.read.schema(df.schema).parquet(path)
+    pinned._pinned_at = path
+    return pinned
+
+
+def unpin(df: DataFrame) -> None:
+    """Delete what ``pin`` wrote for ``df``; nothing may read it any more."""
+    path = getattr(df, "_pinned_at", None)
+    if path is not None:
+        _delete(df.sparkSession, path)
