@@ -1,13 +1,16 @@
 """Near duplicates of vectors by a forest of random-projection trees.
 
 Vectors are compared within equal labels only. Equal vectors of a label form one class first,
-so that a vector with very many copies is one row. Every tree starts with one node per label
-and splits nodes level by level: the vectors of a node are projected on a random direction and
-cut at the median. Vectors nearer to the cut than ``SPILL`` standard deviations of what two
-vectors at the threshold differ by go to both sides, so such a pair is parted only if it lies
-on both sides of the overlap, and then all trees would have to part it. A node is a leaf when
-it is small, or when its projections are so narrow that most vectors would go both ways (a
-group of near copies); such a leaf may have any size and is compared in blocks.
+so that a vector with very many copies is one row. The vectors of a label (and length) are one
+leaf if they are few. Otherwise ``TREES`` trees are fitted to a bounded sample of the vectors: the
+samples of a node are projected on a random direction and cut at the median, until the node has
+``LEAF`` vectors by estimate or fewer than ``FEW`` samples. Vectors nearer to the cut than
+``SPILL`` standard deviations of what two vectors at the threshold differ by go to both sides, so
+such a pair is parted only if it lies on both sides of the overlap, and then all trees would have
+to part it. A node whose projections are so narrow that most vectors would go both ways (a group
+of near copies) is not split. The cuts are broadcast, every vector goes through all levels of all
+trees in one pass and is shuffled once, with the list of its leaves. A leaf may have any size:
+larger ones are compared in blocks.
 
 Inside leaves all pairs are compared by exact cosines. A pair that meets in several leaves is
 counted in the first of them. Out of a leaf come a count per vector and links to the smallest
@@ -21,82 +24,139 @@ component. Rows without an id get no component and are kept.
 
 from __future__ import annotations
 
+import math
+import struct
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from stratalake.llm.components import components, joined_by_id, named_by_id, same_by_id
 from stratalake.llm.vectors import matrix, usable
 from stratalake.session import pin
 
 TREES = 3
-LEAF = 2048  # vectors of a leaf, and of a block of a larger one
+LEAF = 2048  # vectors of a leaf that is not split, nor compared in blocks
+BLOCK = 1024  # vectors of a block of a larger leaf
+SAMPLE, FEW = 1 << 17, 32  # vectors that trees are fitted to, over all labels; samples of a node
 SPILL = 1.25
 NARROW = 1.5  # a node whose projections deviate by less than so many overlaps is not split
-LEVELS = 60
+LEVELS = 40
+
+
+def _child(node: int, side: int) -> int:
+    return xxhash.xxh64_intdigest(struct.pack("<qq", node, side)) - (1 << 63)
+
+
+def _projected(node: int, seed: int, rows: np.ndarray) -> np.ndarray:
+    """Unit vectors on the random direction of their node."""
+    direction = np.random.default_rng([node & 0xFFFFFFFFFFFFFFFF, seed]).standard_normal(rows.shape[1])
+    return rows @ (direction / np.linalg.norm(direction))
+
+
+class Tree:
+    """The cuts of one set of vectors by node; a node without a cut is a leaf."""
+
+    def __init__(self, root: int, overlap: float, seed: int):
+        self.root, self.overlap, self.seed = root, overlap, seed
+        self.cuts: dict[int, float] = {}
 
+    def fit(self, rows: np.ndarray, each: float) -> None:
+        """``each`` sample stands for so many vectors."""
+        growing = [(self.root, np.arange(len(rows)), 0)]
+        while growing:
+            node, at, level = growing.pop()
+            if len(at) * each <= LEAF or len(at) < FEW or level == LEVELS:
+                continue
+            p = _projected(node, self.seed, rows[at])
+            if p.std() < self.overlap * NARROW:
+                continue
+            self.cuts[node] = float(np.median(p))
+            growing += [(child, at[inside], level + 1) for child, inside in self._sides(node, p)]
 
-def _overlap(dims: Column, threshold: float) -> Column:
-    """Half the width of the overlap: what a pair at the threshold differs by on a direction."""
-    return F.lit(SPILL) * F.sqrt(F.lit(max(0.0, 2 - 2 * threshold)) / dims)
+    def _sides(self, node: int, p: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        cut = self.cuts[node]
+        return [(_child(node, 0), p <= cut + self.overlap), (_child(node, 1), p > cut - self.overlap)]
 
+    def route(self, rows: np.ndarray, found: list[list[int]], place: np.ndarray) -> None:
+        """Add the leaves of unit vectors to the lists of their places."""
+        going = [(self.root, np.arange(len(rows)))]
+        while going:
+            node, at = going.pop()
+            if node not in self.cuts:
+                for i in place[at].tolist():
+                    found[i].append(node)
+                continue
+            p = _projected(node, self.seed, rows[at])
+            going += [(child, at[inside]) for child, inside in self._sides(node, p) if inside.any()]
 
-def _on_direction(seed: int, node: Column, vector: Column) -> Column:
-    """Unit vectors projected on the random direction of their node."""
 
-    @F.arrow_udf("double")
-    def project(nodes: pa.Array, vectors: pa.Array) -> pa.Array:
-        names, lengths = nodes.to_numpy(), np.diff(vectors.offsets.to_numpy())
-        p = np.zeros(len(names))
-        for name, dims in set(zip(names.tolist(), lengths.tolist(), strict=True)):
-            at = np.flatnonzero((names == name) & (lengths == dims))
-            direction = np.random.default_rng([name & 0xFFFFFFFFFFFFFFFF, seed]).standard_normal(dims)
-            rows = matrix(vectors.take(pa.array(at)), np.float64)
-            p[at] = rows @ (direction / np.linalg.norm(direction)) / np.linalg.norm(rows, axis=1)
-        return pa.array(p)
+def _units(vectors: pa.Array) -> np.ndarray:
+    rows = matrix(vectors, np.float64)
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
 
-    return project(node, vector)
+
+def _fitted(classes: DataFrame, threshold: float, trees: int, seed: int) -> dict[tuple[str, int], list[Tree]]:
+    """Trees of every label and length with more than ``LEAF`` vectors."""
+    by = [F.col("label"), F.size("vector").alias("dims")]
+    sizes = classes.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > LEAF)
+    large = pin(sizes, "sizes")
+    total = large.agg(F.sum("n")).first()[0]
+    if total is None:
+        return {}
+    # By a hash of the vector's id, so that a repeated run draws the same; the limit is the bound.
+    share = min(1.0, 1.1 * SAMPLE / total)
+    drawn = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+    some = classes.where(drawn).select(*by, "vector", "id").join(large, ["label", "dims"])
+    rows = some.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(SAMPLE).select("label", "dims", "n", "vector").toArrow()
+    found: dict[tuple[str, int], list[Tree]] = {}
+    names = list(zip(rows.column("label").to_pylist(), rows.column("dims").to_pylist(), strict=True))
+    members: dict[tuple[str, int], list[int]] = {}
+    for i, name in enumerate(names):
+        members.setdefault(name, []).append(i)
+    vectors, counts = rows.column("vector").combine_chunks(), rows.column("n").to_numpy()
+    for (label, dims), at in members.items():
+        units = _units(vectors.take(pa.array(at)))
+        overlap = SPILL * math.sqrt(max(0.0, 2 - 2 * threshold) / dims)
+        found[label, dims] = []
+        for n in range(trees):
+            tree = Tree(_root(label, dims, n), overlap, seed)
+            tree.fit(units, counts[at[0]] / len(at))
+            found[label, dims].append(tree)
+    return found
+
+
+def _root(label: str, dims: int, n: int) -> int:
+    return xxhash.xxh64_intdigest(f"{dims} {n} {label}".encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def forest(classes: DataFrame, threshold: float, trees: int = TREES, seed: int = 9) -> DataFrame:
-    """``node, id, copies, vector`` per leaf and vector, for classes ``id, label, copies, vector``."""
-    root = F.xxhash64(F.col("label"), F.size("vector"), F.col("_tree"))
-    some = classes.withColumn("_tree", F.explode(F.sequence(F.lit(1), F.lit(trees))))
-    kept = ["node", "id", "copies", "vector"]
-    growing = pin(some.select(root.alias("node"), "id", "copies", "vector"), "nodes")
-    leaves = []
-    for level in range(LEVELS):
-        sizes = pin(growing.groupBy("node").agg(F.count("*").alias("n")), "sizes")
-        large = sizes.where(F.col("n") > LEAF)
-        leaves.append(growing.join(sizes.where(F.col("n") <= LEAF), "node", "left_semi"))
-        if level == LEVELS - 1:
-            leaves.append(growing.join(large, "node", "left_semi"))
-        if level == LEVELS - 1 or large.isEmpty():
-            break
-        # Projections depend on node and vector alone, so both passes below see the same ones.
-        placed = growing.join(large, "node", "left_semi").withColumns(
-            {"p": _on_direction(seed + level, F.col("node"), F.col("vector")), "_over": _overlap(F.size("vector"), threshold)}
-        )
-        cuts = placed.groupBy("node").agg(
-            F.percentile_approx("p", 0.5, 1000).alias("cut"),
-            (F.stddev_pop("p") < F.max("_over") * NARROW).alias("_narrow"),
-        )
-        cuts = pin(cuts, "cuts")
-        leaves.append(growing.join(cuts.where("_narrow"), "node", "left_semi"))
-        split = placed.join(cuts.where("NOT _narrow").select("node", "cut"), "node")
-        sides = F.array_compact(
-            F.array(
-                F.when(F.col("p") <= F.col("cut") + F.col("_over"), F.lit(0)),
-                F.when(F.col("p") > F.col("cut") - F.col("_over"), F.lit(1)),
-            )
-        )
-        split = split.withColumn("_side", F.explode(sides))
-        growing = pin(split.select(F.xxhash64("node", "_side").alias("node"), *kept[1:]), "nodes")
-    whole = leaves[0]
-    for more in leaves[1:]:
-        whole = whole.unionByName(more)
-    return pin(whole, "leaves")
+    """Classes ``id, label, copies, vector`` with ``leaves``, the ascending list of a vector's leaves."""
+    fitted = _fitted(classes, threshold, trees, seed)
+    # At most SAMPLE / FEW cuts or so for each tree.
+    sent = classes.sparkSession.sparkContext.broadcast(fitted)
+
+    @F.arrow_udf(ArrayType(LongType()))
+    def route(labels: pa.Array, vectors: pa.Array) -> pa.Array:
+        known = sent.value
+        found: list[list[int]] = [[] for _ in range(len(labels))]
+        names = list(zip(labels.to_pylist(), np.diff(vectors.offsets.to_numpy()).tolist(), strict=True))
+        members: dict[tuple[str, int], list[int]] = {}
+        for i, name in enumerate(names):
+            if name in known:
+                members.setdefault(name, []).append(i)
+            else:
+                found[i].append(_root(*name, 0))
+        for name, at in members.items():
+            units, place = _units(vectors.take(pa.array(at))), np.array(at)
+            for tree in known[name]:
+                tree.route(units, found, place)
+        return pa.array([sorted(f) for f in found], pa.list_(pa.int64()))
+
+    return classes.select("id", "copies", "vector", route("label", "vector").alias("leaves"))
 
 
 def _first_meeting(node: int, one: list[list[int]], other: list[list[int]]) -> np.ndarray:
@@ -150,7 +210,7 @@ def compare_block(rows: pa.Table, threshold: float) -> pa.Table:
     counted = link & _first_meeting(rows.column("node")[0].as_py(), leaves, leaves)
     label = _smallest_linked(link, ids)
     below = np.flatnonzero(label != ids)
-    n = counted.astype(np.int64) @ copies
+    n = (counted.astype(np.float64) @ copies.astype(np.float64)).astype(np.int64)  # exact below 2^53
     return pa.Table.from_arrays(
         [
             pa.array(np.concatenate([ids, ids[below]])),
@@ -165,10 +225,11 @@ _FOUND = pa.schema([("id", pa.int64()), ("other", pa.int64()), ("n", pa.int64())
 
 
 def _links(classes: DataFrame, threshold: float, trees: int) -> DataFrame:
-    leaves = forest(classes, threshold, trees)
-    several = leaves.groupBy("id").agg(F.sort_array(F.collect_set("node")).alias("leaves"))
-    sizes = leaves.groupBy("node").agg(F.ceil(F.count("*") / LEAF).cast("int").alias("_blocks"))
-    rows = leaves.join(sizes, "node").join(several, "id")
+    routed = pin(forest(classes, threshold, trees), "routed")
+    sizes = routed.select(F.explode("leaves").alias("node")).groupBy("node").agg(F.count("*").alias("_n")).where("_n > 1")
+    blocks = F.when(F.col("_n") > LEAF, F.ceil(F.col("_n") / BLOCK)).otherwise(1).cast("int")
+    sizes = sizes.select("node", blocks.alias("_blocks"))
+    rows = routed.withColumn("node", F.explode("leaves")).join(sizes, "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
     rows = rows.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     rows = rows.withColumns({"_low": F.least("block", "_with"), "_high": F.greatest("block", "_with")})

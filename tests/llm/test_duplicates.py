@@ -150,7 +150,8 @@ def frame(spark, rows):
 
 
 def test_vector_duplicates(spark, vectors, monkeypatch):
-    monkeypatch.setattr(vector_duplicates, "LEAF", 64)  # several levels and blocks in a small table
+    for name, value in (("LEAF", 64), ("BLOCK", 16), ("FEW", 4)):  # several levels and blocks in a small table
+        monkeypatch.setattr(vector_duplicates, name, value)
     x = np.array([v for _, v, _ in vectors])
     cosine = (x @ x.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(x, axis=1))
     labels = np.array([label for *_, label in vectors])
@@ -167,6 +168,25 @@ def test_vector_duplicates(spark, vectors, monkeypatch):
     assert vector_duplicates.vector_duplicates(frame(spark, vectors).limit(0)).count() == 0
 
 
+def test_recall_near_the_threshold_with_trees_of_a_sample(spark, monkeypatch):
+    """One label, 3,000 planted pairs at cosines from 0.931 to 0.95; the trees see a tenth of the vectors."""
+    for name, value in (("LEAF", 256), ("BLOCK", 128), ("SAMPLE", 600), ("FEW", 8)):
+        monkeypatch.setattr(vector_duplicates, name, value)
+    rng = np.random.default_rng(2)
+    one = rng.standard_normal((3000, 32))
+    one /= np.linalg.norm(one, axis=1)[:, None]
+    other = rng.standard_normal((3000, 32))
+    other -= (other * one).sum(axis=1)[:, None] * one
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    cosine = rng.uniform(0.931, 0.95, 3000)[:, None]
+    other = cosine * one + np.sqrt(1 - cosine**2) * other
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([one, other]))]
+    got = {r.vec_id: r for r in vector_duplicates.vector_duplicates(frame(spark, rows)).collect()}
+    found = sum(got[i].component_id == got[i + 3000].component_id for i in range(3000))
+    assert found >= 0.98 * 3000
+    assert all(r.n_links <= 1 for r in got.values())
+
+
 def test_repeated_ids_of_different_vectors(spark):
     rng = np.random.default_rng(7)
     rows, want = [], set()
