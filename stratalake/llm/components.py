@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.session import pin
+from stratalake.session import pin, unpin
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -58,7 +58,8 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     stars = pin(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), "links")
     done = stars.isEmpty()
     while not done:
-        stars = pin(_small_star(_large_star(stars)).distinct(), "stars")
+        earlier, stars = stars, pin(_small_star(_large_star(stars)).distinct(), "stars")
+        unpin(earlier)
         done = _flat(stars)
     members = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
     heads = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

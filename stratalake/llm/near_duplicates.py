@@ -6,7 +6,8 @@ Registers of a union are the larger registers of its parts, and two texts agree
 about as often as they share shingles. So:
 
 1. texts with the same word sequence form a class, found by a digest; one sketch per class;
-2. registers are cut into bands; classes that agree in all registers of a band share a bucket;
+2. registers are cut into bands; classes that agree in all registers of a band share a bucket,
+   and only the few buckets with several classes are kept;
 3. in each bucket every class is paired with the smallest one (a star, linear in the bucket);
    a pair goes on if sizes allow the similarity and if its maximum-likelihood estimate, from
    how many registers are larger, smaller and equal and from both set sizes, is not far below
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType
 
 from stratalake.llm.components import components, joined_by_id, named_by_id, same_by_id
-from stratalake.session import fresh_path, pin, scratch
+from stratalake.session import fresh_path, pin, scratch, unpin
 
 WORDS = 5
 REGISTERS, BAND = 256, 5
@@ -201,7 +202,20 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     common = F.size(F.array_intersect("i_a", "i_b"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     enough = common * 100 >= (F.size("i_a") + F.size("i_b") - common) * percent
-    return pin(joined.where(enough).select("a", "b"), "verified")
+    linked = pin(joined.where(enough).select("a", "b"), "verified")
+    unpin(sets)
+    return linked
+
+
+def _shared_buckets(classes: DataFrame) -> DataFrame:
+    """``id, bucket`` of the buckets that several classes share, from one shuffle of narrow rows.
+
+    A class has one row in each band, so that even a bucket with most of the classes is a small
+    share of the rows.
+    """
+    keyed = classes.select("id", F.explode(_keys("sketch")).alias("bucket")).repartition("bucket")
+    shared = keyed.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket")
+    return pin(keyed.join(shared.hint("shuffle_hash"), "bucket", "left_semi"), "buckets")
 
 
 def _stars(buckets: DataFrame) -> DataFrame:
@@ -314,13 +328,15 @@ def _cross_large(rows: DataFrame, classes: DataFrame, texts: DataFrame, percent:
             items = other.column("items").combine_chunks()
             known, code = np.unique(items.flatten().to_numpy(), return_inverse=True)
             owner = np.repeat(np.arange(len(items)), np.diff(items.offsets.to_numpy()))
-            for x in one.to_pylist():
+            # Sets stay packed; only the small columns become Python values.
+            sets = one.column("items").combine_chunks()
+            every, ends = sets.flatten().to_numpy(), sets.offsets.to_numpy() - sets.offsets[0].as_py()
+            for k, x in enumerate(one.drop_columns("items").to_pylist()):
                 at = block.plausible(x, percent)
                 if not len(at):
                     continue
-                place = np.searchsorted(known, x["items"])
-                inside = np.zeros(len(known), bool)
-                place, own = np.minimum(place, len(known) - 1), np.array(x["items"])
+                own = every[ends[k] : ends[k + 1]]
+                place = np.minimum(np.searchsorted(known, own), len(known) - 1)
                 inside[place[known[place] == own]] = True
                 common = np.bincount(owner[inside[code]], minlength=len(items))[at]
                 linked = at[common * 100 >= (block.sizes[at] + x["n"] - common) * percent]
@@ -358,12 +374,15 @@ def links(made: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, D
         texts = texts.unionByName(pin(own, "again"))
     unique = some.join(heads, ["id", "digest"]).select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "sketch")
     unique = pin(unique.dropDuplicates(["id"]), "classes")
-    buckets = pin(unique.select("id", F.explode(_keys("sketch")).alias("bucket")), "buckets")
-    found = components(verified(pin(_plausible(_stars(buckets), unique, percent), "stars"), texts, percent))
+    buckets = _shared_buckets(unique)
+    stars = pin(_plausible(_stars(buckets), unique, percent), "stars")
+    found = components(verified(stars, texts, percent))
     rows = _open_buckets(buckets, found).where("n_all <= %d" % SMALL_BUCKET)
     small = pin(_plausible(_cross_small(rows), unique, percent), "crossing")
     found = components(verified(small, texts, percent), found)
     rows = pin(_open_buckets(buckets, found).where("n_all > %d" % SMALL_BUCKET), "open")
+    for read in (stars, small, buckets):
+        unpin(read)
     found = components(pin(_cross_large(rows, unique, texts, percent), "crossing"), found)
     if repeated is not None:
         of = some.join(repeated, "id", "left_semi").join(classes.select("digest", "node"), "digest").select("id", "node")

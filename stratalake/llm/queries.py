@@ -22,13 +22,14 @@ URL_RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-# Texts are long: batches for Python stay in the tens of MB.
-_BATCH_ROWS = "1000"
+# Texts are long: batches for Python stay in a few MB.
+_BATCH_ROWS, _BATCH_BYTES = "500", "8m"
 
 
 def prepared(spark: SparkSession) -> SparkSession:
     """The session with the settings that the operators assume."""
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH_BYTES)
     return spark
 
 
