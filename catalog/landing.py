@@ -11,8 +11,8 @@ from stratalake.functions.keys import record_hash, surrogate_key
 from stratalake.functions.measures import date_key, minutes, whole_days
 from stratalake.operators import audit, quality
 from stratalake.plans import dims, silver
-from stratalake.plans.layers import Settings, full_refresh
-from stratalake.plans.pipeline import run
+from stratalake.plans.layers import Settings, bronze_steps, full_refresh, unusable_id
+from stratalake.plans.pipeline import land_corrected, run
 from stratalake.session import fresh_path
 from stratalake.sources import sinks, tables
 
@@ -126,11 +126,13 @@ def evolve_add_column(spark, sf):
     return tables.union_evolved(tables.add_missing_columns(old, {"is_active": (True, "boolean")}), new)
 
 
+def _settings():
+    return Settings("2024-02-01T06:00:00", _load_time, b.as_of_date, TIER_BOUNDS, TIER_BOUNDS[1], RATINGS, PRICE_TIERS, 25, 15, 35)
+
+
 def _refresh(spark, sf):
     """The whole bronze, silver and gold refresh into a fresh folder."""
-    settings = Settings(
-        "2024-02-01T06:00:00", _load_time, b.as_of_date, TIER_BOUNDS, TIER_BOUNDS[1], RATINGS, PRICE_TIERS, 25, 15, 35
-    )
+    settings = _settings()
     keys = {"customer": ["row_id"], "film": ["film_id"], "language": ["language_id"], "payment": ["payment_id"], "rental": ["rental_id"]}
     payments = b.customer_payment(spark, sf).withColumn("payment_id", F.expr("rental_id * 10 + line_number"))
     sources = {
@@ -154,34 +156,15 @@ def _refresh(spark, sf):
          UNION ALL SELECT 'silver.address', count(DISTINCT try_cast(address_id AS INT)) FROM bronze_customer
          UNION ALL SELECT 'silver.store', count(DISTINCT store_id) FROM bronze_customer UNION ALL SELECT 'gold.dim_store', count(DISTINCT store_id) FROM bronze_customer
          UNION ALL SELECT 'gold.dim_customer', count(try_cast(customer_id AS INT)) FROM bronze_customer
+         UNION ALL SELECT 'bronze.customer_rejected', count(*) FILTER (try_cast(customer_id AS INT) IS NULL) FROM bronze_customer
+         UNION ALL SELECT 'bronze.film_rejected', count(*) FILTER (p_partkey IS NULL) FROM part UNION ALL SELECT 'bronze.language_rejected', count(*) FILTER (language_id IS NULL) FROM language
+         UNION ALL SELECT 'bronze.payment_rejected', count(*) FILTER (rental_id IS NULL) FROM customer_payment UNION ALL SELECT 'bronze.rental_rejected', count(*) FILTER (o_orderkey IS NULL) FROM orders
          UNION ALL SELECT 'gold.dim_staff', count(DISTINCT staff_id) FROM film_rental
          UNION ALL SELECT 'gold.customer_metrics', count(DISTINCT customer_id) FROM rental
          UNION ALL SELECT 'gold.dim_date', date_diff('day', date_trunc('year', least(min(rental_date), min(return_date))), date_trunc('year', greatest(max(rental_date), max(return_date))) + INTERVAL 1 YEAR) + 1 FROM rental)""",
 )
 def run_report(spark, sf):
-    # The SQL of this query does not list the rejected customers.
-    return _refresh(spark, sf).report(spark).drop("error").where("table_name <> 'silver.customer_rejected'")
-
-
-@query(
-    "model_verdict",
-    """SELECT * FROM (VALUES ('landing', TRUE), ('silver and gold rows', TRUE), ('fact revenue', TRUE), ('customer quality', TRUE), ('bi_ready', TRUE)) t(check_name, passed)
-       WHERE (SELECT count(*) FROM orders) > 0""",
-)
-def model_verdict(spark, sf):
-    made = _refresh(spark, sf).tables
-    # Rejected rows are no table that has to have rows.
-    later = {name: df for name, df in made.items() if not name.startswith("bronze.") and name != "silver.customer_rejected"}
-    facts = quality.fact_check(made["gold.fact_rental"], {"customers": "customer_id"}, "revenue_amount", "rental_rate")
-    scores = quality.score_check(made["silver.customer"], "sl_data_quality_score")
-    return quality.verdict(
-        {
-            "landing": quality.bronze_check(made["bronze.customer"], BATCH),
-            "silver and gold rows": quality.table_counts(later).select(F.col("has_rows").alias("passed")),
-            "fact revenue": facts.select((F.col("revenue_facts") == F.col("total_facts")).alias("passed")),
-            "customer quality": scores.select((F.col("avg_quality_score") >= 0.8).alias("passed")),
-        }
-    )
+    return _refresh(spark, sf).report(spark).drop("error")
 
 
 @query(
@@ -502,3 +485,70 @@ def dq_score(spark, sf):
 def quarantine(spark, sf):
     _, bad = quality.quarantine(b.bronze_customer(spark, sf), silver.CUSTOMER.rules)
     return bad.select("row_id", "rejected_columns")
+
+
+def _checks(made):
+    # Rejected rows are no table that has to have rows.
+    later = {name: df for name, df in made.items() if not name.startswith("bronze.")}
+    facts = quality.fact_check(made["gold.fact_rental"], {"customers": "customer_id"}, "revenue_amount", "rental_rate")
+    scores = quality.score_check(made["silver.customer"], "sl_data_quality_score")
+    rejected = made["bronze.customer_rejected"].agg((F.count("*") == 0).alias("passed"))
+    return quality.verdict(
+        {
+            "landing": quality.bronze_check(made["bronze.customer"], BATCH),
+            "silver and gold rows": quality.table_counts(later).select(F.col("has_rows").alias("passed")),
+            "fact revenue": facts.select((F.col("revenue_facts") == F.col("total_facts")).alias("passed")),
+            "customer quality": scores.select((F.col("avg_quality_score") >= 0.8).alias("passed")),
+            "no rejected customers": rejected,
+        }
+    )
+
+
+@query(
+    "model_verdict",
+    f"""WITH checks AS (
+         SELECT 'landing' AS check_name, count(*) > 0 AS passed FROM customer
+         UNION ALL SELECT 'silver and gold rows', (SELECT count(*) FROM customer) > 0 AND (SELECT count(*) FROM part) > 0 AND (SELECT count(*) FROM orders) > 0 AND (SELECT count(*) FROM lineitem) > 0
+         UNION ALL SELECT 'fact revenue', count(*) > 0 AND bool_and(amount > 0) FROM fact
+         UNION ALL SELECT 'customer quality', avg(s) >= 0.8 FROM (SELECT {SQL_SCORE} AS s FROM ({SQL_CLEAN_CUSTOMER}))
+         UNION ALL SELECT 'no rejected customers', count(*) FILTER (try_cast(customer_id AS INT) IS NULL) = 0 FROM bronze_customer)
+       SELECT * FROM checks UNION ALL SELECT 'bi_ready', bool_and(passed) FROM checks""",
+)
+def model_verdict(spark, sf):
+    """The rejected customers fail one check, and with it the whole."""
+    return _checks(_refresh(spark, sf).tables)
+
+
+@query(
+    "refreshed_fact",
+    f"""SELECT r.rental_id, strftime(r.rental_date, '%Y-%m') AS month, r.amount::DOUBLE AS amount,
+         CASE WHEN c.customer_id IS NULL THEN '-1' ELSE {key_sql("gl_dim_customer", "r.customer_id")} END AS gl_dim_customer_key,
+         CASE WHEN p.p_partkey IS NULL THEN '-1' ELSE {key_sql("gl_dim_film", "r.film_id")} END AS gl_dim_film_key,
+         CASE WHEN s.store_id IS NULL THEN '-1' ELSE {key_sql("gl_dim_store", "r.store_id")} END AS gl_dim_store_key,
+         {key_sql("gl_dim_staff", "r.staff_id")} AS gl_dim_staff_key
+       FROM fact r LEFT JOIN (SELECT try_cast(customer_id AS INT) AS customer_id FROM bronze_customer) c ON c.customer_id = r.customer_id
+       LEFT JOIN part p ON p.p_partkey = r.film_id LEFT JOIN (SELECT DISTINCT store_id::INT AS store_id FROM bronze_customer) s ON s.store_id = r.store_id""",
+)
+def refreshed_fact(spark, sf):
+    """The fact as the refresh wrote it, by months, with all four dimension keys."""
+    keys = ["gl_dim_customer_key", "gl_dim_film_key", "gl_dim_store_key", "gl_dim_staff_key"]
+    return _refresh(spark, sf).tables["gold.fact_rental"].select("rental_id", "month", F.col("revenue_amount").alias("amount"), *keys)
+
+
+@query(
+    "quarantine_replay",
+    """SELECT outcome, count(*) AS row_count, count(DISTINCT row_id) AS row_ids FROM (
+         SELECT row_id, CASE WHEN try_cast(customer_id AS INT) IS NOT NULL THEN 'accepted' WHEN row_id % 2 = 0 THEN 'corrected' ELSE 'rejected' END AS outcome FROM bronze_customer)
+       GROUP BY ALL""",
+)
+def quarantine_replay(spark, sf):
+    """Landed customers by outcome after every other rejected row was corrected and replayed."""
+    land, path = bronze_steps(_settings(), {"customer": ["row_id"]}), fresh_path(spark, "run")
+    made = run(spark, land, {"source.customer": b.bronze_customer(spark, sf)}, path, BATCH).tables
+    corrected = made["bronze.customer_rejected"].where("row_id % 2 = 0").drop("rejected_columns")
+    corrected = corrected.withColumn("customer_id", F.col("row_id").cast("string"))
+    table = f"{path}/bronze/customer"
+    land_corrected(spark, table, corrected, "row_id", unusable_id("customer"))
+    return spark.read.parquet(table).groupBy(F.col("br_outcome").alias("outcome")).agg(
+        F.count("*").alias("row_count"), F.count_distinct("row_id").alias("row_ids")
+    )

@@ -8,7 +8,7 @@ further steps.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,8 +50,26 @@ class Settings:
         return audit.batch_label(layer, self.execution)
 
 
+# Rentals carry their film and store where the source knows them.
+RENTAL = replace(silver.RENTAL, rules={**silver.RENTAL.rules, "film_id": "int", "store_id": "int"})
+_IDS = {e.name: (e.key, e.rules[e.key]) for e in (silver.LANGUAGE, silver.CUSTOMER, RENTAL, silver.PAYMENT)}
+_IDS["film"] = ("film_id", silver.FILM_RULES["film_id"])
+
+
+def unusable_id(table: str) -> Callable[[DataFrame], Column] | None:
+    """The id column's name for landed rows of an entity whose id does not fit its rule, else NULL."""
+    if table not in _IDS:
+        return None
+    key, rule = _IDS[table]
+    return lambda df: F.when(apply_rule(F.col(key), rule).isNull(), F.lit(key))
+
+
 def bronze_steps(settings: Settings, tables: Mapping[str, Sequence[str]]) -> list[Step]:
-    """Land every table as text with audit columns; ``tables`` maps a table to its natural key."""
+    """Land every table as text with audit columns; ``tables`` maps a table to its natural key.
+
+    Rows without a usable id are landed too, as rejected: dimensions and facts leave out exactly
+    these, the run lists them, and ``pipeline.land_corrected`` replays them.
+    """
 
     def land(table: str, key: Sequence[str]) -> Step:
         def build(df: DataFrame) -> DataFrame:
@@ -59,13 +77,13 @@ def bronze_steps(settings: Settings, tables: Mapping[str, Sequence[str]]) -> lis
                 to_strings(df), table, f"{settings.source}.{table}", settings.batch("bronze_basic"), settings.load_time(), list(key)
             )
 
-        return Step(f"bronze.{table}", [f"source.{table}"], build)
+        return Step(f"bronze.{table}", [f"source.{table}"], build, rejects=unusable_id(table))
 
     return [land(table, key) for table, key in tables.items()]
 
 
 def silver_steps(settings: Settings) -> list[Step]:
-    """Typed entities, the address and store entities their ids imply, and customers without a usable id."""
+    """Typed entities, and the address and store entities their ids imply."""
     batch = settings.batch("silver_dimensional")
 
     def clean(entity: silver.Entity) -> Step:
@@ -82,18 +100,11 @@ def silver_steps(settings: Settings) -> list[Step]:
         defaults = {"manager_staff_id": F.lit(1), "address_id": F.col("store_id"), "last_update": settings.load_time()}
         return silver.inferred_entity(customers, "store", "store_id", defaults, batch, settings.load_time())
 
-    def rejected(customers: DataFrame) -> DataFrame:
-        # As landed; gold leaves out exactly these.
-        id_column = silver.CUSTOMER.key
-        typed = apply_rule(F.col(id_column), silver.CUSTOMER.rules[id_column])
-        return customers.where(typed.isNull()).withColumn("rejected_columns", F.lit(id_column))
-
     film = silver.film(settings.short, settings.medium)
     return [
-        Step("silver.customer_rejected", ["bronze.customer"], rejected),
         Step("silver.address", ["bronze.customer"], addresses),
         Step("silver.store", ["bronze.customer"], stores),
-        *[clean(e) for e in (silver.LANGUAGE, silver.CUSTOMER, film, silver.RENTAL, silver.PAYMENT)],
+        *[clean(e) for e in (silver.LANGUAGE, silver.CUSTOMER, film, RENTAL, silver.PAYMENT)],
     ]
 
 
@@ -113,7 +124,7 @@ def gold_steps(settings: Settings) -> list[Step]:
     def customers(customer: DataFrame, address: DataFrame, store: DataFrame, rental: DataFrame, payment: DataFrame) -> DataFrame:
         # The layers hold no city names, only ids, and a district is none.
         places = store.select("store_id", F.col("store_address").alias("address"), F.lit(None).cast("string").alias("city"))
-        # A customer without a usable id gets no dimension row; it is in silver.customer_rejected.
+        # A customer without a usable id gets no dimension row; it is in bronze.customer_rejected.
         known = customer.where(F.col("customer_id").isNotNull())
         wide = dims.customer_dimension(
             known, address, places, rental, payment, settings.as_of(), settings.tiers, settings.high_value
@@ -127,16 +138,17 @@ def gold_steps(settings: Settings) -> list[Step]:
     def staff(rental: DataFrame) -> DataFrame:
         return audited(dims.staff_dimension(rental), "staff")
 
-    def fact(rental: DataFrame, payment: DataFrame, customer: DataFrame, member: DataFrame) -> DataFrame:
+    def fact(rental: DataFrame, payment: DataFrame, customer: DataFrame, member: DataFrame, film: DataFrame, store: DataFrame) -> DataFrame:
         rows = facts.rental_fact(rental, payment)
-        keyed = joins.lookup_keys(
-            rows,
-            [
-                (customer, "customer_id", "customer_id", "gl_dim_customer_key"),
-                (member, "staff_id", "staff_id", "gl_dim_staff_key"),
-            ],
-        )
-        return audited(keyed, "rental")
+        lookups = [
+            (customer, "customer_id", "customer_id", "gl_dim_customer_key"),
+            (member, "staff_id", "staff_id", "gl_dim_staff_key"),
+            (film, "film_id", "film_id", "gl_dim_film_key"),
+            (store, "store_id", "store_id", "gl_dim_store_key"),
+        ]
+        keyed = joins.lookup_keys(rows, [x for x in lookups if x[1] in rows.columns])
+        absent = {x[3]: F.lit("-1") for x in lookups if x[1] not in rows.columns}
+        return audited(keyed.withColumns(absent) if absent else keyed, "rental")
 
     def scores(rows: DataFrame) -> DataFrame:
         return audited(metrics.customer_metrics(rows, settings.tiers, settings.high_value), "customer_metrics")
@@ -147,7 +159,12 @@ def gold_steps(settings: Settings) -> list[Step]:
         Step("gold.dim_customer", ["silver.customer", "silver.address", "gold.dim_store", "silver.rental", "silver.payment"], customers),
         Step("gold.dim_film", ["silver.film", "silver.language"], films),
         Step("gold.dim_staff", ["silver.rental"], staff),
-        Step("gold.fact_rental", ["silver.rental", "silver.payment", "gold.dim_customer", "gold.dim_staff"], fact),
+        Step(
+            "gold.fact_rental",
+            ["silver.rental", "silver.payment", "gold.dim_customer", "gold.dim_staff", "gold.dim_film", "gold.dim_store"],
+            fact,
+            month="rental_date",
+        ),
         Step("gold.customer_metrics", ["gold.fact_rental"], scores),
     ]
 

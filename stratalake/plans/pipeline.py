@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from stratalake.sources.sinks import write_full
+from stratalake.session import pin, remove, unpin
+from stratalake.sources.sinks import write_by_month, write_full
 
 # Which layers a layer may read.
 MAY_READ = {
@@ -25,11 +27,18 @@ class LineageError(ValueError):
 
 @dataclass(frozen=True)
 class Step:
-    """One table: its ``layer.name``, the tables it reads and how it is built from them."""
+    """One table: its ``layer.name``, the tables it reads and how it is built from them.
+
+    ``month`` names the event time of a fact that is written by months. ``rejects`` tells, for a
+    built row, why it is rejected (NULL if it is not): the table is then written once, by outcome,
+    and its rejected rows can be read and listed as ``<target>_rejected``.
+    """
 
     target: str
     reads: Sequence[str]
     build: Callable[..., DataFrame]
+    month: str | None = None
+    rejects: Callable[[DataFrame], Column] | None = None
 
     @property
     def layer(self) -> str:
@@ -70,20 +79,52 @@ def check_lineage(steps: Sequence[Step], sources: Sequence[str]) -> None:
         known.add(step.target)
 
 
+# How the rows of a table with rejects are stored: by outcome, and with the reason.
+OUTCOME, REASON = "br_outcome", "rejected_columns"
+
+
 def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count the rows of ``df`` while another action runs, without a second pass."""
+    """Count the rows of ``df``, and the rejected ones, while another action runs, without a second pass."""
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    rejected = F.count(REASON) if REASON in df.columns else F.count(F.lit(None))
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), rejected.alias("rejected")), seen
 
 
-def _waves(steps: Sequence[Step], ready: set[str]) -> list[list[Step]]:
-    """Steps grouped so that each group only needs tables of earlier groups."""
-    depth = dict.fromkeys(ready, 0)
-    groups: dict[int, list[Step]] = {}
-    for step in steps:
-        depth[step.target] = 1 + max((depth[t] for t in step.reads), default=0)
-        groups.setdefault(depth[step.target], []).append(step)
-    return [groups[d] for d in sorted(groups)]
+def _by_outcome(df: DataFrame, reason: Column) -> DataFrame:
+    marked = df.withColumn(REASON, reason)
+    return marked.withColumn(OUTCOME, F.when(F.col(REASON).isNull(), "accepted").otherwise("rejected"))
+
+
+def _read_outcomes(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """The rows that came through, and the rejected ones with their reason."""
+    whole = spark.read.schema(schema).parquet(path)
+    return whole.drop(REASON, OUTCOME), whole.where(F.col(OUTCOME) == "rejected").drop(OUTCOME)
+
+
+def land_corrected(
+    spark: SparkSession, path: str, corrected: DataFrame, key: str, rejects: Callable[[DataFrame], Column]
+) -> tuple[int, int]:
+    """Replay rejected rows of the table at ``path`` in their corrected form.
+
+    ``corrected`` has the columns of the table, under the batch they were landed with. Rows that
+    now pass move to the outcome ``corrected``, the others stay rejected with their reason.
+    Only these two partitions are written, so replaying the same rows again changes nothing.
+    Returns how many rows came through by now and how many are still rejected.
+    """
+    whole = spark.read.parquet(path)
+    fresh = _by_outcome(corrected, rejects(corrected)).withColumn(
+        OUTCOME, F.when(F.col(REASON).isNull(), "corrected").otherwise("rejected")
+    )
+    before = whole.where(F.col(OUTCOME).isin("rejected", "corrected")).join(corrected.select(key), key, "left_anti")
+    # Read before it is replaced.
+    rows = pin(before.select(fresh.columns).unionByName(fresh), "replayed")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(OUTCOME).parquet(path)
+    found = {r[0]: r[1] for r in rows.groupBy(OUTCOME).count().collect()}
+    if "rejected" not in found:  # a dynamic overwrite leaves a partition without new rows as it was
+        gone = f"{path}/{OUTCOME}=rejected"
+        remove(spark, gone)
+    unpin(rows)
+    return found.get("corrected", 0), found.get("rejected", 0)
 
 
 def run(
@@ -97,11 +138,10 @@ def run(
 ) -> RunResult:
     """Build and write every step below ``folder``.
 
-    Later steps read the written tables, so each table is computed once. Up to
-    ``parallel`` steps that do not need each other are submitted together and share the
-    cluster. ``on_error`` is ``fail`` (stop after the group of the first error) or
-    ``collect`` (note it, skip what depends on it, go on); an error is never reported as
-    zero rows.
+    Later steps read the written tables, so each table is computed once. A step starts as
+    soon as its own inputs are written; up to ``parallel`` steps share the cluster.
+    ``on_error`` is ``fail`` (start nothing after the first error) or ``collect`` (note it,
+    skip what depends on it, go on); an error is never reported as zero rows.
     """
     if on_error not in ("fail", "collect"):
         raise ValueError(f"unknown on_error: {on_error}")
@@ -110,27 +150,47 @@ def run(
     done: dict[str, int] = {}
     errors: dict[str, str] = {}
 
-    def write(step: Step) -> tuple[int, DataFrame]:
+    def write(step: Step) -> tuple[dict[str, int], dict[str, DataFrame]]:
         missing = [t for t in step.reads if t not in tables]
         if missing:
             raise LineageError(f"input failed earlier: {', '.join(missing)}")
-        counted, seen = observe_counts(step.build(*[tables[t] for t in step.reads]), step.target)
+        built = step.build(*[tables[t] for t in step.reads])
+        if step.rejects:
+            built = _by_outcome(built, step.rejects(built))
+        counted, seen = observe_counts(built, step.target)
         path = f"{folder}/{step.target.replace('.', '/')}"
+        if step.rejects:
+            counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(OUTCOME).parquet(path)
+            through, rejected = _read_outcomes(spark, path, counted.schema)
+            name = f"{step.target}_rejected"
+            return {step.target: seen.get["rows"], name: seen.get["rejected"]}, {step.target: through, name: rejected}
+        if step.month:
+            write_by_month(counted, path, step.month)
+            schema = StructType([*counted.schema.fields]).add("month", StringType())
+            return {step.target: seen.get["rows"]}, {step.target: spark.read.schema(schema).parquet(path)}
         write_full(counted, path)
-        return seen.get["rows"], spark.read.schema(counted.schema).parquet(path)
+        return {step.target: seen.get["rows"]}, {step.target: spark.read.schema(counted.schema).parquet(path)}
 
+    waiting, running = list(steps), {}
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        for group in _waves(steps, set(sources)):
-            futures = {step.target: pool.submit(write, step) for step in group}
-            for target, future in futures.items():
-                error = future.exception()
+        while waiting or running:
+            open_tables = {s.target for s in waiting} | {s.target for s in running.values()}
+            for step in [s for s in waiting if not open_tables.intersection(s.reads)]:
+                waiting.remove(step)
+                running[pool.submit(write, step)] = step
+            finished: set[Future] = wait(running, return_when=FIRST_COMPLETED).done
+            for future in finished:
+                step, error = running.pop(future), future.exception()
                 if error is None:
-                    done[target], tables[target] = future.result()
+                    rows, made = future.result()
+                    done.update(rows)
+                    tables.update(made)
                 elif on_error == "fail":
+                    wait(running)
                     raise error
                 else:
-                    errors[target] = str(error).splitlines()[0]
-    order = [step.target for step in steps]
+                    errors[step.target] = str(error).splitlines()[0]
+    order = [name for step in steps for name in (step.target, f"{step.target}_rejected")]
     return RunResult(
         batch_id,
         {t: done[t] for t in order if t in done},

@@ -87,10 +87,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _SCOPES.remove(made)
         for path in made:
-            _delete(spark, path)
+            remove(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system, if it is there."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -115,4 +116,4 @@ def unpin(df: DataFrame) -> None:
     """Delete what ``pin`` wrote for ``df``; nothing may read it any more."""
     path = getattr(df, "_pinned_at", None)
     if path is not None:
-        _delete(df.sparkSession, path)
+        remove(df.sparkSession, path)

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.session import remove
 from stratalake.sources.sinks import Snapshots
 
 SETTLED = -1  # in place of a bucket's number
@@ -68,7 +69,7 @@ class KeyedTable:
         if closed is not None:
             closed.write.mode("overwrite").parquet(f"{place}/settled")
             if self._read([f"{place}/settled"]).isEmpty():
-                self._delete(f"{place}/settled")
+                remove(self.spark, f"{place}/settled")
             else:
                 listed[f"{place}/settled"] = SETTLED
         entries = [(part, folder) for folder, part in sorted(listed.items())]
@@ -90,16 +91,12 @@ class KeyedTable:
         found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
         return sorted(f.getPath().toString() for f in found or [])
 
-    def _delete(self, folder: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
     def _forget(self, number: int) -> None:
         """Delete versions older than the kept ones, and the buckets that only they list."""
         old = number - self.keep - 1
         if old < 1 or not self._glob(f"{self.path}/versions/v={old}"):
             return
         gone = set(self.folders(old)) - set(self.folders(old + 1))
-        self._delete(f"{self.path}/versions/v={old}")
+        remove(self.spark, f"{self.path}/versions/v={old}")
         for folder in sorted(gone):
-            self._delete(folder)
+            remove(self.spark, folder)

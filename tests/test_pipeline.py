@@ -28,15 +28,63 @@ def test_run_reports_every_table(spark):
     assert result.report(spark).where("status = 'ok'").count() == 4
 
 
-def test_refresh_lists_customers_without_a_usable_id(spark, small):
+def test_refresh_lists_rows_without_a_usable_id(spark, small):
     from catalog import all_queries, landing
 
     all_queries()
     result = landing._refresh(spark, small)
-    rejected = result.tables["silver.customer_rejected"]
-    assert result.report(spark).where("table_name = 'silver.customer_rejected'").first().row_count == rejected.count() > 0
+    rejected = result.tables["bronze.customer_rejected"]
+    assert result.rows["bronze.customer_rejected"] == rejected.count() > 0
     assert rejected.count() + result.rows["gold.dim_customer"] == result.rows["bronze.customer"]
-    assert {r.customer_id for r in rejected.collect()} == {"n/a"}
+    assert {(r.customer_id, r.rejected_columns) for r in rejected.collect()} == {("n/a", "customer_id")}
+    assert {result.rows[f"bronze.{t}_rejected"] for t in ("film", "language", "payment", "rental")} == {0}
+    # A star query on a month opens that month only.
+    fact, dates = result.tables["gold.fact_rental"], result.tables["gold.dim_date"]
+    month = fact.where("month = '1996-02'")
+    assert 0 < month.count() < fact.count() and "PartitionFilters: [isnotnull(month" in plan_of(month)
+    months = dates.where("date_key BETWEEN 19960201 AND 19960229").selectExpr("substring(cast(date_key AS string), 1, 6) AS m")
+    star = fact.join(months.selectExpr("concat(substring(m, 1, 4), '-', substring(m, 5, 2)) AS month").distinct(), "month")
+    assert "dynamicpruning" in plan_of(star) and star.count() == month.count()
+
+
+def test_rejected_rows_are_replayed_once(spark):
+    from stratalake.plans.pipeline import land_corrected
+
+    def reason(df):
+        return F.when(F.col("id").try_cast("int").isNull(), F.lit("id"))
+
+    path = fresh_path(spark, "run")
+    rows = spark.createDataFrame([(1, "1"), (2, "x"), (3, "y"), (4, None)], "row int, id string")
+    result = run(spark, [Step("bronze.a", ["source.a"], lambda df: df, rejects=reason)], {"source.a": rows}, path, "b1")
+    assert result.rows == {"bronze.a": 4, "bronze.a_rejected": 3}
+    assert result.tables["bronze.a"].columns == ["row", "id"] and result.tables["bronze.a"].count() == 4
+    table = f"{path}/bronze/a"
+    better = spark.createDataFrame([(2, "20"), (3, "still bad")], "row int, id string")
+    for _ in range(2):  # a repeated replay changes nothing
+        assert land_corrected(spark, table, better, "row", reason) == (1, 2)
+        got = {(r.row, r.id, r.br_outcome) for r in spark.read.parquet(table).collect()}
+        assert got == {(1, "1", "accepted"), (2, "20", "corrected"), (3, "still bad", "rejected"), (4, None, "rejected")}
+    rest = spark.createDataFrame([(3, "30"), (4, "40")], "row int, id string")
+    assert land_corrected(spark, table, rest, "row", reason) == (3, 0)
+    assert spark.read.parquet(table).where("br_outcome = 'rejected'").count() == 0
+
+
+def test_steps_start_when_their_own_inputs_are_written(spark):
+    import threading
+
+    second = threading.Event()
+
+    def slow(df):
+        assert second.wait(60)  # the step below the fast one runs before this one ends
+        return df
+
+    def after_fast(df):
+        second.set()
+        return df
+
+    steps = [Step("bronze.slow", ["source.a"], slow), Step("bronze.fast", ["source.a"], lambda df: df), Step("silver.fast", ["bronze.fast"], after_fast)]
+    result = run(spark, steps, {"source.a": spark.range(3)}, fresh_path(spark, "run"), "b1", parallel=2)
+    assert result.rows == {"bronze.slow": 3, "bronze.fast": 3, "silver.fast": 3}
 
 
 def test_empty_input_is_not_an_error(spark):
