@@ -65,7 +65,7 @@ def texts():
     rng = random.Random(5)
     new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
     out = [None, "", " \n\t", "One two", "one TWO", "one two three four five", "É é é é é", "é é é é é"]
-    for size, share in ((150, 0.01), (120, 0.03), (40, 0.02), (6, 0.01)):
+    for size, share in ((150, 0.01), (120, 0.03), (40, 0.02), (6, 0.01), (60, 0.045)):
         base = new(120)
         out += [varied(rng, base, share) for _ in range(size)]
     chain = new(200)
@@ -77,7 +77,11 @@ def texts():
     return list(enumerate(out)) + [(None, out[9]), (3, "One two")]
 
 
-def test_near_duplicates(spark, texts):
+@pytest.mark.parametrize(("small", "block"), [(near_duplicates.SMALL_BUCKET, near_duplicates.BLOCK), (1, 8)])
+def test_near_duplicates(spark, texts, small, block, monkeypatch):
+    """Also with every shared bucket taken as a large one and cut in blocks."""
+    monkeypatch.setattr(near_duplicates, "SMALL_BUCKET", small)
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
     df = spark.createDataFrame([(i, t, 1, "k") for i, t in texts], "doc_id long, text string, n_shingles int, kept string")
     sets, component = brute(texts)
     got = near_duplicates.near_duplicates(df.repartition(4)).collect()
