@@ -19,10 +19,11 @@ from catalog.landing import (
 )
 from catalog.registry import query
 from stratalake.functions.keys import surrogate_key
-from stratalake.operators import joins, ordered, quality
+from stratalake.operators import distinct, joins, ordered, quality
 from stratalake.operators.audit import add_bronze_audit, add_gold_audit
 from stratalake.plans import dims, facts, marts, silver
 from stratalake.plans import metrics as m
+from stratalake.session import pin
 from stratalake.sources import tables
 
 DAY = f"DATE '{b.AS_OF_DATE}'"
@@ -516,16 +517,17 @@ SQL_GAPS = """SELECT customer_id, avg(gap) AS avg_days_between_rentals FROM (SEL
     "return_behaviour",
     f"""SELECT f.customer_id, count(*) FILTER (is_overdue) AS total_late_returns, count(*) FILTER (is_overdue)::DOUBLE / nullif(count(return_date), 0) AS late_return_rate,
         sum(CASE WHEN return_date IS NOT NULL THEN days_overdue END)::DOUBLE / nullif(count(return_date), 0) AS avg_return_delay_days, count(*) FILTER (return_date IS NULL) AS open_rentals,
-        sum(days_overdue)::BIGINT AS total_overdue_fees, any_value(g.avg_days_between_rentals) AS avg_days_between_rentals
+        count(*) FILTER (return_date IS NULL AND rental_date::DATE + 3 < {DAY}) AS overdue_rentals_current, sum(days_overdue)::BIGINT AS total_overdue_fees, any_value(g.avg_days_between_rentals) AS avg_days_between_rentals
         FROM fact f JOIN ({SQL_GAPS}) g ON f.customer_id = g.customer_id GROUP BY f.customer_id""",
 )
 def return_behaviour(spark, sf):
-    return m.return_behaviour(timed_rentals(spark, sf))
+    return m.return_behaviour(timed_rentals(spark, sf), b.as_of_date())
 
 
 @query(
     "churn_rule",
-    f"""SELECT g.customer_id, since AS days_since_last_rental, g.avg_days_between_rentals, CASE WHEN g.avg_days_between_rentals <> 0 THEN least(since / g.avg_days_between_rentals / 4, 1.0) END AS churn_risk_score
+    f"""SELECT g.customer_id, since AS days_since_last_rental, g.avg_days_between_rentals, CASE WHEN g.avg_days_between_rentals <> 0 THEN least(since / g.avg_days_between_rentals / 4, 1.0) END AS churn_risk_score,
+        CASE WHEN g.avg_days_between_rentals IS NOT NULL THEN greatest(ceil(g.avg_days_between_rentals - since), 0)::INT END AS next_rental_prediction_days
         FROM ({SQL_GAPS}) g JOIN (SELECT customer_id, date_diff('day', max(rental_date)::DATE, {DAY})::INT AS since FROM rental GROUP BY ALL) s ON g.customer_id = s.customer_id""",
 )
 def churn_rule(spark, sf):
@@ -616,17 +618,43 @@ def top_category(spark, sf):
     "SELECT store_id, count(DISTINCT customer_id) AS customers, count(DISTINCT film_id) AS films FROM customer_payment GROUP BY ALL",
 )
 def distinct_exact(spark, sf):
-    return b.customer_payment(spark, sf).groupBy("store_id").agg(
-        F.count_distinct("customer_id").alias("customers"), F.count_distinct("film_id").alias("films")
-    )
+    return distinct.distinct_counts(b.customer_payment(spark, sf), ["store_id"], {"customers": "customer_id", "films": "film_id"})
 
 
-@query("distinct_approx")
+@query(
+    "distinct_approx",
+    """SELECT store_id, count(DISTINCT customer_id) AS customers_exact, count(DISTINCT film_id) AS films_exact, TRUE AS customers_inside, TRUE AS films_inside FROM customer_payment GROUP BY ALL""",
+)
 def distinct_approx(spark, sf):
-    """Sketch-based variant for dashboards that can do with a few percent of error."""
-    return b.customer_payment(spark, sf).groupBy("store_id").agg(
-        F.approx_count_distinct("customer_id", 0.02).alias("customers"), F.approx_count_distinct("film_id", 0.02).alias("films")
-    )
+    """Estimates from sketches that were stored per store and month and united; are they inside their stated error."""
+    rows = b.customer_payment(spark, sf).withColumn("month", F.trunc("payment_date", "month"))
+    stored = pin(distinct.sketches(rows, ["store_id", "month"], {"customers": "customer_id", "films": "film_id"}), "sketches")
+    told = distinct.united(stored, ["store_id"], ["customers", "films"])
+    return distinct_exact(spark, sf).join(told, "store_id").select("store_id", *_inside("customers", "films"))
+
+
+def _inside(*names):
+    """Exact counts, and whether the estimate is within the error that is stated for it."""
+    exact = [F.col(n).alias(f"{n}_exact") for n in names]
+    return exact + [(F.abs(F.col(f"{n}_estimate") - F.col(n)) <= F.ceil(F.col(n) * distinct.error())).alias(f"{n}_inside") for n in names]
+
+
+@query(
+    "distinct_rolling",
+    """SELECT s.store_id, s.month, count(DISTINCT p.customer_id) AS customers_exact, TRUE AS customers_inside
+       FROM (SELECT DISTINCT store_id, date_trunc('month', payment_date)::DATE AS month FROM customer_payment) s
+       JOIN customer_payment p ON p.store_id = s.store_id AND p.payment_date >= s.month - INTERVAL 2 MONTH AND p.payment_date < s.month + INTERVAL 1 MONTH GROUP BY ALL""",
+)
+def distinct_rolling(spark, sf):
+    """Customers of the last three months at every month, from one stored sketch per store and month."""
+    rows = b.customer_payment(spark, sf).withColumn("month", F.trunc("payment_date", "month"))
+    stored = pin(distinct.sketches(rows, ["store_id", "month"], {"customers": "customer_id"}), "sketches")
+    told = distinct.rolling(stored, ["store_id"], "month", 3, ["customers"])
+    # The exact counts say how good the estimates are; they go over one row per customer and month.
+    seen = rows.select("store_id", "month", "customer_id").distinct()
+    shown = seen.withColumn("month", F.explode(F.array(*[F.add_months("month", k) for k in range(3)])))
+    exact = distinct.distinct_counts(shown, ["store_id", "month"], {"customers": "customer_id"})
+    return told.join(exact, ["store_id", "month"]).select("store_id", "month", *_inside("customers"))
 
 
 # --- silver --------------------------------------------------------------------------

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from catalog import binding as b
 from catalog.registry import query
 from stratalake.operators import cdc, reference, temporal
-from stratalake.plans.changes import ingest_changes
-from stratalake.session import fresh_path
+from stratalake.plans import versions
+from stratalake.plans.changes import ingest_changes, read_log
+from stratalake.session import fresh_path, pin
 from stratalake.sources import sinks, tables
+from stratalake.sources.keyed import KeyedTable
 
 NOW = f"TIMESTAMP '{b.AS_OF_TIME}'"
 OPEN = f"TIMESTAMP '{temporal.OPEN_END}'"
@@ -54,7 +56,7 @@ def cdc_ingest(spark, sf):
     parts = {"batch_1": rentals.where(F.col("rental_date") < cut), "batch_2": rentals.where(F.col("rental_date") >= cut)}
     for batch in ("batch_1", "batch_2", "batch_2"):
         ingest_changes(parts[batch], path, batch, ["rental_date", "rental_id"], op, F.col("rental_date"), ["rental_id", "return_date"])
-    return spark.read.parquet(path).select("lsn", "op", cdc.field("rental_id").alias("rental_id"))
+    return read_log(spark, path).select("lsn", "op", cdc.value("rental_id").alias("rental_id"))
 
 
 @query("high_watermark", "SELECT max(lsn) AS high_watermark FROM change_log WHERE load_ts < TIMESTAMP '2024-01-20 12:00:00'")
@@ -113,7 +115,9 @@ def op_distribution(spark, sf):
     "SELECT date_trunc('month', (full_row::JSON->>'at')::TIMESTAMP)::DATE AS month, sum((full_row::JSON->>'amount')::DECIMAL(18,4))::DOUBLE AS revenue, count(*) AS inserts FROM change_log WHERE op = 'I' GROUP BY ALL",
 )
 def json_revenue(spark, sf):
-    return cdc.inserted_revenue(log(spark, sf), "amount", "at")
+    """Payloads are parsed when the log lands and read by path from then on."""
+    entries, _ = cdc.parsed(log(spark, sf))
+    return cdc.inserted_revenue(pin(entries, "landed"), "amount", "at")
 
 
 SQL_BROKEN = """SELECT lsn, op, load_ts, CASE lsn % 10 WHEN 0 THEN '[' || full_row || ']' WHEN 1 THEN substr(full_row, 2) WHEN 2 THEN NULL ELSE full_row END AS full_row FROM change_log"""
@@ -124,6 +128,16 @@ def _broken(spark, sf):
     return log(spark, sf).selectExpr("lsn", "op", "load_ts", f"{payload} AS full_row")
 
 
+@query(
+    "payload_quarantine",
+    f"""SELECT lsn, op, CASE WHEN full_row IS NULL THEN 'no payload' ELSE 'no object' END AS fault
+        FROM ({SQL_BROKEN}) WHERE full_row IS NULL OR NOT json_valid(full_row) OR json_type(full_row) <> 'OBJECT'""",
+)
+def payload_quarantine(spark, sf):
+    _, faulty = cdc.parsed(_broken(spark, sf))
+    return faulty.select("lsn", "op", "fault")
+
+
 @query("json_valid", f"SELECT lsn, coalesce(CASE WHEN json_valid(full_row) THEN json_type(full_row) = 'OBJECT' ELSE FALSE END, FALSE) AS is_object FROM ({SQL_BROKEN})")
 def json_valid(spark, sf):
     return _broken(spark, sf).select("lsn", cdc.is_object(F.col("full_row")).alias("is_object"))
@@ -194,6 +208,27 @@ def scd2_merge(spark, sf):
     return temporal.scd2_merge(old, source, "user_id", ["kind", "amount"], b.as_of_time(), close_missing=True)
 
 
+@query(
+    "scd2_merge_stored",
+    f"""WITH {SQL_SPLIT}
+        SELECT user_id, kind, amount::DOUBLE AS amount, sys_start, sys_end FROM hist_cut WHERE sys_end <> {OPEN}
+        UNION ALL SELECT h.user_id, h.kind, h.amount::DOUBLE, h.sys_start, CASE WHEN s.user_id IS NULL OR s.kind IS DISTINCT FROM h.kind OR s.amount IS DISTINCT FROM h.amount THEN {NOW} ELSE h.sys_end END
+          FROM hist_cut h LEFT JOIN src s ON h.user_id = s.user_id WHERE h.sys_end = {OPEN}
+        UNION ALL SELECT s.user_id, s.kind, s.amount::DOUBLE, {NOW}, {OPEN} FROM src s LEFT JOIN (SELECT * FROM hist_cut WHERE sys_end = {OPEN}) h ON h.user_id = s.user_id
+          WHERE h.user_id IS NULL OR s.kind IS DISTINCT FROM h.kind OR s.amount IS DISTINCT FROM h.amount""",
+)
+def scd2_merge_stored(spark, sf):
+    """The same merge on a keyed table: two batches of the log, then a snapshot; each writes what changed."""
+    entries = log(spark, sf).withColumnRenamed("event_type", "kind").where(F.col("load_ts") < b.as_of_time())
+    half = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    table = KeyedTable(spark, fresh_path(spark, "history"), ["user_id"], buckets=16)
+    for part in (F.col("load_ts") < half, F.col("load_ts") >= half):
+        versions.extend_history(table, entries.where(part), "user_id", "lsn", "load_ts", ["kind", "amount"])
+    _, source = _split(spark, sf)
+    versions.merge_snapshot(table, source, "user_id", ["kind", "amount"], b.as_of_time(), close_missing=True)
+    return versions.history(table)
+
+
 @query(
     "bitemporal_history",
     f"""SELECT user_id, lsn, amount::DOUBLE AS amount, effective_from, effective_to, system_from, system_to, operation_type, effective_from < effective_to AND system_from < system_to AS is_valid_range FROM (

@@ -69,18 +69,39 @@ def running_revenue(spark, sf):
     return kpi.running_revenue(hourly(spark, sf)).select("kpi_timestamp", "store_id", "revenue_per_minute", "revenue_today")
 
 
+SQL_COMPARED = """(SELECT *, (revenue_per_minute::DOUBLE - base_r) / nullif(base_r, 0) * 100 AS revenue_vs, (event_count::DOUBLE - base_n) / nullif(base_n, 0) * 100 AS activity_vs,
+        seen::DOUBLE / least(24, floor(date_diff('microsecond', first_slot, kpi_timestamp) / 3600000000) + 1) * 100 AS complete
+      FROM (SELECT *, sum(revenue_per_minute) OVER day::DOUBLE / nullif(count(*) OVER day, 0) AS base_r, sum(event_count) OVER day::DOUBLE / nullif(count(*) OVER day, 0) AS base_n,
+          min(kpi_timestamp) OVER (PARTITION BY store_id ORDER BY kpi_timestamp) AS first_slot,
+          count(*) OVER (PARTITION BY store_id ORDER BY kpi_timestamp RANGE BETWEEN INTERVAL 86399999999 MICROSECOND PRECEDING AND CURRENT ROW) AS seen
+        FROM kpi_hour WHERE kpi_timestamp >= TIMESTAMP '2024-01-18 00:00:00' AND kpi_timestamp <= TIMESTAMP '{at}'
+        WINDOW day AS (PARTITION BY store_id ORDER BY kpi_timestamp RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)))""".replace("{at}", b.AS_OF_TIME)
+
+
+@query(
+    "kpi_vs_baseline",
+    f"SELECT kpi_timestamp, store_id, revenue_vs AS revenue_vs_baseline_percent, activity_vs AS activity_vs_baseline_percent, complete AS data_completeness_percent FROM {SQL_COMPARED}",
+)
+def kpi_vs_baseline(spark, sf):
+    slots = hourly(spark, sf, "2024-01-18 00:00:00", "2024-01-20 13:00:00").where(F.col("kpi_timestamp") <= b.as_of_time())
+    names = ["revenue_vs_baseline_percent", "activity_vs_baseline_percent", "data_completeness_percent"]
+    return kpi.with_comparisons(slots, 60).select("kpi_timestamp", "store_id", *names)
+
+
 @query(
     "store_dashboard",
     f"""SELECT s.store_id, s.address AS store_address, s.manager_name, k.kpi_timestamp, coalesce(k.rentals_per_minute, 0) AS current_rentals_per_minute,
         coalesce(k.revenue_per_minute, 0)::DOUBLE AS current_revenue_per_minute, coalesce(k.active_customers_count, 0) AS active_customers,
         coalesce((SELECT sum(d.revenue_per_minute) FROM kpi_hour d WHERE d.store_id = s.store_id AND d.kpi_timestamp::DATE = k.kpi_timestamp::DATE AND d.kpi_timestamp <= k.kpi_timestamp), 0)::DOUBLE AS revenue_today,
         coalesce(k.has_active_alerts, FALSE) AS has_alerts, coalesce(k.critical_alert_count, 0) AS critical_alerts, coalesce(k.warning_alert_count, 0) AS warning_alerts,
-        coalesce(k.inventory_utilization_percent, 0) AS inventory_utilization, coalesce(k.error_rate_percent, 0) AS error_rate, coalesce(k.last_updated, {NOW}) AS last_updated
-        FROM store s LEFT JOIN kpi_hour k ON s.store_id = k.store_id AND k.kpi_timestamp >= {NOW} - INTERVAL 18 HOUR AND k.kpi_timestamp <= {NOW} WHERE s.is_active""",
+        coalesce(k.inventory_utilization_percent, 0) AS inventory_utilization, coalesce(k.error_rate_percent, 0) AS error_rate, coalesce(k.last_updated, {NOW}) AS last_updated,
+        0.0::DOUBLE AS system_response_time, coalesce(k.revenue_vs, 0) AS revenue_vs_baseline, coalesce(k.activity_vs, 0) AS activity_vs_baseline, coalesce(k.complete, 100) AS data_quality
+        FROM store s LEFT JOIN {SQL_COMPARED} k ON s.store_id = k.store_id AND k.kpi_timestamp >= {NOW} - INTERVAL 18 HOUR AND k.kpi_timestamp <= {NOW} WHERE s.is_active""",
 )
 def store_dashboard(spark, sf):
     stores = b.store(spark, sf).withColumnRenamed("address", "store_address")
-    return kpi.store_dashboard(stores, hourly(spark, sf, "2024-01-19 00:00:00", "2024-01-20 13:00:00"), b.as_of_time(), "18 HOURS")
+    slots = hourly(spark, sf, "2024-01-18 00:00:00", "2024-01-20 13:00:00")
+    return kpi.store_dashboard(stores, slots, b.as_of_time(), "18 HOURS", width_minutes=60)
 
 
 @query(

@@ -63,6 +63,34 @@ def lag_report(log: DataFrame, table: str, as_of: Column, limit_minutes: int = 1
     return seen.withColumn("alert_required", F.col("lag_minutes") > limit_minutes)
 
 
+# The parsed payload of a landed entry.
+PARSED = "row"
+
+
+def parsed(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries with their payload parsed once, as VARIANT column ``row``, and the faulty ones with the reason.
+
+    Only objects are payloads. What is stored is read by path later, whatever fields it has.
+    """
+    row = F.try_parse_json("full_row")
+    fault = (
+        F.when(F.col("full_row").isNull(), "no payload")
+        .when(~F.coalesce(F.schema_of_variant(PARSED).startswith("OBJECT"), F.lit(False)), "no object")
+    )
+    told = log.withColumn(PARSED, row).withColumn("fault", fault)
+    return told.where("fault IS NULL").drop("fault"), told.where("fault IS NOT NULL").drop(PARSED)
+
+
+def value(name: str, kind: str = "string") -> Column:
+    """One field of a parsed payload, tolerantly cast; NULL where it is absent."""
+    return F.try_variant_get(PARSED, f"$.{name}", "string").try_cast(kind)
+
+
+def payload_schema(entries: DataFrame) -> DataFrame:
+    """The schema that all parsed payloads fit together, inferred in one aggregate."""
+    return entries.agg(F.schema_of_variant_agg(PARSED).alias("payload_schema"))
+
+
 def is_object(full_row: Column) -> Column:
     """Whether the text is a JSON object."""
     return F.coalesce(F.schema_of_variant(F.try_parse_json(full_row)).startswith("OBJECT"), F.lit(False))
@@ -100,14 +128,9 @@ def validate(log: DataFrame, table: str) -> DataFrame:
     )
 
 
-def field(name: str, kind: str = "string") -> Column:
-    """One field of the payload, tolerantly cast."""
-    return F.get_json_object("full_row", f"$.{name}").try_cast(kind)
-
-
-def inserted_revenue(log: DataFrame, amount: str, at: str) -> DataFrame:
-    """Monthly revenue straight from the payloads of inserts."""
-    inserts = log.where(F.col("op") == "I")
-    return inserts.groupBy(F.trunc(field(at, "timestamp"), "month").alias("month")).agg(
-        F.sum(field(amount, "decimal(18,4)")).alias("revenue"), F.count(F.lit(1)).alias("inserts")
+def inserted_revenue(entries: DataFrame, amount: str, at: str) -> DataFrame:
+    """Monthly revenue straight from the parsed payloads of inserts."""
+    inserts = entries.where(F.col("op") == "I")
+    return inserts.groupBy(F.trunc(value(at, "timestamp"), "month").alias("month")).agg(
+        F.sum(value(amount, "decimal(18,4)")).alias("revenue"), F.count(F.lit(1)).alias("inserts")
     )

@@ -138,16 +138,47 @@ def running_revenue(kpis: DataFrame) -> DataFrame:
     )
 
 
+def with_comparisons(kpis: DataFrame, width_minutes: int, hours: int = 24) -> DataFrame:
+    """Each slot against the same store's slots of the ``hours`` before it.
+
+    Revenue and activity in percent above the mean of those slots (NULL without any), and how many
+    of the slots expected up to now, since the store's first one, hold data. Windows hold as many
+    rows as the clock allows. ``avg_response_time_ms`` stays NULL where events carry no such time.
+    """
+    at = F.unix_micros("kpi_timestamp")
+    span, step = hours * 3_600_000_000, width_minutes * 60_000_000
+    line = Window.partitionBy("store_id").orderBy(at)
+    before = line.rangeBetween(-span, -1)
+
+    def against(name: str) -> Column:
+        base = per(F.sum(name).over(before), F.count(name).over(before))
+        return per(F.col(name).cast("double") - base, base) * 100
+
+    first = F.min(at).over(line.rowsBetween(Window.unboundedPreceding, 0))
+    expected = F.least(F.lit(span // step), F.floor((at - first) / step) + 1)
+    observed = F.count(F.lit(1)).over(line.rangeBetween(-span + 1, 0))
+    extra = {} if "avg_response_time_ms" in kpis.columns else {"avg_response_time_ms": F.lit(None).cast("double")}
+    return kpis.withColumns(
+        {
+            "revenue_vs_baseline_percent": against("revenue_per_minute"),
+            "activity_vs_baseline_percent": against("event_count"),
+            "data_completeness_percent": per(observed, expected) * 100,
+            **extra,
+        }
+    )
+
+
 def store_dashboard(
-    stores: DataFrame, kpis: DataFrame, as_of: Column, window: str = "5 minutes", published: bool = False
+    stores: DataFrame, kpis: DataFrame, as_of: Column, window: str = "5 minutes", published: bool = False, width_minutes: int = 1
 ) -> DataFrame:
     """Active stores with their recent KPI slots; a silent store shows zeros.
 
     ``revenue_today`` counts from the start of the day; with ``published`` it counts from the
-    start of the window only, as the published view does. The time limit of the join is
-    applied before it, where it prunes the KPI scan.
+    start of the window only, as the published view does. Comparisons look a day back from each
+    slot. The time limit of the join is applied before it, where it prunes the KPI scan.
     """
     slot, began = F.col("kpi_timestamp"), as_of - F.expr(f"INTERVAL {window}")
+    kpis = with_comparisons(kpis.where(slot <= as_of), width_minutes)
     known = kpis.where((slot >= (began if published else F.date_trunc("day", began))) & (slot <= as_of))
     joined = stores.where("is_active").join(running_revenue(known).where(slot >= began), "store_id", "left")
     zero = F.lit(0)
@@ -165,6 +196,10 @@ def store_dashboard(
         F.coalesce("warning_alert_count", zero).alias("warning_alerts"),
         F.coalesce("inventory_utilization_percent", F.lit(0.0)).alias("inventory_utilization"),
         F.coalesce("error_rate_percent", F.lit(0.0)).alias("error_rate"),
+        F.coalesce("avg_response_time_ms", F.lit(0.0)).alias("system_response_time"),
+        F.coalesce("revenue_vs_baseline_percent", F.lit(0.0)).alias("revenue_vs_baseline"),
+        F.coalesce("activity_vs_baseline_percent", F.lit(0.0)).alias("activity_vs_baseline"),
+        F.coalesce("data_completeness_percent", F.lit(100.0)).alias("data_quality"),
         F.coalesce("last_updated", as_of).alias("last_updated"),
     )
 

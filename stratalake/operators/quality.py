@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.cleanse import apply_rule
 from stratalake.functions.measures import mean
+from stratalake.operators.distinct import distinct_counts
 
 
 def completeness(df: DataFrame, required: Sequence[str], penalty: str = "0.2") -> Column:
@@ -77,14 +78,18 @@ def fact_check(fact: DataFrame, keys: Mapping[str, str], revenue: str, rate: str
 
     ``exact=False`` estimates the distinct keys, which spares the shuffle of every key.
     """
-    count = F.count_distinct if exact else F.approx_count_distinct
-    distinct = [count(F.col(src)).alias(new) for new, src in keys.items()]
-    return fact.agg(
+    figures = [
         F.count(F.lit(1)).alias("total_facts"),
-        *distinct,
         F.count_if(F.col(revenue) > 0).alias("revenue_facts"),
         mean(F.col(rate)).alias("avg_rate"),
-    )
+    ]
+    if not exact:
+        estimates = [F.approx_count_distinct(src).alias(new) for new, src in keys.items()]
+        return fact.agg(*figures, *estimates).select("total_facts", *keys, "revenue_facts", "avg_rate")
+    # Two one-row frames; without facts the second has no row.
+    counted = distinct_counts(fact, [], keys).withColumn("_one", F.lit(1))
+    whole = fact.agg(*figures).withColumn("_one", F.lit(1)).join(counted, "_one", "left")
+    return whole.select("total_facts", *[F.coalesce(k, F.lit(0)).alias(k) for k in keys], "revenue_facts", "avg_rate")
 
 
 def score_check(df: DataFrame, score: str, threshold: str = "0.8") -> DataFrame:

@@ -7,23 +7,18 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stratalake.operators import cdc
 from stratalake.plans.pipeline import observe_counts
 from stratalake.sources.sinks import write_append
 
 
-_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
-
-
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The log with its batch ids as they were written; ``000000000002`` stays a word."""
-    before = spark.conf.get(_INFERENCE)
-    spark.conf.set(_INFERENCE, "false")
-    try:
-        return spark.read.parquet(path)
-    finally:
-        spark.conf.set(_INFERENCE, before)
+    found = spark.read.parquet(path).schema
+    kinds = [StructField(f.name, StringType()) if f.name == "batch_id" else f for f in found]
+    return spark.read.schema(StructType(kinds)).parquet(path)
 
 
 def last_number(spark: SparkSession, path: str, batch_id: str) -> int:
@@ -49,10 +44,11 @@ def ingest_changes(
 ) -> int:
     """Append the changed rows to the log at ``path`` and return how many there were.
 
-    Batch ids must be words that sort by time. A repeated batch counts from the batches
+    The payload is stored as text and, parsed once, as VARIANT. Batch ids must be words that sort by time. A repeated batch counts from the batches
     before it, gets the same numbers and replaces itself.
     """
     start = last_number(changed.sparkSession, path, batch_id)
-    entries, seen = observe_counts(cdc.to_change_log(changed, order, op, load_ts, start, columns), f"changes {batch_id}")
+    built, _ = cdc.parsed(cdc.to_change_log(changed, order, op, load_ts, start, columns))  # what we build is an object
+    entries, seen = observe_counts(built, f"changes {batch_id}")
     write_append(entries, path, batch_id)
     return seen.get["rows"]

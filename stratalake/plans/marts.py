@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.measures import mean, per, ratio, whole_days
+from stratalake.operators.distinct import distinct_counts
 from stratalake.operators.joins import denormalize
 
 
@@ -90,6 +91,92 @@ def titles_by_rating(titles: DataFrame) -> DataFrame:
     )
 
 
+def store_scorecard(rentals: DataFrame, stores: DataFrame, films: DataFrame, payments: DataFrame) -> DataFrame:
+    """Daily store figures: revenue, rentals, customers, late returns, titles and mean rate."""
+    wide = denormalize(
+        rentals, [(films, {"film_id": "film_id"}, {"_rate": "rental_rate", "_allowed": "rental_duration"})]
+    ).where(F.col("_allowed").isNotNull())
+    wide = wide.join(_payments_per_rental(payments), "rental_id", "left").withColumn("_w", F.coalesce("_n", F.lit(1)))
+    out, back = F.to_date("rental_date"), F.to_date("return_date")
+    weight = F.col("_w")
+    late = back > F.date_add(out, F.col("_allowed"))
+    keys = ["store_id", "business_date"]
+    # First one row per store, day, customer and copy; the sums and both distinct counts go over these.
+    small = wide.withColumn("business_date", out).groupBy(*keys, "customer_id", "inventory_id").agg(
+        F.sum("_amount").alias("_amount"),
+        F.count(F.lit(1)).alias("_rentals"),
+        F.sum(F.when(late, weight).otherwise(0)).alias("_late"),
+        F.sum(F.when(back.isNotNull(), weight).otherwise(0)).alias("_back"),
+        F.sum(F.col("_rate") * weight).alias("_rates"),
+        F.sum(weight).alias("_weights"),
+    )
+    daily = small.groupBy(*keys).agg(
+        F.coalesce(F.sum("_amount"), F.lit(0)).cast("decimal(18,4)").alias("daily_revenue"),
+        F.sum("_rentals").alias("total_rentals"),
+        F.sum("_late").alias("late_returns"),
+        F.sum("_back").alias("completed_rentals"),
+        ratio(F.sum("_rates"), F.sum("_weights"), 2).alias("avg_rental_rate"),
+    )
+    counted = distinct_counts(small, keys, {"active_customers": "customer_id", "unique_titles_rented": "inventory_id"})
+    daily = daily.join(counted, keys)
+    place = stores.select("store_id", F.concat_ws(", ", "address", "city").alias("store_location"))
+    return grouped.join(place, "store_id")
+
+
+def month_over_month(revenue: DataFrame) -> DataFrame:
+    """Previous month and growth in percent per store; a store has one row per month."""
+    line = Window.partitionBy("store_id").orderBy("revenue_month")
+    rows = revenue.select("store_id", "revenue_month", "total_revenue", F.lag("total_revenue").over(line).alias("prev_month"))
+    moved = F.col("total_revenue") - F.col("prev_month")
+    return rows.withColumn("growth_pct", per(moved, F.col("prev_month")) * 100)
+
+
+def revenue_year_to_date(revenue: DataFrame, as_of: Column) -> DataFrame:
+    """Revenue per store since the start of the year of ``as_of``."""
+    month = F.col("revenue_month")
+    recent = revenue.where((month >= F.trunc(as_of, "year")) & (month <= as_of))
+    return recent.groupBy("store_id", "store_location").agg(F.sum("total_revenue").alias("ytd_revenue"))
+
+
+def top_titles(rentals: DataFrame, films: DataFrame, payments: DataFrame) -> DataFrame:
+    """Film performance per month: rentals, revenue, days out, open rentals, use per copy."""
+    paid = rentals.join(_payments_per_rental(payments), "rental_id")
+    days = whole_days(F.col("rental_date"), F.col("return_date"))
+    per_copy = paid.groupBy("film_id", F.trunc("rental_date", "month").alias("rental_month"), "inventory_id").agg(
+        F.sum("_n").alias("_rentals"),
+        F.sum("_amount").alias("_amount"),
+        F.sum(days * F.col("_n")).alias("_days"),
+        F.sum(F.when(days.isNotNull(), F.col("_n"))).alias("_closed"),
+        F.sum(F.when(F.col("return_date").isNull(), F.col("_n")).otherwise(0)).alias("_open"),
+    )
+    grouped = per_copy.groupBy("film_id", "rental_month").agg(
+        F.sum("_rentals").alias("total_rentals"),
+        F.sum("_amount").alias("total_revenue"),
+        per(F.sum("_amount"), F.sum("_rentals")).alias("avg_rental_revenue"),
+        per(F.sum("_days"), F.sum("_closed")).alias("avg_days_out"),
+        F.sum("_open").alias("currently_rented"),
+        ratio(F.sum("_rentals"), F.count("inventory_id"), 2).alias("utilization_rate"),
+    )
+    return grouped.join(films.select("film_id", "title", "rating", "rental_rate"), "film_id")
+
+
+def top_titles_of_quarter(titles: DataFrame, as_of: Column, k: int = 10) -> DataFrame:
+    """The ``k`` most rented films since the start of the quarter of ``as_of``."""
+    start = F.trunc(as_of, "quarter")
+    recent = titles.where((F.col("rental_month") >= start) & (F.col("rental_month") <= as_of))
+    totals = recent.groupBy("film_id", "title").agg(F.sum("total_rentals").alias("quarterly_rentals"))
+    return totals.orderBy(F.desc("quarterly_rentals"), "film_id").limit(k)
+
+
+def titles_by_rating(titles: DataFrame) -> DataFrame:
+    """Averages of the monthly film figures per rating."""
+    return titles.groupBy("rating").agg(
+        F.round(F.avg("avg_rental_revenue"), 4).alias("avg_revenue_per_rental"),
+        F.round(F.avg("avg_days_out"), 6).alias("avg_rental_duration"),
+        F.sum("total_rentals").alias("total_rentals"),
+    )
+
+
 def store_scorecard(rentals: DataFrame, stores: DataFrame, films: DataFrame, payments: DataFrame) -> DataFrame:
     """Daily store figures: revenue, rentals, customers, late returns, titles and mean rate."""
     wide = denormalize(

@@ -76,8 +76,9 @@ def _gap() -> Column:
     return per(F.date_diff(F.max(F.to_date("rental_date")), F.min(F.to_date("rental_date"))), F.count(F.lit(1)) - 1)
 
 
-def return_behaviour(fact: DataFrame, fee_per_day: int = 1) -> DataFrame:
-    """Late returns, their rate, mean delay, open rentals and mean days between rentals."""
+def return_behaviour(fact: DataFrame, as_of: Column, fee_per_day: int = 1) -> DataFrame:
+    """Late returns, their rate, mean delay, open and currently overdue rentals, mean days between rentals."""
+    due = F.date_add(F.to_date("rental_date"), F.col("rental_duration_planned"))
     late = F.col("is_overdue")
     delay = F.when(F.col("is_returned"), F.col("days_overdue"))
     return fact.groupBy("customer_id").agg(
@@ -85,19 +86,29 @@ def return_behaviour(fact: DataFrame, fee_per_day: int = 1) -> DataFrame:
         per(F.count_if(late), F.count_if(F.col("is_returned"))).alias("late_return_rate"),
         per(F.sum(delay), F.count(delay)).alias("avg_return_delay_days"),
         F.count_if(~F.col("is_returned")).alias("open_rentals"),
+        F.count_if(~F.col("is_returned") & (due < as_of)).alias("overdue_rentals_current"),
         (F.sum("days_overdue") * fee_per_day).alias("total_overdue_fees"),
         _gap().alias("avg_days_between_rentals"),
     )
 
 
 def churn_rule(fact: DataFrame, as_of: Column) -> DataFrame:
-    """Recency in units of the customer's own mean gap, capped at 1 after four gaps; NULL without a gap."""
+    """Recency in units of the customer's own mean gap, capped at 1 after four gaps; NULL without a gap.
+
+    The next rental is expected one mean gap after the last, in whole days from ``as_of`` and not before it.
+    """
     seen = fact.groupBy("customer_id").agg(
         F.date_diff(as_of, F.to_date(F.max("rental_date"))).alias("days_since_last_rental"),
         _gap().alias("avg_days_between_rentals"),
     )
     gaps = per(F.col("days_since_last_rental"), F.col("avg_days_between_rentals"))
-    return seen.withColumn("churn_risk_score", F.when(gaps.isNotNull(), F.least(gaps / 4, F.lit(1.0))))
+    left = F.ceil(F.col("avg_days_between_rentals") - F.col("days_since_last_rental"))
+    return seen.withColumns(
+        {
+            "churn_risk_score": F.when(gaps.isNotNull(), F.least(gaps / 4, F.lit(1.0))),
+            "next_rental_prediction_days": F.when(left.isNotNull(), F.greatest(left, F.lit(0))).cast("int"),
+        }
+    )
 
 
 def value_rank(metrics: DataFrame, value: str = "total_revenue") -> DataFrame:

@@ -117,3 +117,22 @@ def test_invariants_on_tables(spark, small):
     assert fact.count() == binding.rental(spark, small).count()
     total = fact.agg(F.sum("revenue_amount")).first()[0]
     assert gold.metrics(spark, small).agg(F.sum("total_revenue")).first()[0] == total
+
+
+def test_distinct_counts_and_mergeable_sketches(spark):
+    from stratalake.operators import distinct
+
+    rows = spark.range(60_000).selectExpr("id % 3 AS k", "id % 7919 AS a", "if(id % 5 = 0, NULL, id % 11) AS b", "add_months(DATE '2024-01-01', cast(id % 4 AS int)) AS m")
+    rows = rows.unionByName(rows.limit(1).selectExpr("cast(NULL AS bigint) AS k", "1L AS a", "cast(NULL AS bigint) AS b", "m"))
+    got = distinct.distinct_counts(rows, ["k"], {"as": "a", "bs": "b"})
+    want = rows.groupBy("k").agg(F.count_distinct("a").alias("as"), F.count_distinct("b").alias("bs"))
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    assert distinct.distinct_counts(rows, [], {"n": "a"}).first() == (7919,)
+    assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+    stored = distinct.sketches(rows, ["k", "m"], {"as": "a"})
+    for r in distinct.united(stored, ["k"], ["as"]).join(want.where("k IS NOT NULL"), "k").collect():
+        assert abs(r.as_estimate - r["as"]) <= distinct.error() * r["as"]
+    whole = distinct.rolling(stored, ["k"], "m", 4, ["as"])
+    last = rows.where("k = 0").agg(F.max("m")).first()[0]
+    (three,) = whole.where("k = 0").where(F.col("m") == F.lit(last)).collect()
+    assert abs(three.as_estimate - 7919) <= distinct.error() * 7919

@@ -276,3 +276,13 @@ def test_surrogate_keys_are_apart(spark):
     values = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("-", "c"), ("1:a", "c")]
     df = spark.createDataFrame(values, "x string, y string").select(surrogate_key("e", "x", "y").alias("k"))
     assert df.distinct().count() == len(values)
+
+
+def test_payloads_are_parsed_once_and_faulty_ones_told(spark):
+    rows = [(1, "I", '{"a": 1, "b": {"c": "x"}}'), (2, "U", "[1]"), (3, "U", "{broken"), (4, "D", None), (5, "I", '{"a": "no number"}'), (6, "I", "{}")]
+    good, bad = cdc.parsed(spark.createDataFrame(rows, "lsn long, op string, full_row string"))
+    assert dict(good.dtypes)["row"] == "variant"
+    got = good.select("lsn", cdc.value("a", "int").alias("a"), cdc.value("b.c").alias("c")).collect()
+    assert {tuple(r) for r in got} == {(1, 1, "x"), (5, None, None), (6, None, None)}
+    assert {(r.lsn, r.fault) for r in bad.collect()} == {(2, "no object"), (3, "no object"), (4, "no payload")}
+    assert cdc.payload_schema(good.where("lsn = 1")).first()[0] == "OBJECT<a: BIGINT, b: OBJECT<c: STRING>>"
