@@ -11,7 +11,7 @@ N-grams run over lower-cased letters, everything else counts as one space. They
 2^20 slots; a text has far fewer n-grams, so that few share a slot.
 
 Learning reads a bounded sample: per language ``TRAIN`` divided by the number of languages
-labelled texts of any length, the smallest hashes of the id, and of a text with more than
+different labelled texts of any length, those of the smallest hashes, and of a text with more than
 ``TRAIN_CHARS`` characters that many, in ``PIECES`` pieces spread over its letters. Of more than
 ``TRAIN`` languages the ones with the most texts are learned. Prediction reads every text whole.
 
@@ -163,23 +163,22 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     # A row without an id cannot be told to be held out.
     rows = rows.where(F.col("_key").isNotNull() & ~held_out(F.col("_key")) & F.col("_lang").isNotNull())
     rows = rows.where(F.col("_text").rlike(r"\p{L}"))
-    most = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(TRAIN)
+    # One row per language and text: copies, and repeated rows, must not fill the sample.
+    digest = F.xxhash64("_text", F.lit(4)).alias("_digest")
+    once = pin(rows.select("_lang", digest, "_key").groupBy("_lang", "_digest").agg(F.min("_key").alias("_key")), "texts")
+    most = once.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(TRAIN)
     languages = sorted(r[0] for r in most.collect())
-    if len(languages) == TRAIN:
-        rows = rows.where(F.col("_lang").isin(languages))
     each = max(1, TRAIN // max(1, len(languages)))
-    keys = rows.select("_lang", F.xxhash64("_key", F.lit(4)).alias("_h"), "_key")
-    in_language = F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_key"))
-    # The chosen keys are at most TRAIN; texts are only read for them.
-    chosen = pin(keys.withColumn("_n", in_language).where(F.col("_n") <= each).select("_key").distinct(), "sample")
-    # Slots before the order, so that no long texts are sorted.
-    sample = rows.join(F.broadcast(chosen), "_key", "left_semi").select("_key", "_lang", _slots("_text").alias("_slots"))
-    sample = sample.orderBy(F.xxhash64("_key", F.lit(4)), "_key", "_lang", "_slots")
-    learned = sample.limit(TRAIN).select("_lang", "_slots").collect()
+    known = F.broadcast(most.select("_lang"))  # TRAIN rows at most
+    in_language = F.row_number().over(Window.partitionBy("_lang").orderBy("_digest"))
+    # The chosen texts are at most TRAIN; they are only read for their slots.
+    chosen = once.join(known, "_lang", "left_semi").withColumn("_n", in_language).where(F.col("_n") <= each)
+    sample = rows.withColumn("_digest", digest).join(F.broadcast(pin(chosen, "sample")), ["_lang", "_digest", "_key"])
+    sample = sample.dropDuplicates(["_lang", "_n"]).select("_lang", "_n", _slots("_text").alias("_slots"))
+    learned = sorted(sample.collect(), key=lambda r: (r["_n"], r["_lang"]))
     place = {name: i for i, name in enumerate(languages)}
-    kept = [r for r in learned if r[0] in place]
-    labels = np.array([place[r[0]] for r in kept], np.int64)
-    return fit(languages, labels, [np.array(r[1], np.int64) for r in kept])
+    labels = np.array([place[r["_lang"]] for r in learned], np.int64)
+    return fit(languages, labels, [np.array(r["_slots"], np.int64) for r in learned])
 
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> Column:

@@ -1,5 +1,6 @@
 """Held-out accuracy of the language model, and the pipeline against its stages by hand."""
 
+import random
 import zlib
 
 import pytest
@@ -102,3 +103,20 @@ def test_empty_table_passes(spark, docs):
 
 def test_run(spark, small):
     assert corpus_pipeline.run(spark, small).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_repeated_rows_teach_once(spark):
+    """One labelled row a thousand times, under its id and under others, changes no prediction."""
+    rng = random.Random(8)
+    syllables = {"x": ["ba", "bo", "bu"], "y": ["ke", "ki", "ko"], "z": ["sa", "tu", "lo"]}
+    rows = [(i, " ".join("".join(rng.choices(syllables[lang], k=3)) for _ in range(30)), lang) for i in range(300) for lang in [rng.choice("xyz")]]
+    first = next(r for r in rows if r[2] == "x" and zlib.crc32(str(r[0]).encode()) % 4 != 2)
+    again = rows + [first] * 1500 + [(1000 + i, first[1], "x") for i in range(500)]
+
+    def told(table):
+        docs = spark.createDataFrame(table, "doc_id long, text string, lang string").repartition(4)
+        return {(r.doc_id, r.lang_pred, round(r.score, 4)) for r in language.identify(docs).collect() if r.doc_id < 300}
+
+    want = told(rows)
+    assert {(i, lang) for i, lang, _ in want} == {(i, lang) for i, _, lang in rows}
+    assert told(again) == want
