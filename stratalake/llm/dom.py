@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 
 # Element groups of the HTML standard.
 BLOCKS = frozenset(
@@ -28,14 +29,16 @@ _CLOSES = {
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, _TABLES),
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, _TABLES),
 }
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))"  # comment
-    r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"  # start tag
+_REST = (
     r"|<([a-zA-Z][^\s/>]*+)([^>]*+)>"  # start tag with a stray quote
     r"|</([a-zA-Z][^\s/>]*+)[^>]*+>"  # end tag
-    r"|<[!?/][^>]*+(?:>|\Z)",  # doctype and the like
-    re.S,
+    r"|<[!?/][^>]*+>"  # doctype and the like
 )
+_COMMENT = r"<!--(?:>|->|.*?(?:--!?>|(\Z)))"
+_TAG = r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+_TOKEN = re.compile(_COMMENT + _TAG + _REST, re.S)
+# For the rest of a page with a quote that is never closed: quotes mean nothing there.
+_LOOSE = re.compile(_COMMENT + r"|(?!)()()" + _REST, re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
@@ -61,7 +64,8 @@ def parse(page: str) -> list[Node]:
     """Nodes in page order; node 0 is the page itself, every other has an earlier parent."""
     nodes = [Node("html", "", -1)]
     open_tags: list[tuple[str, int]] = [("html", 0)]  # tag, node of the nearest block
-    count = {"html": 1}
+    places: dict[str, list[int]] = {"html": [0]}  # where the open elements of a tag stand
+    blocks = [0]  # where the open blocks stand
     links = 0
     place = 0
 
@@ -79,33 +83,34 @@ def parse(page: str) -> list[Node]:
         nonlocal links, place
         while len(open_tags) > depth:
             tag, _ = open_tags.pop()
-            count[tag] -= 1
+            places[tag].pop()
             if tag == "a":
                 links -= 1
             elif tag in BLOCKS:
+                blocks.pop()
                 place += 1
 
     def close(tags: set[str], scope: frozenset[str]) -> None:
         """End open elements of ``tags`` up to the nearest one of ``scope``."""
-        if not any(count.get(t) for t in tags):
-            return
-        depth = None
-        for i in range(len(open_tags) - 1, 0, -1):
-            if open_tags[i][0] in scope:
-                break
-            if open_tags[i][0] in tags:
-                depth = i
-        if depth is not None:
-            pop(depth)
-
-    at = 0
-    while found := _TOKEN.search(page, at):
+        floor = max([places[t][-1] for t in scope if places.get(t)], default=0)
+        above = [own[i] for t in tags if (own := places.get(t)) and (i := bisect_right(own, floor)) < len(own)]
+        if above:
+            pop(min(above))
+
+    at, token = 0, _TOKEN
+    # No tag ends behind the last ">", so nothing is looked for there, again and again.
+    last = page.rfind(">") + 1
+    while found := token.search(page, at, last):
         text(page[at : found.start()])
         at = found.end()
-        tag = (found[1] or found[3] or "").lower()
+        if found[1] is not None:  # a comment that is not closed takes the rest
+            return nodes
+        if found[4]:
+            token = _LOOSE
+        tag = (found[2] or found[4] or "").lower()
         if tag:
-            attributes = found[2] or found[4] or ""
-            if tag in _ENDS_P and count.get("p"):
+            attributes = found[3] or found[5] or ""
+            if tag in _ENDS_P and places.get("p"):
                 close({"p"}, _SCOPE)
             if tag in _CLOSES:
                 close(*_CLOSES[tag])
@@ -115,7 +120,7 @@ def parse(page: str) -> list[Node]:
             if tag in VOID:
                 place += tag == "hr"
                 continue
-            if tag in ("html", "body") and count.get(tag):
+            if tag in ("html", "body") and places.get(tag):
                 continue
             block = tag in BLOCKS
             if block:
@@ -123,25 +128,25 @@ def parse(page: str) -> list[Node]:
                 place += 1
             if attributes.endswith("/") and not block:
                 continue
+            places.setdefault(tag, []).append(len(open_tags))
+            if block:
+                blocks.append(len(open_tags))
             open_tags.append((tag, len(nodes) - 1 if block else open_tags[-1][1]))
-            count[tag] = count.get(tag, 0) + 1
             links += tag == "a"
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
                 stop = end.start() if end else len(page)
                 text(page[at:stop])
                 at = stop
-        elif found[5] and count.get(tag := found[5].lower()):
+        elif found[6] and places.get(tag := found[6].lower()):
             if tag in ("html", "body"):
                 continue
-            depth = len(open_tags) - 1
-            while open_tags[depth][0] != tag:
-                depth -= 1
+            depth = places[tag][-1]
             # An inline end tag does not end blocks that were opened after it.
-            if tag in BLOCKS or not any(t in BLOCKS for t, _ in open_tags[depth + 1 :]):
+            if tag in BLOCKS or not (blocks and blocks[-1] > depth):
                 pop(depth)
-    rest = page[at:]
-    text(rest[: rest.rfind("<")] if re.search(r"<[a-zA-Z/][^<]*\Z", rest) else rest)
+    rest = page[at:].split("<!--")[0]
+    text(rest[: rest.rfind("<")] if re.search(r"<[a-zA-Z/!?][^<]*\Z", rest) else rest)
     return nodes
 
 

@@ -254,14 +254,30 @@ def main_text(page: str | None, model: Model) -> str:
 
 
 def labelled_sample(df: DataFrame, key: str, page: str) -> list[str]:
-    """At most ``SAMPLE`` whole pages that name their main text, by the hash of their id."""
+    """At most ``SAMPLE`` different whole pages that name their main text, the shortest kinds first.
+
+    Pages are ordered by how often their length doubles ``SAMPLE_CHARS`` and then by a hash, so long
+    ones only teach where there are no others; as many are taken as have ``SAMPLE`` times
+    ``SAMPLE_CHARS`` characters together, and one at least.
+    """
     rows = df.select(F.col(key).alias("_key"), F.col(page).cast("string").alias("_page"))
-    rows = rows.where(F.lower("_page").rlike("<(article|main)[ >]") & (F.length("_page") <= SAMPLE_CHARS))
-    order = [F.xxhash64("_key", F.lit(10)), F.col("_key")]
-    # Keys first, so that no pages are sorted; the chosen ones are at most SAMPLE.
-    chosen = F.broadcast(rows.select("_key").orderBy(*order).limit(SAMPLE).distinct())
-    pages = rows.join(chosen, "_key", "left_semi").orderBy(*order, "_page").limit(SAMPLE)
-    return [r[0] for r in pages.select("_page").collect()]
+    rows = rows.where(F.lower("_page").rlike("<(article|main)[ >]"))
+    size = F.length("_page")
+    folds = F.greatest(F.ceil(F.log2(size / F.lit(SAMPLE_CHARS))), F.lit(0))
+    digest = F.xxhash64("_page", F.lit(10))
+    # Digests first, so that no pages are sorted and repeated pages count once.
+    once = rows.select(digest.alias("_digest"), folds.alias("_folds"), size.alias("_size")).distinct()
+    first = once.orderBy("_folds", "_digest").limit(SAMPLE).collect()
+    chosen, total = [], 0
+    for row in first:
+        if chosen and total + row["_size"] > SAMPLE * SAMPLE_CHARS:
+            break
+        chosen.append(row["_digest"])
+        total += row["_size"]
+    if not chosen:
+        return []
+    pages = rows.withColumn("_digest", digest).where(F.col("_digest").isin(chosen)).dropDuplicates(["_digest"])
+    return [r["_page"] for r in sorted(pages.select("_digest", "_page").collect(), key=lambda r: chosen.index(r["_digest"]))]
 
 
 def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", model: Model | None = None) -> DataFrame:

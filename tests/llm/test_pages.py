@@ -4,10 +4,11 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import pytest
 
-from stratalake.llm import html_extract, queries, url_filter, warc
+from stratalake.llm import dom, html_extract, queries, url_filter, warc
 from stratalake.llm.dom import parse
 from stratalake.session import fresh_path
 
@@ -187,3 +188,24 @@ def test_long_and_deep_pages(spark):
     df = spark.createDataFrame([(1, "u", None, 5), (1, "u", f"<article><p>{LONG * 2000}</p></article>", 6)], "page_id long, url string, html string, text int")
     assert sorted(r.n_chars for r in html_extract.extract(df).collect()) == [0, len((LONG * 2000).strip())]
     assert html_extract.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    ['<a "' * 250_000, '<a "x>' * 160_000 + "y", "<p><button>" + "<div>" * 200_000, "<b><div>x</b>" * 80_000, "<!--" * 250_000,
+     "<a x='" * 160_000 + ">", "<li>" * 250_000, "<script>" * 120_000, "<td><p>" * 140_000],
+)
+def test_very_long_broken_pages_take_linear_time(page):
+    begun = time.process_time()
+    dom.parse(page)
+    assert time.process_time() - begun < 4
+
+
+def test_long_pages_teach_where_there_are_no_others(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "SAMPLE_CHARS", 100)
+    long = [(i, f"<html><body><article><p>{'word ' * (200 + i)}</p></article></body></html>") for i in range(5)]
+    short = [(10 + i, f"<article><p>a {i} b</p></article>") for i in range(3)]
+    made = lambda rows: html_extract.labelled_sample(spark.createDataFrame(rows * 3, "page_id long, html string"), "page_id", "html")
+    assert sorted(made(long)) == sorted(p for _, p in long)
+    assert sorted(made(long + short)[:3]) == sorted(p for _, p in short)
+    assert made([(1, "<p>none</p>")]) == []
