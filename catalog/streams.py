@@ -24,16 +24,22 @@ def _events(spark, sf):
     return business_events(b.raw_events(_raw(spark, sf)), b.EVENT_TYPES, "events")
 
 
-# Batches that the streams with state get the events in.
+# Slices that tables are landed in for the streams.
 _PARTS = 3
 
 
-def _replayed(spark, sf, order="ts"):
-    """The raw events in ``_PARTS`` slices of ``order`` and a heartbeat, a file set after the other."""
+def _arriving(spark, folder, schema):
+    """The files of a folder, half of them in each batch, so that state goes over from one to the next."""
+    files = len(spark.read.parquet(folder).inputFiles())
+    return ev.read_files(spark, folder, schema, "*.parquet", per_batch=-(-files // 2))
+
+
+def _replayed(spark, sf):
+    """The raw events in ``_PARTS`` slices of time and a heartbeat, a file set after the other."""
     folder = fresh_path(spark, "replay")
     raw = spark.read.parquet(f"{sf}/events.parquet")
     ev.replay(raw, "ts", "event_type", _PARTS, folder)
-    return ev.read_files(spark, folder, raw.schema, "*.parquet", per_batch=8)
+    return _arriving(spark, folder, raw.schema)
 
 
 def _replayed_events(spark, sf):
@@ -124,7 +130,7 @@ def stream_late_repair(spark, sf):
     raw.where(is_late).write.mode("append").parquet(folder)
 
     def landed():
-        return business_events(b.raw_events(ev.read_files(spark, folder, raw.schema, "*.parquet", per_batch=8)), b.EVENT_TYPES, "events")
+        return business_events(b.raw_events(_arriving(spark, folder, raw.schema)), b.EVENT_TYPES, "events")
 
     slots = kpis.minute_kpis(landed(), "1 hour", exact_customers=True)
     closed = _finish(spark, slots)
@@ -137,6 +143,29 @@ def stream_late_repair(spark, sf):
     return table.current()
 
 
+@query(
+    "stream_run_report",
+    """WITH landed AS (SELECT ts, event_id % 40 = 0 AS tardy FROM events), newest AS (SELECT max(ts) FILTER (NOT tardy) AS at_time FROM landed)
+       SELECT (SELECT count(*) FROM landed) AS events_read, count(*) AS put_aside FROM landed, newest
+       WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= newest.at_time + INTERVAL 2 DAY - INTERVAL 10 MINUTE""",
+)
+def stream_run_report(spark, sf):
+    """Rows that the batches of a stream read, as observed while they ran, and events put aside as late."""
+    raw = spark.read.parquet(f"{sf}/events.parquet")
+    folder, is_late = fresh_path(spark, "landed"), F.col("event_id") % 40 == 0
+    ev.replay(raw.where(~is_late), "ts", "event_type", _PARTS, folder)
+    raw.where(is_late).write.mode("append").parquet(folder)
+    # The heartbeat is in one batch with the late events or before them: both are read by then.
+    stream = business_events(b.raw_events(ev.read_files(spark, folder, raw.schema, "*.parquet")), b.EVENT_TYPES, "events")
+    aside = fresh_path(spark, "aside")
+    query = late.put_aside(late.observed(stream), aside, fresh_path(spark, "offsets"), "1 hour")
+    query.awaitTermination()
+    lines = spark.createDataFrame(late.run_report(query), late.REPORT)
+    put = spark.read.parquet(f"{aside}/late").agg(F.count("*").alias("put_aside")).withColumn("_one", F.lit(1))
+    read = lines.agg(F.sum("events").alias("events_read")).withColumn("_one", F.lit(1))
+    return read.join(put, "_one").drop("_one")
+
+
 def _entries(spark, sf):
     return _entries_of(_raw(spark, sf))
 

@@ -61,11 +61,28 @@ def repair(spark: SparkSession, path: str, events: DataFrame, table: KeyedTable,
     return bounds[2]
 
 
-def run_report(query: StreamingQuery) -> list[tuple[int, int, int, str | None]]:
-    """Per batch that read something: its number, rows read, rows dropped behind the watermark, watermark."""
+REPORT = "batch bigint, rows bigint, events bigint, dropped bigint, latest string, watermark string"
+_RUN = "run"
+
+
+def observed(stream: DataFrame) -> DataFrame:
+    """Count rows and events, and note the latest time, of every batch while it runs, without another pass."""
+    is_event = F.col("event_type") != HEARTBEAT
+    return stream.observe(
+        _RUN, F.count(F.lit(1)).alias("rows"), F.count_if(is_event).alias("events"), F.max(F.when(is_event, F.col("ts"))).alias("latest")
+    )
+
+
+def run_report(query: StreamingQuery) -> list[tuple]:
+    """A line of ``REPORT`` per batch of an observed stream.
+
+    ``dropped`` are the rows that stateful operators left out as behind the watermark, after they
+    were combined; the event time that a lag is measured from is the watermark of the batch.
+    """
     found = []
     for progress in query.recentProgress:
-        dropped = sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
-        if progress["numInputRows"] or dropped:
-            found.append((progress["batchId"], progress["numInputRows"], dropped, progress["eventTime"].get("watermark")))
+        seen = progress["observedMetrics"].get(_RUN)  # times come as text
+        if seen is not None:
+            dropped = sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
+            found.append((progress["batchId"], seen["rows"], seen["events"], dropped, seen["latest"] and str(seen["latest"]), progress["eventTime"].get("watermark")))
     return found

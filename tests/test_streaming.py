@@ -253,11 +253,12 @@ def test_late_events_are_put_aside_and_their_slots_mended(spark):
         return events.read_files(spark, folder, spark.createDataFrame([], EVENT).schema, "*.parquet", per_batch=1)
 
     name = "late_" + fresh_path(spark, "x")[-12:]
-    slots = kpis.minute_kpis(stream(), "5 minutes", "2 minutes", exact_customers=True)
+    slots = kpis.minute_kpis(late.observed(stream()), "5 minutes", "2 minutes", exact_customers=True)
     query = slots.writeStream.format("memory").queryName(name).option("checkpointLocation", fresh_path(spark, "c")).trigger(availableNow=True).start()
     query.awaitTermination()
     report = late.run_report(query)
-    assert sum(r[1] for r in report) == len(landed) and sum(r[2] for r in report) > 0
+    assert sum(r[1] for r in report) == len(landed) and sum(r[2] for r in report) == len(rows)
+    assert sum(r[3] for r in report) > 0 and spark.createDataFrame(report, late.REPORT).count() == len(report) >= 5
     closed_slots = spark.table(name)
     whole = spark.createDataFrame(rows, EVENT)
     want = kpi.minute_kpis(whole, "5 minutes")
