@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from stratalake.llm.workers import per_worker
+from stratalake.llm.workers import give_up_idle, per_worker
 from stratalake.session import pin
 
 LONGEST = 4
@@ -149,6 +149,7 @@ def excerpt(text: str) -> str:
 
 @F.arrow_udf(ArrayType(IntegerType()))
 def _slots(texts: pa.Array) -> pa.Array:
+    give_up_idle()
     return pa.array([ngram_slots(excerpt(t)).astype(np.int32) for t in texts.to_pylist()], pa.list_(pa.int32()))
 
 
@@ -188,6 +189,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> Column:
 
     @F.arrow_udf("struct<lang: string, score: double>")
     def tell(texts: pa.Array) -> pa.Array:
+        give_up_idle()
         names, values = sent.value.predict(texts.to_pylist())
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.float64())], ["lang", "score"])
 

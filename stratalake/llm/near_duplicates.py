@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType
 
 from stratalake.llm.components import components, joined_by_id, named_by_id, same_by_id
+from stratalake.llm.workers import give_up_idle
 from stratalake.session import fresh_path, pin, scratch, unpin
 
 WORDS = 5
@@ -141,6 +142,7 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            give_up_idle()
             sizes, digests, made = [], [], []
             for whole in batch.column(1).to_pylist():
                 words = word_list(whole)
@@ -159,6 +161,7 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
 
 @F.arrow_udf(ArrayType(LongType()))
 def _keys(column: pa.Array) -> pa.Array:
+    give_up_idle()
     keys = band_keys(_rows(column)).view(np.int64)
     return pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
 
@@ -172,6 +175,7 @@ def _estimate(one: pa.Array, other: pa.Array, n_one: pa.Array, n_other: pa.Array
 
 @F.arrow_udf(ArrayType(LongType()))
 def _shingle_sets(texts: pa.Array) -> pa.Array:
+    give_up_idle()
     return pa.array([shingles(word_list(t)).view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
 
