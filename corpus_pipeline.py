@@ -33,7 +33,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> D
     judged = pin(near_duplicates.near_duplicates(docs), "judged").where("doc_id IS NOT NULL")
     # Narrow frames decide; texts move only to meet what goes, which is the smaller part.
     gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    # What goes grows with the table, so it is never broadcast, at any size.
+    left = docs.join(gone.hint("merge"), docs["doc_id"] == gone["_id"], "left_anti")
     repeated = judged.where("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1")
     repeated = pin(repeated.select("_id"), "repeated")
     if repeated.isEmpty():
