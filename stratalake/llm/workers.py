@@ -38,7 +38,10 @@ def give_up_idle() -> None:
     old = [key for key, at in _USED.items() if now - at > IDLE]
     for key in old:
         del _USED[key]
-    if [_KEPT.pop(key, None) for key in old].count(None) < len(old):
+    dropped = [key for key in old if key in _KEPT]
+    for key in dropped:
+        del _KEPT[key]
+    if dropped:
         gc.collect()
         pa.default_memory_pool().release_unused()
         _trim()
