@@ -194,6 +194,24 @@ def alert_suppressed(spark, sf):
     return alerts.suppress(fired(spark, sf), b.rules(spark))
 
 
+# Maintenance of the binding, of one store and of all.
+MAINTENANCE = [(3, "2024-01-05 00:00:00", "2024-01-07 06:00:00"), (None, "2024-01-10 22:00:00", "2024-01-11 02:00:00"), (5, "2024-01-12 00:00:00", "2024-01-12 00:00:00")]
+
+
+@query(
+    "alert_maintenance",
+    """SELECT rule_id, store_id, alert_timestamp FROM fired f WHERE NOT (rule_id <> 4 AND EXISTS (SELECT 1 FROM (VALUES """
+    + ", ".join(f"({'NULL' if s is None else s}, TIMESTAMP '{a}', TIMESTAMP '{z}')" for s, a, z in MAINTENANCE)
+    + """) w(s, a, z) WHERE (w.s IS NULL OR w.s = f.store_id) AND f.alert_timestamp >= w.a AND f.alert_timestamp < w.z))""",
+)
+def alert_maintenance(spark, sf):
+    """Alerts outside maintenance; rule 4 notifies all the same."""
+    windows = spark.createDataFrame(MAINTENANCE, "store_id int, begins_at string, ends_at string")
+    windows = windows.select("store_id", *[F.col(c).cast("timestamp").alias(c) for c in ("begins_at", "ends_at")])
+    rules = b.rules(spark).withColumn("suppress_during_maintenance", F.col("rule_id") != 4)
+    return alerts.outside_maintenance(fired(spark, sf), rules, windows).select("rule_id", "store_id", "alert_timestamp")
+
+
 SQL_LEVEL = f"""greatest(least(floor(date_diff('microsecond', alert_timestamp, coalesce(acknowledged_at, {NOW})) / 6e7 / 15), 2), 0)::INT"""
 
 

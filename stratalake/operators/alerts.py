@@ -94,6 +94,25 @@ def missing_data(series: DataFrame, rules: DataFrame, first: Column, last: Colum
     )
 
 
+def outside_maintenance(alerts: DataFrame, rules: DataFrame, windows: DataFrame) -> DataFrame:
+    """Drop what rules with ``suppress_during_maintenance`` raised while their store was under maintenance.
+
+    ``windows`` has ``store_id`` (NULL: all stores), ``begins_at`` and ``ends_at``, which is the
+    first instant outside. Rules without the column are suppressed, as is the default. Windows meet
+    alerts day by day, so that no alert is compared with all of them.
+    """
+    flag = F.col("suppress_during_maintenance") if "suppress_during_maintenance" in rules.columns else F.lit(True)
+    quiet = rules.select("rule_id", F.coalesce(flag, F.lit(True)).alias("_quiet"))
+    days = F.sequence(F.to_date("begins_at"), F.to_date(F.timestamp_micros(F.unix_micros(F.col("ends_at").cast("timestamp")) - 1)))
+    closed = windows.where("begins_at < ends_at").select(
+        F.col("store_id").alias("_store"), F.col("begins_at").alias("_from"), F.col("ends_at").alias("_to"), F.explode(days).alias("_day")
+    )
+    raised = alerts.join(quiet, "rule_id", "left").withColumn("_at_day", F.to_date("alert_timestamp"))
+    at, store = F.col("alert_timestamp"), F.col("_store")
+    inside = (F.col("_at_day") == F.col("_day")) & F.coalesce("_quiet", F.lit(True)) & (at >= F.col("_from")) & (at < F.col("_to"))
+    return raised.join(closed, inside & (store.isNull() | (store == F.col("store_id"))), "left_anti").select(alerts.columns)
+
+
 def suppress(alerts: DataFrame, rules: DataFrame) -> DataFrame:
     """Drop repeats of a rule and store within its ``suppress_duplicate_minutes``.
 

@@ -190,3 +190,20 @@ def test_suppression_by_true_instants(spark):
     config = spark.createDataFrame([(1, 0), (2, 1)], "rule_id int, suppress_duplicate_minutes int")
     got = sorted((r.rule_id, round((r.alert_timestamp - START).total_seconds())) for r in alerts.suppress(df, config).collect())
     assert got == [(1, 20 * n) for n in range(6)] + [(2, 59), (2, 119), (2, 400)]
+
+
+def test_maintenance_silences_its_stores_and_rules(spark):
+    at = lambda text: F.lit(text).cast("timestamp")
+    times = ["2024-01-01 23:59:59", "2024-01-02 00:00:00", "2024-01-03 12:00:00", "2024-01-04 00:00:00"]
+    raised = None
+    for n, text in enumerate(times):
+        line = spark.range(2).selectExpr("cast(id + 1 AS int) AS rule_id", f"{n % 2} AS store_id").withColumn("alert_timestamp", at(text))
+        raised = line if raised is None else raised.unionByName(line)
+    rules = spark.createDataFrame([(1, True), (2, False)], "rule_id int, suppress_during_maintenance boolean")
+    windows = spark.createDataFrame([(1, "2024-01-02 00:00:00", "2024-01-04 00:00:00"), (None, "2024-01-03 11:00:00", "2024-01-03 13:00:00")], "store_id int, b string, e string")
+    windows = windows.selectExpr("store_id", "cast(b AS timestamp) AS begins_at", "cast(e AS timestamp) AS ends_at")
+    kept = {(r.rule_id, str(r.alert_timestamp)) for r in alerts.outside_maintenance(raised, rules, windows).collect()}
+    assert {t for rule, t in kept if rule == 2} == set(times)
+    assert {t for rule, t in kept if rule == 1} == {times[0], times[3]}
+    plain = alerts.outside_maintenance(raised, rules.select("rule_id"), windows)
+    assert plain.count() == 4 and "NestedLoop" not in plain._jdf.queryExecution().executedPlan().toString()
