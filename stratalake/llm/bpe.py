@@ -28,7 +28,7 @@ from stratalake.llm.pretokens import PreTokenizer, to_byte_chars
 from stratalake.llm.workers import file_bytes, per_worker
 
 # Entries of a worker's caches; results do not depend on them.
-CACHE_ENTRIES = 1 << 18
+CACHE_ENTRIES = 1 << 17
 
 
 class Codec:

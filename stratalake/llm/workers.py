@@ -25,6 +25,8 @@ def per_worker(key: Hashable, make: Callable[[], Any]) -> Any:
     if key not in _KEPT:
         give_up_idle()
         _KEPT[key] = make()
+        gc.collect()  # what was only needed to make it
+        _trim()
     return _KEPT[key]
 
 
