@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,5 +34,22 @@ def surrogate_key(entity: str, *natural_key: str | Column) -> Column:
     cols = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in natural_key]
     parts = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cols]
     digest = F.md5(F.concat_ws("|", F.lit(entity), *parts))
-    bounds = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return F.concat_ws("-", *[F.substring(digest, start, size) for start, size in bounds])
+    # Hyphens go in from the right, so the digest is named, and computed, once.
+    for place in (21, 17, 13, 9):
+        digest = F.overlay(digest, F.lit("-"), place, 0)
+    return digest
+
+
+def fold_keys(df: DataFrame, expected: Mapping[str, Column]) -> DataFrame:
+    """NULL instead of each key that is the expected one, so that it takes no room in a shuffle.
+
+    Other values are marked, NULL too; :func:`unfold_keys` gives all of them back.
+    """
+    marked = {n: F.coalesce(F.concat(F.lit("="), F.col(n)), F.lit("-")) for n in expected}
+    return df.withColumns({n: F.when(~F.col(n).eqNullSafe(key), marked[n]) for n, key in expected.items()})
+
+
+def unfold_keys(df: DataFrame, expected: Mapping[str, Column]) -> DataFrame:
+    """The keys that :func:`fold_keys` took out, and the others as they were."""
+    kept = {n: F.when(F.col(n) != "-", F.substr(n, F.lit(2))) for n in expected}
+    return df.withColumns({n: F.when(F.col(n).isNull(), key).otherwise(kept[n]) for n, key in expected.items()})

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.session import pin
+
 
 def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after seeing that ``df`` has at most ``max_rows`` rows."""
@@ -78,6 +80,38 @@ def lookup_keys(
     return joined.withColumns({key: F.coalesce(F.col(key), F.lit(unknown)) for _, _, _, key in lookups})
 
 
+def irregular_keys(
+    fact: DataFrame, lookups: Sequence[tuple[DataFrame, str, str, str, Column]], unknown: str = "-1"
+) -> DataFrame:
+    """The lookups of :func:`lookup_keys` for keys that are derived from the id, without moving ``fact``.
+
+    Each lookup ends with the key that is expected for an id, as a column over the fact id column.
+    Only ids travel: those whose rows in the dimension are not exactly one with the expected key are
+    written to a table, mostly a small one, and joined. The new column is NULL where the key is the
+    expected one; :func:`derived_keys` fills it in, best where rows no longer move.
+    """
+    result = fact
+    for number, (dim, fact_id, dim_id, key, expected) in enumerate(lookups):
+        ids = fact.select(fact_id).where(F.col(fact_id).isNotNull()).distinct()
+        known = dim.select(F.col(dim_id).alias("_known"), F.col(key).alias("_key"))
+        found = ids.join(known, F.col(fact_id) == F.col("_known"), "left").withColumn("_as_expected", F.col("_key").eqNullSafe(expected))
+        odd = found.groupBy(fact_id).agg(F.count(F.lit(1)).alias("_n"), F.min("_as_expected").alias("_all"))
+        odd = odd.where("_n > 1 OR NOT _all").select(fact_id)
+        rows = found.join(odd, fact_id, "left_semi").select(
+            F.col(fact_id).alias(f"_i{number}"), F.coalesce("_key", F.lit(unknown)).alias(f"_k{number}")
+        )
+        side = broadcast_checked(pin(rows, "irregular"))
+        result = result.join(side, F.col(fact_id) == F.col(f"_i{number}"), "left")
+        missing = F.when(F.col(fact_id).isNull(), F.lit(unknown))
+        result = result.withColumn(key, F.coalesce(f"_k{number}", missing)).drop(f"_i{number}", f"_k{number}")
+    return result
+
+
+def derived_keys(rows: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """Fill the keys that :func:`irregular_keys` left open; ``keys`` holds the expected ones."""
+    return rows.withColumns({name: F.coalesce(F.col(name), expected) for name, expected in keys.items()})
+
+
 def missing_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` whose key ``right`` lacks."""
     return left.join(right.select(key).distinct(), key, "left_anti")

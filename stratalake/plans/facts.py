@@ -88,6 +88,11 @@ def rental_measures(rows: DataFrame, planned_days: int = PLANNED_DAYS, replaceme
 def rental_fact(rentals: DataFrame, payments: DataFrame, per_payment: bool = False) -> DataFrame:
     """The rental fact; ``per_payment`` keeps one row per payment instead of one per rental."""
     rows = rental_payments(rentals, payments) if per_payment else paid_rentals(rentals, payments)
+    return with_measures(rows)
+
+
+def with_measures(rows: DataFrame) -> DataFrame:
+    """What the fact adds to paid rentals: measures and its key."""
     return rental_measures(rows).withColumn("gl_fact_rental_key", surrogate_key("gl_fact_rental", "rental_id"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.cleanse import apply_rule
+from stratalake.functions.keys import fold_keys, surrogate_key, unfold_keys
 from stratalake.operators import audit, joins
 from stratalake.plans import dims, facts, metrics, silver
 from stratalake.plans.pipeline import Step
@@ -108,6 +109,17 @@ def silver_steps(settings: Settings) -> list[Step]:
     ]
 
 
+def _dimension_key(name: str) -> Column:
+    """The key that the dimensions derive from an id."""
+    return surrogate_key(f"gl_dim_{name}", f"{name}_id")
+
+
+def _rental_keys(rental: DataFrame) -> dict[str, Column]:
+    """The keys that the lower layers derive from the id of a rental."""
+    made = {"sl_rental_key": "sl_rental", "sl_source_bronze_key": "br_rental"}
+    return {name: surrogate_key(entity, "rental_id") for name, entity in made.items() if name in rental.columns}
+
+
 def gold_steps(settings: Settings) -> list[Step]:
     """Calendar, dimensions, the fact with its dimension keys, and customer metrics."""
     batch = settings.batch("gold_dimensional")
@@ -139,16 +151,20 @@ def gold_steps(settings: Settings) -> list[Step]:
         return audited(dims.staff_dimension(rental), "staff")
 
     def fact(rental: DataFrame, payment: DataFrame, customer: DataFrame, member: DataFrame, film: DataFrame, store: DataFrame) -> DataFrame:
-        rows = facts.rental_fact(rental, payment)
-        lookups = [
-            (customer, "customer_id", "customer_id", "gl_dim_customer_key"),
-            (member, "staff_id", "staff_id", "gl_dim_staff_key"),
-            (film, "film_id", "film_id", "gl_dim_film_key"),
-            (store, "store_id", "store_id", "gl_dim_store_key"),
-        ]
-        keyed = joins.lookup_keys(rows, [x for x in lookups if x[1] in rows.columns])
-        absent = {x[3]: F.lit("-1") for x in lookups if x[1] not in rows.columns}
-        return audited(keyed.withColumns(absent) if absent else keyed, "rental")
+        rows = facts.paid_rentals(fold_keys(rental, _rental_keys(rental)), payment)
+        members = {"customer": customer, "staff": member, "film": film, "store": store}
+        lookups = [(d, f"{n}_id", f"{n}_id", f"gl_dim_{n}_key", _dimension_key(n)) for n, d in members.items()]
+        return joins.irregular_keys(rows, [x for x in lookups if x[1] in rows.columns])
+
+    def whole_fact(rows: DataFrame) -> DataFrame:
+        found = [n for n in ("customer", "staff", "film", "store") if f"gl_dim_{n}_key" in rows.columns]
+        absent = [n for n in ("customer", "staff", "film", "store") if n not in found]
+        rows = unfold_keys(rows, _rental_keys(rows))
+        keyed = joins.derived_keys(facts.with_measures(rows), {f"gl_dim_{n}_key": _dimension_key(n) for n in found})
+        keyed = keyed.withColumns({f"gl_dim_{n}_key": F.lit("-1") for n in absent}) if absent else keyed
+        # Keys come behind the measures.
+        keys = [f"gl_dim_{n}_key" for n in (*found, *absent)]
+        return audited(keyed.select(*[c for c in keyed.columns if c not in keys], *keys), "rental")
 
     def scores(rows: DataFrame) -> DataFrame:
         return audited(metrics.customer_metrics(rows, settings.tiers, settings.high_value), "customer_metrics")
@@ -164,6 +180,7 @@ def gold_steps(settings: Settings) -> list[Step]:
             ["silver.rental", "silver.payment", "gold.dim_customer", "gold.dim_staff", "gold.dim_film", "gold.dim_store"],
             fact,
             month="rental_date",
+            widen=whole_fact,
         ),
         Step("gold.customer_metrics", ["gold.fact_rental"], scores),
     ]

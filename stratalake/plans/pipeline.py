@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from stratalake.session import pin, remove, unpin
-from stratalake.sources.sinks import write_by_month, write_full
+from stratalake.sources.sinks import PACKED, write_by_month, write_full
 
 # Which layers a layer may read.
 MAY_READ = {
@@ -29,9 +29,10 @@ class LineageError(ValueError):
 class Step:
     """One table: its ``layer.name``, the tables it reads and how it is built from them.
 
-    ``month`` names the event time of a fact that is written by months. ``rejects`` tells, for a
-    built row, why it is rejected (NULL if it is not): the table is then written once, by outcome,
-    and its rejected rows can be read and listed as ``<target>_rejected``.
+    ``month`` names the event time of a fact that is written by months; ``widen`` then adds the
+    columns that follow from a built row alone, after the rows were gathered by month. ``rejects``
+    tells, for a built row, why it is rejected (NULL if it is not): the table is then written once,
+    by outcome, and its rejected rows can be read and listed as ``<target>_rejected``.
     """
 
     target: str
@@ -39,6 +40,7 @@ class Step:
     build: Callable[..., DataFrame]
     month: str | None = None
     rejects: Callable[[DataFrame], Column] | None = None
+    widen: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def layer(self) -> str:
@@ -118,7 +120,7 @@ def land_corrected(
     before = whole.where(F.col(OUTCOME).isin("rejected", "corrected")).join(corrected.select(key), key, "left_anti")
     # Read before it is replaced.
     rows = pin(before.select(fresh.columns).unionByName(fresh), "replayed")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(OUTCOME).parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**PACKED).partitionBy(OUTCOME).parquet(path)
     found = {r[0]: r[1] for r in rows.groupBy(OUTCOME).count().collect()}
     if "rejected" not in found:  # a dynamic overwrite leaves a partition without new rows as it was
         gone = f"{path}/{OUTCOME}=rejected"
@@ -160,13 +162,15 @@ def run(
         counted, seen = observe_counts(built, step.target)
         path = f"{folder}/{step.target.replace('.', '/')}"
         if step.rejects:
-            counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(OUTCOME).parquet(path)
+            writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**PACKED)
+            writer.partitionBy(OUTCOME).parquet(path)
             through, rejected = _read_outcomes(spark, path, counted.schema)
             name = f"{step.target}_rejected"
             return {step.target: seen.get["rows"], name: seen.get["rejected"]}, {step.target: through, name: rejected}
         if step.month:
-            write_by_month(counted, path, step.month)
-            schema = StructType([*counted.schema.fields]).add("month", StringType())
+            write_by_month(counted, path, step.month, step.widen)
+            whole = step.widen(built) if step.widen else built
+            schema = StructType([*whole.schema.fields]).add("month", StringType())
             return {step.target: seen.get["rows"]}, {step.target: spark.read.schema(schema).parquet(path)}
         write_full(counted, path)
         return {step.target: seen.get["rows"]}, {step.target: spark.read.schema(counted.schema).parquet(path)}

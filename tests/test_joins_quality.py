@@ -136,3 +136,30 @@ def test_distinct_counts_and_mergeable_sketches(spark):
     last = rows.where("k = 0").agg(F.max("m")).first()[0]
     (three,) = whole.where("k = 0").where(F.col("m") == F.lit(last)).collect()
     assert abs(three.as_estimate - 7919) <= distinct.error() * 7919
+
+
+def test_derived_keys_are_those_of_a_lookup(spark):
+    from stratalake.functions.keys import surrogate_key
+
+    fact = spark.createDataFrame([(1, 10), (2, 11), (3, 12), (4, 13), (5, None), (6, 10), (6, 13)], "id int, film int")
+    films = spark.createDataFrame([(10, None), (12, None), (12, "second"), (13, "other"), (14, None), (None, None)], "film_id int, own string")
+    dim = films.withColumn("film_key", F.coalesce("own", surrogate_key("film", "film_id")))
+    dim = dim.unionByName(spark.createDataFrame([(11, "x", None)], "film_id int, own string, film_key string"))
+    expected = surrogate_key("film", "film")
+    old = joins.lookup_keys(fact, [(dim, "film", "film_id", "film_key")])
+    narrow = joins.irregular_keys(fact, [(dim, "film", "film_id", "film_key", expected)])
+    assert [r.film_key for r in narrow.where("film = 10").collect()] == [None, None]
+    new = joins.derived_keys(narrow, {"film_key": expected})
+    assert new.columns == old.columns and sorted(map(str, new.collect())) == sorted(map(str, old.collect()))
+
+
+def test_folded_keys_come_back(spark):
+    from stratalake.functions.keys import fold_keys, surrogate_key, unfold_keys
+
+    ids = spark.createDataFrame([(1, None), (2, "-"), (3, ""), (4, "=a"), (5, "own"), (None, "own")], "id int, other string")
+    keys = ids.withColumn("key", F.when(F.col("id") == 1, surrogate_key("a", "id")).otherwise(F.col("other")))
+    keys = keys.unionByName(ids.where("id > 1").selectExpr("id", "other", "NULL AS key"))
+    expected = {"key": surrogate_key("a", "id")}
+    folded = fold_keys(keys, expected)
+    assert [r.id for r in folded.where("key IS NULL").collect()] == [1]
+    assert sorted(map(str, unfold_keys(folded, expected).collect())) == sorted(map(str, keys.collect()))

@@ -196,3 +196,27 @@ def test_scratch_deletes_what_it_pinned(spark):
     with scratch(spark):
         assert pin(spark.range(5), "gone").count() == 5
     assert set(os.listdir(shared_dir(spark).removeprefix("file://"))) == before
+
+
+def test_a_fact_is_widened_behind_its_shuffle_and_packed(spark):
+    import glob
+
+    from catalog.landing import _settings
+    from stratalake.plans.layers import gold_steps
+
+    rows = spark.createDataFrame([(1, "2024-01-05 10:00:00"), (2, "2024-02-05 10:00:00"), (3, None)], "id int, at string")
+    seen = []
+
+    def widen(df):
+        seen.append(plan_of(df))
+        return df.withColumn("double", F.col("id") * 2)
+
+    path = fresh_path(spark, "run")
+    made = run(spark, [Step("bronze.a", ["source.a"], lambda df: df, month="at", widen=widen)], {"source.a": rows}, path, "b1").tables["bronze.a"]
+    assert made.columns == ["id", "at", "double", "month"]
+    assert sorted((r.id, r.double, r.month) for r in made.where("id < 3").collect()) == [(1, 2, "2024-01"), (2, 4, "2024-02")]
+    assert made.where("month IS NULL").count() == 1 and any("REBALANCE" in p.upper() for p in seen)
+    files = glob.glob(f"{path.removeprefix('file://')}/**/*.parquet", recursive=True)
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    fact = next(s for s in gold_steps(_settings()) if s.target == "gold.fact_rental")
+    assert fact.widen is not None
