@@ -650,10 +650,8 @@ def distinct_rolling(spark, sf):
     rows = b.customer_payment(spark, sf).withColumn("month", F.trunc("payment_date", "month"))
     stored = pin(distinct.sketches(rows, ["store_id", "month"], {"customers": "customer_id"}), "sketches")
     told = distinct.rolling(stored, ["store_id"], "month", 3, ["customers"])
-    # The exact counts say how good the estimates are; they go over one row per customer and month.
-    seen = rows.select("store_id", "month", "customer_id").distinct()
-    shown = seen.withColumn("month", F.explode(F.array(*[F.add_months("month", k) for k in range(3)])))
-    exact = distinct.distinct_counts(shown, ["store_id", "month"], {"customers": "customer_id"})
+    # The exact counts say how good the estimates are; they go over one row per store and customer.
+    exact = distinct.rolling_counts(rows, ["store_id"], "month", 3, "customer_id", "customers")
     return told.join(exact, ["store_id", "month"]).select("store_id", "month", *_inside("customers"))
 
 

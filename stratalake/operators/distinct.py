@@ -50,6 +50,19 @@ def rolling(stored: DataFrame, keys: Sequence[str], month: str, months: int, col
     return united(spread.join(shown, [*keys, month], "left_semi"), [*keys, month], columns)
 
 
+def rolling_counts(df: DataFrame, keys: Sequence[str], month: str, months: int, value: str, new: str) -> DataFrame:
+    """Exact distinct non-NULL values per key over the last ``months``, at every month they reach.
+
+    A value's months at a key are gathered first, combined before the shuffle, and each month they
+    reach is counted once there. So no copies of rows are shuffled or held to be made distinct, and
+    what is left is counted where it is. Rows without a month count nowhere.
+    """
+    seen = df.groupBy(*keys, value).agg(F.collect_set(month).alias("_months"))
+    ahead = F.transform("_months", lambda m: F.array(*[F.add_months(m, k) for k in range(months)]))
+    reached = seen.withColumn(month, F.explode(F.array_distinct(F.flatten(ahead))))
+    return reached.groupBy(*keys, month).agg(F.count(value).alias(new))
+
+
 def error(lg_k: int = LG_K) -> float:
     """Stated relative error of a united sketch: four standard errors."""
     return 4 * 1.04 / sqrt(2**lg_k)

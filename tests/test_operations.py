@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import alerts, kpi
+from stratalake.operators import alerts, distinct, kpi
 
 START = dt.datetime(2024, 1, 1, 9)
 
@@ -207,3 +207,15 @@ def test_maintenance_silences_its_stores_and_rules(spark):
     assert {t for rule, t in kept if rule == 1} == {times[0], times[3]}
     plain = alerts.outside_maintenance(raised, rules.select("rule_id"), windows)
     assert plain.count() == 4 and "NestedLoop" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rolling_counts_make_no_copies_to_be_made_distinct(spark):
+    rows = [(1, "2024-01-01", 7), (1, "2024-01-01", 7), (1, "2024-02-01", 7), (1, "2024-05-01", 7), (1, "2024-02-01", 8)]
+    rows += [(2, "2023-12-01", None), (2, "2024-01-01", 9), (None, "2024-01-01", 9), (2, None, 5), (1, None, 7)]
+    df = spark.createDataFrame(rows, "store int, m string, who int").withColumn("m", F.to_date("m"))
+    got = distinct.rolling_counts(df, ["store"], "m", 3, "who", "n")
+    copies = df.withColumn("m", F.explode(F.array(*[F.add_months("m", k) for k in range(3)]))).where("m IS NOT NULL")
+    plain = distinct.distinct_counts(copies, ["store", "m"], {"n": "who"})
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Generate") < plan.index("collect_set")  # copies are made after rows met by value
