@@ -155,37 +155,70 @@ def missing_data(series: DataFrame, rules: DataFrame, first: Column, step_minute
     return silent.select("rule_id", "store_id", at, "metric_name")
 
 
+# Alerts that wait are kept together by spans of this many milliseconds, and rows of one batch go
+# there this many at a time: state is not asked and told for every row.
+_SPAN, _HELD = 600_000, 50_000
+
+
 class _Quiet(StatefulProcessor):
     """``last`` is the last alert passed, ``waiting`` the alerts the watermark has not passed."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "at bigint, quiet bigint")
-        self.waiting = handle.getMapState("waiting", "due bigint", "at array<bigint>, quiet bigint")
+        self.waiting = handle.getMapState("waiting", "span bigint", "r array<struct<at: bigint, quiet: bigint>>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        raised: dict[int, dict[int, int]] = {}
+        held = 0
         for row in rows:
             at, quiet = row["_at"], row["_quiet"]
             if quiet <= 0:
                 yield _PASSED(*key, at)  # nothing can suppress it
             elif at is not None:
-                due = _due(at)
-                before = list(self.waiting.getValue((due,))[0]) if self.waiting.containsKey((due,)) else []
-                if at not in before:
-                    self.waiting.updateValue((due,), ([*before, at], quiet))
-                    self.handle.registerTimer(due)
+                raised.setdefault(_due(at) // _SPAN, {}).setdefault(at, quiet)
+                held += 1
+                if held == _HELD:
+                    self._keep(raised)
+                    raised, held = {}, 0
+        self._keep(raised)
+
+    def _keep(self, raised: dict[int, dict[int, int]]) -> None:
+        for span, found in raised.items():
+            first = _due(min(found))
+            before = self._waiting(span)
+            # The first alert of a span has a timer; it also judges the later ones.
+            if not before or first < _due(min(before)):
+                self.handle.registerTimer(first)
+            if not found.keys() <= before.keys():
+                self.waiting.updateValue((span,), (list((found | before).items()),))
+
+    def _waiting(self, span: int) -> dict[int, int]:
+        if not self.waiting.containsKey((span,)):
+            return {}
+        return {r[0]: r[1] for r in self.waiting.getValue((span,))[0]}
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         due = expiredTimerInfo.getExpiryTimeInMs()
-        last = self.last.get() if self.last.exists() else None
-        if self.waiting.containsKey((due,)):
-            raised, quiet = self.waiting.getValue((due,))
-            self.waiting.removeKey((due,))
-            for at in sorted(raised):
-                if last is None or at - last[0] >= quiet:
-                    last = (at, quiet)
-                    yield _PASSED(*key, at)
-            self.last.update(tuple(last))
+        ended = max(due, timerValues.getCurrentWatermarkInMs())
+        span = due // _SPAN
+        raised = self._waiting(span)
+        before = last = tuple(self.last.get()) if self.last.exists() else None
+        later = {}
+        for at, quiet in sorted(raised.items()):
+            if _due(at) > ended:
+                later[at] = quiet
+            elif last is None or at - last[0] >= quiet:
+                last = (at, quiet)
+                yield _PASSED(*key, at)
+        if later:
+            if len(later) < len(raised):
+                self.waiting.updateValue((span,), (list(later.items()),))
+            self.handle.registerTimer(_due(min(later)))
+        elif raised:
+            self.waiting.removeKey((span,))
+        if last != before:
+            self.last.update(last)
             # Nothing needs the last alert any longer once its wait is over.
             self.handle.registerTimer(_due(last[0] + last[1]) + 1)
         elif last is not None and _due(last[0] + last[1]) < due:

@@ -279,3 +279,100 @@ def test_appended_batches_survive_a_second_run(spark):
         changes.append_changes(stream, path, checkpoint).awaitTermination()
     got = spark.read.parquet(path)
     assert got.count() == 20 and got.select("batch_id").distinct().count() == 2
+
+
+class _State:
+    """Value and map state and timers of one key, with a count of what was asked and told."""
+
+    def __init__(self):
+        self.kept, self.timers, self.calls = {}, set(), 0
+
+    def getValueState(self, name, schema):
+        return _Slot(self, lambda *key: name)
+
+    def getMapState(self, name, key, value):
+        return _Slot(self, lambda *key: (name, *key))
+
+    def registerTimer(self, due):
+        self.calls += 1
+        self.timers.add(due)
+
+
+class _Slot:
+    def __init__(self, state, name):
+        self.state, self.name = state, name
+
+    def _told(self, key):
+        self.state.calls += 1
+        return self.name(*key)
+
+    def exists(self):
+        return self._told(()) in self.state.kept
+
+    def get(self):
+        return self.state.kept[self._told(())]
+
+    def update(self, value):
+        self.state.kept[self._told(())] = value
+
+    def clear(self):
+        del self.state.kept[self._told(())]
+
+    def containsKey(self, key):
+        return self._told(key) in self.state.kept
+
+    def getValue(self, key):
+        return self.state.kept[self._told(key)]
+
+    def updateValue(self, key, value):
+        self.state.kept[self._told(key)] = value
+
+    def removeKey(self, key):
+        del self.state.kept[self._told(key)]
+
+
+class _Now:
+    def __init__(self, due=None, watermark=None):
+        self.getExpiryTimeInMs = lambda: due
+        self.getCurrentWatermarkInMs = lambda: watermark
+
+
+def _passed(batches, quiet):
+    """What passes of batches of instants, each with the watermark behind it, and the state at the end."""
+    state = _State()
+    judge = stateful._Quiet()
+    judge.init(state)
+    passed = []
+    for instants, watermark in batches:
+        rows = [{"_at": at, "_quiet": quiet} for at in instants]
+        passed += [r[2] for r in judge.handleInputRows((1, 1), iter(rows), _Now())]
+        for due in sorted(t for t in state.timers if t <= watermark):
+            state.timers.remove(due)
+            passed += [r[2] for r in judge.handleExpiredTimer((1, 1), _Now(watermark=watermark), _Now(due))]
+    return passed, state
+
+
+def test_waiting_alerts_do_not_ask_state_for_every_row():
+    rows = [n * 1000 for n in range(3000)] * 5  # three seconds, five times over
+    passed, state = _passed([(rows, 10_000), ([], 10**9)], 2_000_000)
+    assert passed == [0, 2_000_000] and state.calls < 100 and not state.kept
+
+
+def test_alerts_pass_as_in_a_walk_whatever_the_batches():
+    draw = random.Random(3)
+    for quiet in (1, 999, 60_000_000, 400_000_000):
+        instants = sorted(draw.randrange(5_000_000_000) for _ in range(400))
+        walk = []
+        for at in instants:
+            if not walk or at - walk[-1] >= quiet:
+                walk.append(at)
+        batches, mark, rest = [], 0, instants
+        while rest:
+            # Any rows that are not late, in any order; the watermark stops short of what has not come.
+            now = [a for a in rest if a < mark * 1000 + 900_000_000 and draw.random() < 0.7]
+            rest = [a for a in rest if a not in now]
+            mark = max(mark, (min(rest) - 1) // 1000 if rest else 10**10)
+            draw.shuffle(now)
+            batches.append((now + now[:5], mark))
+        passed, state = _passed([*batches, ([], 10**10)], quiet)
+        assert passed == walk and not [k for k in state.kept if k != "last"]
